@@ -1,9 +1,9 @@
 """Running totals, dense numbering and first-k that survive one key holding a third of all rows.
 
-A plain ``sum().over(partitionBy(key))`` sends all rows of a key to one task. Here the rows of a key are cut
-into slices that follow the order (a day, a block of ids): slice totals are aggregated map-side, their running
-offsets are computed over one small row per slice, and the row-level window only ever sees one (key, slice).
-The join on (key, slice) and the window share one shuffle of the rows.
+A plain ``sum().over(partitionBy(key))`` sends all rows of a key to one task. Keys are counted first (a map-side
+combined aggregate over the key columns); where no key is heavy the plain window is the best plan and is used. The rows
+of a heavy key are cut into slices that follow the order (a day, a block of ids): slice totals are aggregated map-side,
+their running offsets are computed over one small row per slice, and the row-level window only sees one (key, slice).
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from agentlake.core import stable
 
 _BLOCK = 1 << 16
+_MOST_HEAVY = 200
+HOT_ROWS = 2_000_000
 
 
 def id_slice(col: str, block: int = _BLOCK) -> Column:
@@ -24,6 +26,28 @@ def id_slice(col: str, block: int = _BLOCK) -> Column:
     return F.floor(F.col(col) / F.lit(block))
 
 
+def heavy_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> list:
+    """Keys with more than ``hot_rows`` rows; at most ``_MOST_HEAVY + 1`` of them are brought to the driver."""
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("__n")).filter(F.col("__n") > hot_rows)
+    return sizes.limit(_MOST_HEAVY + 1).collect()
+
+
+def _is_heavy(df: DataFrame, keys: Sequence[str], hot_rows: int) -> Column | None:
+    """Condition for rows that need slices: none, those of a short list of keys, or all rows."""
+    if not keys:
+        return F.lit(True)
+    heavy = heavy_keys(df, keys, hot_rows)
+    if not heavy:
+        return None
+    if len(heavy) > _MOST_HEAVY:
+        return F.lit(True)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    same = [
+        reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(row[k]).cast(types[k])) for k in keys]) for row in heavy
+    ]
+    return reduce(lambda a, b: a | b, same)
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -31,15 +55,24 @@ def running(
     slice_by: Column,
     sums: Mapping[str, Column],
     inclusive: bool = True,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add one running sum per entry of ``sums``; ``slice_by`` must never decrease along ``order``.
 
     With ``inclusive=False`` the current row is left out (the sum over prior rows).
     """
-    keys = list(keys)
+    keys, last = list(keys), 0 if inclusive else -1
+    heavy = _is_heavy(df, keys, hot_rows)
     vals = {n: f"__v_{n}" for n in sums}
-    cut = df.withColumns({"__slice": slice_by, **{vals[n]: c for n, c in sums.items()}})
-    by_slice = cut.groupBy(*keys, "__slice").agg(*[F.sum(vals[n]).alias(f"__t_{n}") for n in sums])
+    if heavy is None:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
+        return df.withColumns({n: F.coalesce(F.sum(c).over(w), F.lit(0)) for n, c in sums.items()})
+    cut = df.withColumns({"__slice": F.when(heavy, slice_by), **{vals[n]: c for n, c in sums.items()}})
+    by_slice = (
+        cut.filter(F.col("__slice").isNotNull())
+        .groupBy(*keys, "__slice")
+        .agg(*[F.sum(vals[n]).alias(f"__t_{n}") for n in sums])
+    )
     before = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = by_slice.select(
         *[F.col(k).alias(f"__k_{k}") for k in keys],
@@ -47,21 +80,22 @@ def running(
         *[F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)).alias(f"__o_{n}") for n in sums],
     )
     match = [F.col("__slice") == F.col("__k_slice")] + [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]
-    joined = cut.join(offsets, reduce(lambda a, b: a & b, match))
-    last = 0 if inclusive else -1
+    joined = cut.join(offsets, reduce(lambda a, b: a & b, match), "left")
     inside = Window.partitionBy(*keys, "__slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
     return joined.select(
         *[F.col(c) for c in df.columns],
         *[
-            (F.col(f"__o_{n}") + F.coalesce(F.sum(vals[n]).over(inside), F.lit(0))).alias(n)
+            (F.coalesce(F.col(f"__o_{n}"), F.lit(0)) + F.coalesce(F.sum(vals[n]).over(inside), F.lit(0))).alias(n)
             for n in sums
         ],
     )
 
 
-def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], slice_by: Column, name: str) -> DataFrame:
+def numbered(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], slice_by: Column, name: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Dense 1-based number per key in ``order`` (all rows when ``keys`` is empty)."""
-    return running(df, keys, order, slice_by, {name: F.lit(1).cast("long")})
+    return running(df, keys, order, slice_by, {name: F.lit(1).cast("long")}, hot_rows=hot_rows)
 
 
 def numbered_in_file_order(df: DataFrame, name: str) -> DataFrame:
@@ -96,3 +130,35 @@ def latest(df: DataFrame, keys: Sequence[str], by: Sequence[Column]) -> DataFram
     rest = [c for c in df.columns if c not in keys]
     picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*by)).alias("__r"))
     return picked.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in rest])
+
+
+def lookback(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column | str],
+    slice_by: Column,
+    exprs: Mapping[str, tuple],
+    rows: int,
+    seq: str = "seq",
+    block: int = _BLOCK,
+) -> DataFrame:
+    """Windows that reach at most ``rows`` rows back, plus the dense number ``seq`` per key.
+
+    ``exprs`` maps a name to ``("lag", column, offset)`` or ``(agg, column)`` over the current and the ``rows`` prior
+    rows. Rows are numbered, cut into blocks of ``block`` numbers, and the last ``rows`` rows of a block are copied
+    to the next one, so a window partition never holds more than ``block + rows`` rows.
+    """
+    keys = list(keys)
+    n = numbered(df, keys, order, slice_by, seq).withColumn("__b", F.floor((F.col(seq) - 1) / block))
+    reach = F.when((F.col(seq) - 1) % block >= block - rows, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    spread = n.withColumn("__halo", F.explode(reach)).withColumn("__b", F.col("__b") + F.col("__halo"))
+    w = Window.partitionBy(*keys, "__b").orderBy(seq)
+    back = w.rowsBetween(-rows, 0)
+    cols = []
+    for name, spec in exprs.items():
+        if spec[0] == "lag":
+            cols.append(F.lag(spec[1], spec[2]).over(w).alias(name))
+        else:
+            cols.append(getattr(F, spec[0])(spec[1]).over(back).alias(name))
+    out = spread.select(*df.columns, seq, "__halo", *cols)
+    return out.filter(F.col("__halo") == 0).drop("__halo")

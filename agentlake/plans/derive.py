@@ -98,3 +98,100 @@ def request_lines(spark: SparkSession, sf: str) -> DataFrame:
         ((F.col("l_quantity").cast("long") - 1) * 25).alias("quantity"),
         F.col("l_shipdate").cast("date").alias("ship_date"),
     )
+
+
+# ---------------------------------------------------------------- bookings, tasks, purchases, recipes
+BOOKINGS_SQL = """bookings AS (
+  SELECT o_orderkey AS seq, o_custkey AS customer, CAST(o_orderdate AS DATE) AS day, o_custkey % 24 AS slot,
+         CASE o_orderpriority WHEN '1-URGENT' THEN 'deposit' WHEN '2-HIGH' THEN 'loan' WHEN '3-MEDIUM' THEN 'postal'
+              WHEN '4-NOT SPECIFIED' THEN 'general_inquiry' ELSE 'bill_payment' END AS service,
+         o_orderstatus = 'P' AS urgent
+  FROM orders)"""
+
+TASKS_SQL = """tasks AS (
+  SELECT o_custkey AS batch, o_orderkey AS seq, 'Task-' || lpad(CAST((o_orderkey * 7919) % 1000003 AS VARCHAR), 9, '0') AS name,
+         1 + CAST(floor(o_totalprice) AS BIGINT) % 10 AS complexity, 1 + (o_orderkey * 7) % 10 AS priority,
+         CASE o_orderstatus WHEN 'P' THEN 'urgent' WHEN 'O' THEN 'normal' ELSE 'flexible' END AS deadline
+  FROM orders)"""
+
+PURCHASES_SQL = """purchases AS (
+  SELECT o_custkey AS "user", l_partkey AS item, CAST(l_quantity AS BIGINT) AS units,
+         CAST(l_extendedprice AS DECIMAL(18,2)) AS cost, l_orderkey * 10 + l_linenumber AS seq
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+QUEUE_SQL = """queue AS (
+  SELECT o_orderkey AS order_id, o_custkey AS customer, CAST(o_orderdate AS DATE) AS order_date,
+         1 + o_orderkey % 40 AS quantity,
+         CASE o_orderpriority WHEN '1-URGENT' THEN 3 WHEN '2-HIGH' THEN 2 ELSE 1 END AS priority
+  FROM orders)"""
+
+RECIPES_SQL = """recipe AS (
+  SELECT p_type AS product, p_brand AS ingredient, CAST(max(p_size) AS BIGINT) AS need FROM part GROUP BY 1, 2),
+  ing_stock AS (SELECT p_brand AS ingredient, CAST(sum(l_quantity) AS BIGINT) // 20 AS amount
+                FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1)"""
+
+ENTRIES_SQL = """entries AS (
+  SELECT user_id AS subject, event_id AS seq, CAST(floor(value) AS BIGINT) AS amount, event_type = 'error' AS flag,
+         CAST(floor(value) AS BIGINT) % 8 AS want, CAST(ts AS DATE) AS day FROM events)"""
+
+
+def bookings(spark: SparkSession, sf: str) -> DataFrame:
+    pri = F.col("o_orderpriority")
+    return table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("seq"), F.col("o_custkey").alias("customer"),
+        F.col("o_orderdate").cast("date").alias("day"), (F.col("o_custkey") % 24).alias("slot"),
+        F.when(pri == "1-URGENT", "deposit").when(pri == "2-HIGH", "loan").when(pri == "3-MEDIUM", "postal")
+        .when(pri == "4-NOT SPECIFIED", "general_inquiry").otherwise("bill_payment").alias("service"),
+        (F.col("o_orderstatus") == "P").alias("urgent"),
+    )
+
+
+def tasks(spark: SparkSession, sf: str) -> DataFrame:
+    key, st = F.col("o_orderkey"), F.col("o_orderstatus")
+    return table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("batch"), key.alias("seq"),
+        F.concat(F.lit("Task-"), F.lpad(((key * 7919) % 1000003).cast("string"), 9, "0")).alias("name"),
+        (F.floor("o_totalprice") % 10 + 1).alias("complexity"), ((key * 7) % 10 + 1).alias("priority"),
+        F.when(st == "P", "urgent").when(st == "O", "normal").otherwise("flexible").alias("deadline"),
+    )
+
+
+def purchases(spark: SparkSession, sf: str) -> DataFrame:
+    orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("user"))
+    return table(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "user", F.col("l_partkey").alias("item"), F.col("l_quantity").cast("long").alias("units"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("cost"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
+    )
+
+
+def queue(spark: SparkSession, sf: str) -> DataFrame:
+    pri = F.col("o_orderpriority")
+    return table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer"),
+        F.col("o_orderdate").cast("date").alias("order_date"), (F.col("o_orderkey") % 40 + 1).alias("quantity"),
+        F.when(pri == "1-URGENT", 3).when(pri == "2-HIGH", 2).otherwise(1).alias("priority"),
+    )
+
+
+def recipes(spark: SparkSession, sf: str) -> DataFrame:
+    need = table(spark, sf, "part").groupBy("p_type", "p_brand").agg(F.max("p_size").cast("long").alias("need"))
+    return need.groupBy(F.col("p_type").alias("product")).agg(
+        F.map_from_entries(F.collect_list(F.struct("p_brand", "need"))).alias("ingredients")
+    )
+
+
+def ingredient_stock(spark: SparkSession, sf: str) -> DataFrame:
+    part = table(spark, sf, "part").select("p_partkey", F.col("p_brand").alias("ingredient"))
+    line = table(spark, sf, "lineitem").select("l_partkey", "l_quantity")
+    return line.join(part, F.col("l_partkey") == F.col("p_partkey")).groupBy("ingredient").agg(
+        F.floor(F.sum("l_quantity").cast("long") / 20).alias("amount")
+    )
+
+
+def entries(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").select(
+        F.col("user_id").alias("subject"), F.col("event_id").alias("seq"), F.floor("value").alias("amount"),
+        (F.col("event_type") == "error").alias("flag"), (F.floor("value") % 8).alias("want"),
+        F.col("ts").cast("date").alias("day"),
+    )
