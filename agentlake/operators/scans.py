@@ -162,3 +162,19 @@ def lookback(
             cols.append(getattr(F, spec[0])(spec[1]).over(back).alias(name))
     out = spread.select(*df.columns, seq, "__halo", *cols)
     return out.filter(F.col("__halo") == 0).drop("__halo")
+
+
+def paged_lists(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column | str],
+    slice_by: Column,
+    item: Column,
+    page_rows: int = 1000,
+    out: str = "items",
+) -> DataFrame:
+    """Ordered lists per key as numbered pages: a page is bounded, a key has as many pages as it needs."""
+    n = numbered(df.withColumn("__item", item), keys, order, slice_by, "__n")
+    page = F.floor((F.col("__n") - 1) / page_rows).alias("page")
+    items = F.transform(F.array_sort(F.collect_list(F.struct("__n", "__item"))), lambda x: x["__item"])
+    return n.groupBy(*keys, page).agg(F.count("*").alias("n"), items.alias(out))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agentlake.functions import scalars as fn
-from agentlake.operators.scans import first_k, id_slice, lookback, numbered, running
+from agentlake.operators.scans import first_k, id_slice, lookback, numbered, paged_lists, running
 
 _WIDE = 1 << 40
 
@@ -69,10 +69,8 @@ def bookings_by_day(bookings: DataFrame, day: str, slot: str, customer: str, seq
 
 def booking_pages(bookings: DataFrame, service: str, seq: str, text: Column, page_rows: int = 1000) -> DataFrame:
     """Bookings of a service as numbered pages of joined text; a page is bounded, a service has as many as it needs."""
-    n = numbered(bookings.withColumn("__text", text), [service], [seq], id_slice(seq), "__n")
-    page = F.floor((F.col("__n") - 1) / page_rows).alias("page")
-    lines = F.transform(F.array_sort(F.collect_list(F.struct("__n", "__text"))), lambda x: x["__text"])
-    return n.groupBy(service, page).agg(F.count("*").alias("n"), F.array_join(lines, "; ").alias("listing"))
+    pages = paged_lists(bookings, [service], [seq], id_slice(seq), text, page_rows)
+    return pages.select(service, "page", "n", F.array_join("items", "; ").alias("listing"))
 
 
 def sequence_ids(df: DataFrame, seq: str, prefix: str = "ORD", width: int = 4, out: str = "order_id") -> DataFrame:

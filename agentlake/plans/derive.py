@@ -195,3 +195,85 @@ def entries(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("event_type") == "error").alias("flag"), (F.floor("value") % 8).alias("want"),
         F.col("ts").cast("date").alias("day"),
     )
+
+
+# ---------------------------------------------------------------- claims, patients, complaints, patterns
+LEVEL_SQL = "CASE {x} % 5 WHEN 0 THEN 'public' WHEN 1 THEN 'customer' WHEN 2 THEN 'agent' WHEN 3 THEN 'financial' ELSE 'admin' END"
+
+CLAIMS_SQL = f"""claims AS (
+  SELECT 'CLM-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || strftime(l_shipdate, '%Y%m%d') AS claim_id,
+         o_custkey AS patient_id, p_type AS code, CAST(floor(l_extendedprice) AS BIGINT) AS amount_cents,
+         CASE l_linestatus WHEN 'F' THEN 'approved' ELSE 'pending' END AS status,
+         {LEVEL_SQL.format(x='(l_orderkey + l_linenumber)')} AS privacy_level
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey)"""
+
+PATIENTS_SQL = f"""patients AS (
+  SELECT c_custkey AS patient_id, c_name AS name, c_mktsegment AS policy, {LEVEL_SQL.format(x='c_custkey')} AS privacy_level FROM customer)"""
+
+COMPLAINTS_SQL = """complaint_log AS (
+  SELECT event_id // 4 AS complaint_id, event_id AS seq, user_id AS claim_id,
+         CASE WHEN event_id % 4 = 0 THEN 'open' WHEN event_type = 'purchase' THEN 'resolve' ELSE 'respond' END AS action,
+         event_type || ' ' || props AS text FROM events)"""
+
+TEXT_CLAIMS_SQL = f"""text_claims AS (
+  SELECT doc_id AS id, text, source AS code, CAST(n_chars AS DOUBLE) AS amount, n_chars * 10 AS amount_cents, doc_id % 100 AS patient,
+         {LEVEL_SQL.format(x='doc_id')} AS privacy_level FROM documents)"""
+
+PATTERNS_SQL = f"""patterns AS (
+  SELECT item_id AS query_id, text, 'src' || (item_id % 20) AS code, CAST(length(text) AS DOUBLE) AS amount, item_id % 100 AS patient,
+         CASE item_id % 5 WHEN 0 THEN 'low' WHEN 1 THEN 'medium' WHEN 2 THEN 'high' WHEN 3 THEN 'critical' ELSE 'other' END AS severity,
+         {LEVEL_SQL.format(x='item_id')} AS privacy_level FROM benchmark)"""
+
+
+def level_of(x):
+    m = x % 5
+    return F.when(m == 0, "public").when(m == 1, "customer").when(m == 2, "agent").when(m == 3, "financial").otherwise("admin")
+
+
+def claims(spark: SparkSession, sf: str) -> DataFrame:
+    orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("patient_id"))
+    part = table(spark, sf, "part").select("p_partkey", F.col("p_type").alias("code"))
+    line = table(spark, sf, "lineitem")
+    return (
+        line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+        .select(
+            F.concat_ws("-", F.lit("CLM"), "l_orderkey", "l_linenumber", "l_partkey", F.date_format("l_shipdate", "yyyyMMdd")).alias("claim_id"),
+            "patient_id", "code", F.floor("l_extendedprice").alias("amount_cents"),
+            F.when(F.col("l_linestatus") == "F", "approved").otherwise("pending").alias("status"),
+            level_of(F.col("l_orderkey") + F.col("l_linenumber")).alias("privacy_level"),
+        )
+    )
+
+
+def patients(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("patient_id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("policy"),
+        level_of(F.col("c_custkey")).alias("privacy_level"),
+    )
+
+
+def complaint_log(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").select(
+        F.floor(F.col("event_id") / 4).alias("complaint_id"), F.col("event_id").alias("seq"), F.col("user_id").alias("claim_id"),
+        F.when(F.col("event_id") % 4 == 0, "open").when(F.col("event_type") == "purchase", "resolve").otherwise("respond").alias("action"),
+        F.concat_ws(" ", "event_type", "props").alias("text"),
+    )
+
+
+def text_claims(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").select(
+        F.col("doc_id").alias("id"), "text", F.col("source").alias("code"), F.col("n_chars").cast("double").alias("amount"),
+        (F.col("n_chars") * 10).alias("amount_cents"), (F.col("doc_id") % 100).alias("patient"),
+        level_of(F.col("doc_id")).alias("privacy_level"),
+    )
+
+
+def patterns(spark: SparkSession, sf: str) -> DataFrame:
+    m = F.col("item_id") % 5
+    return table(spark, sf, "benchmark").select(
+        F.col("item_id").alias("query_id"), "text", F.concat(F.lit("src"), (F.col("item_id") % 20).cast("string")).alias("code"),
+        F.length("text").cast("double").alias("amount"), (F.col("item_id") % 100).alias("patient"),
+        F.when(m == 0, "low").when(m == 1, "medium").when(m == 2, "high").when(m == 3, "critical").otherwise("other").alias("severity"),
+        level_of(F.col("item_id")).alias("privacy_level"),
+    )
