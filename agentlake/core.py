@@ -68,3 +68,12 @@ def fits(df: DataFrame, max_rows: int) -> bool:
 def bounded_join(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = 50_000) -> DataFrame:
     """Join with a broadcast hint only behind a row check of the small side; otherwise the planner's shuffle join."""
     return big.join(F.broadcast(small) if fits(small, max_rows) else small, on, how)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give heavy per-row text work enough tasks when the input has fewer splits than there are cores.
+
+    Large inputs have far more splits than cores and pass through untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -89,9 +89,11 @@ def _blocked(corpus: DataFrame, queries: DataFrame, k: int, metric: str, schema:
 
     def spread(df, key, own, other, own_block, other_block):
         mine = F.pmod(F.xxhash64(F.col(key)), F.col(own)).cast("int")
-        return df.join(cuts, g).withColumn(own_block, mine).withColumn(
+        both = df.join(cuts, g).withColumn(own_block, mine).withColumn(
             other_block, F.explode(F.sequence(F.lit(0), F.col(other) - 1))
-        ).drop("__nc", "__nq")
+        )
+        # fresh column identities: both sides may come from one table
+        return both.select(*[F.col(x).alias(x) for x in (key, "vec", g, "__qb", "__cb")])
 
     c = spread(corpus, "id", "__nc", "__nq", "__cb", "__qb")
     q = spread(queries, "query_id", "__nq", "__nc", "__qb", "__cb")

@@ -203,3 +203,39 @@ def allowed_label(answer: Column, allowed: Sequence[str], default: str) -> Colum
     """Trimmed lower-case answer when it is one of the allowed labels, else the default."""
     clean = F.lower(F.trim(answer))
     return F.when(clean.isin(list(allowed)), clean).otherwise(default)
+
+
+def fan_out(df: DataFrame, members: Sequence[str], name: str = "expert") -> DataFrame:
+    """One copy of every row per member of a fixed set, made in the row itself."""
+    return df.withColumn(name, F.explode(F.array(*[F.lit(m) for m in members])))
+
+
+def route_exact(df: DataFrame, key: str, handlers: Mapping[str, str]) -> DataFrame:
+    """Handler of an exact key; other rows get an error text."""
+    out = None
+    for k, v in handlers.items():
+        out = F.when(F.col(key) == k, v) if out is None else out.when(F.col(key) == k, v)
+    return df.withColumn("handler", out).withColumn(
+        "error", F.when(F.col("handler").isNull(), F.concat(F.lit("no handler for "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+    )
+
+
+def match_substring(
+    df: DataFrame, name: str, profiles: DataFrame, profile_name: str, order: str, value: str, default: str, key: str, gram: int = 3
+) -> DataFrame:
+    """Value of the first profile (by ``order``) whose name contains the row's name, in any case; else the default.
+
+    Containment becomes an equi-join: a profile offers every gram of its name, a row asks with the first gram of its
+    own, and candidates are verified. Names shorter than a gram ask with all they have.
+    """
+    asked = F.lower(F.col(name))
+    rows = df.withColumns({"__asked": asked, "__gram": F.substring(asked, 1, gram)})
+    low = F.lower(F.col(profile_name))
+    sizes = F.sequence(F.lit(1), F.lit(gram))
+    grams = F.array_distinct(F.flatten(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length(low), F.lit(1))), lambda i: F.transform(sizes, lambda n: F.substr(low, i, n))
+    )))
+    offers = profiles.select(low.alias("__low"), F.col(order).alias("__order"), F.col(value).alias("__value"), F.explode(grams).alias("__gram"))
+    hits = rows.filter(F.length("__asked") > 0).join(offers, "__gram").filter(F.contains("__low", "__asked"))
+    first = hits.groupBy(key).agg(F.min_by("__value", "__order").alias("__v"))
+    return df.join(first, key, "left").withColumn(value, F.coalesce("__v", F.lit(default))).drop("__v")

@@ -9,10 +9,13 @@ from __future__ import annotations
 from collections import defaultdict
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from agentlake.core import spread, stable
+
 WORD = r"[\p{L}\p{N}_]{2,}"
 # fixed values: stop words, our own short list
 STOP_WORDS = (
@@ -24,13 +27,14 @@ STOP_WORDS = (
 ).split()
 MAX_POSTINGS = 400_000
 DIGITS = 6
+CELLS = 1 << 22  # document x query sums held at once in a task
 
 
 def term_counts(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     """(id, term, tf); counts are combined in the task that holds the document before they move."""
     found = F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(f"({WORD})"), F.lit(1)))
     return (
-        docs.select(F.col(id_col).alias("id"), found.alias("term"))
+        spread(docs.select(id_col, text)).select(F.col(id_col).alias("id"), found.alias("term"))
         .filter(~F.col("term").isin(STOP_WORDS))
         .groupBy("id", "term")
         .agg(F.count("*").alias("tf"))
@@ -38,12 +42,9 @@ def term_counts(docs: DataFrame, id_col: str, text: str) -> DataFrame:
 
 
 def fit(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(term, idf) of a corpus; the document count includes documents without words.
-
-    The document frequency is summed from ``tf`` so that the plan shares one exchange of counts with ``transform``.
-    """
+    """(term, idf) of a corpus; the document count includes documents without words."""
     n = docs.agg(F.count("*").alias("n")).withColumn("__one", F.lit(1))
-    df = term_counts(docs, id_col, text).groupBy("term").agg(F.sum(F.least(F.col("tf"), F.lit(1))).alias("df"))
+    df = term_counts(docs, id_col, text).groupBy("term").agg(F.count("*").alias("df"))
     return df.withColumn("__one", F.lit(1)).join(n, "__one").select(
         "term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf")
     )
@@ -61,44 +62,41 @@ def transform(docs: DataFrame, id_col: str, text: str, idf: DataFrame) -> DataFr
 
 def _carried(docs: DataFrame, asked: list, threshold: float, strict: bool, schema: str) -> DataFrame:
     """Score batches of documents against the asked postings inside the task; only hits leave it."""
-    rows_of: dict[str, list] = defaultdict(list)
+    postings: dict[str, list] = defaultdict(list)
     names = sorted({r["query_id"] for r in asked})
     at = {q: i for i, q in enumerate(names)}
     for r in asked:
-        rows_of[r["term"]].append((at[r["query_id"]], r["w"]))
-    vocab = {t: i for i, t in enumerate(rows_of)}
-    start = np.cumsum([0] + [len(v) for v in rows_of.values()])
-    q_of = np.array([q for v in rows_of.values() for q, _ in v], dtype=np.int64)
-    w_of = np.array([w for v in rows_of.values() for _, w in v], dtype=np.float64)
-    width, step = len(names), max(1, (1 << 22) // max(1, len(names)))
+        postings[r["term"]].append((at[r["query_id"]], r["w"]))
+    vocab = list(postings)
+    start = np.cumsum([0] + [len(v) for v in postings.values()])
+    q_of = np.array([q for v in postings.values() for q, _ in v], dtype=np.int64)
+    w_of = np.array([w for v in postings.values() for _, w in v], dtype=np.float64)
+    width = max(1, len(names))
+    step = max(1, CELLS // width)
 
     def score(batches):
-        for pdf in batches:
-            for low in range(0, len(pdf), step):
-                part = pdf.iloc[low : low + step]
-                doc, term, weight = [], [], []
-                for i, ws in enumerate(part["ws"]):
-                    for x in ws:
-                        j = vocab.get(x["term"])
-                        if j is not None:
-                            doc.append(i)
-                            term.append(j)
-                            weight.append(x["w"])
-                if not doc:
+        known = pa.array(vocab, pa.string())
+        for batch in batches:
+            for low in range(0, batch.num_rows, step):
+                part = batch.slice(low, step)
+                lists = part.column("ws")
+                doc = np.repeat(np.arange(part.num_rows), pc.list_value_length(lists).fill_null(0).to_numpy())
+                flat = lists.flatten()
+                term = pc.index_in(flat.field("term"), value_set=known).fill_null(-1).to_numpy()
+                used = np.flatnonzero(term >= 0)
+                if not len(used):
                     continue
-                term = np.asarray(term)
+                term, weight = term[used], flat.field("w").to_numpy()[used]
                 size = start[term + 1] - start[term]
-                first = np.repeat(start[term] - np.concatenate(([0], np.cumsum(size)[:-1])), size)
-                pos = first + np.arange(size.sum())
-                cell = np.repeat(np.asarray(doc), size) * width + q_of[pos]
-                sums = np.bincount(cell, np.repeat(np.asarray(weight), size) * w_of[pos], minlength=len(part) * width)
-                s = np.round(sums, DIGITS)
+                pos = np.repeat(start[term] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                cell = np.repeat(doc[used], size) * width + q_of[pos]
+                s = np.round(np.bincount(cell, np.repeat(weight, size) * w_of[pos], minlength=part.num_rows * width), DIGITS)
                 hit = np.flatnonzero((s > threshold) if strict else (s >= threshold) & (s > 0))
-                yield pd.DataFrame({
-                    "query_id": [names[h % width] for h in hit], "id": part["id"].to_numpy()[hit // width], "score": s[hit],
-                })
+                ids = part.column("id").take(pa.array(hit // width))
+                asked_ids = pa.array([names[h] for h in hit % width])
+                yield pa.RecordBatch.from_arrays([asked_ids, ids, pa.array(s[hit])], ["query_id", "id", "score"])
 
-    return docs.mapInPandas(score, schema)
+    return docs.mapInArrow(score, schema)
 
 
 def match(docs: DataFrame, queries: DataFrame, threshold: float, strict: bool = False, max_postings: int = MAX_POSTINGS) -> DataFrame:
@@ -121,8 +119,11 @@ def search(
     docs: DataFrame, queries: DataFrame, threshold: float = 0.15, fit_on: str = "docs", strict: bool = False,
     id_col: str = "id", text: str = "text", query_id: str = "query_id", query_text: str = "text",
 ) -> DataFrame:
-    """Fit on the documents (or on the queries), then match every query with every document above the threshold."""
-    idf = fit(docs, id_col, text) if fit_on == "docs" else fit(queries, query_id, query_text)
+    """Fit on the documents (or on the queries), then match every query with every document above the threshold.
+
+    The (term, idf) table is written once, since both sides read it: two passes over the documents in all.
+    """
+    idf = stable(fit(docs, id_col, text) if fit_on == "docs" else fit(queries, query_id, query_text))
     return match(transform(docs, id_col, text, idf), transform(queries, query_id, query_text, idf), threshold, strict)
 
 

@@ -277,3 +277,117 @@ def patterns(spark: SparkSession, sf: str) -> DataFrame:
         F.when(m == 0, "low").when(m == 1, "medium").when(m == 2, "high").when(m == 3, "critical").otherwise("other").alias("severity"),
         level_of(F.col("item_id")).alias("privacy_level"),
     )
+
+
+# ---------------------------------------------------------------- vectors, sessions, memory
+FIRST_OF_LABEL_SQL = """asked AS (SELECT label AS query_id, arg_min(embedding, vec_id) AS vec FROM embeddings GROUP BY label)"""
+COSINE_SQL = "list_dot_product(CAST({a} AS DOUBLE[]), CAST({b} AS DOUBLE[])) / (sqrt(list_dot_product(CAST({a} AS DOUBLE[]), CAST({a} AS DOUBLE[]))) * sqrt(list_dot_product(CAST({b} AS DOUBLE[]), CAST({b} AS DOUBLE[]))))"
+
+
+def vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), "label")
+
+
+def first_of_label(spark: SparkSession, sf: str) -> DataFrame:
+    """The first vector of each label, as queries."""
+    return table(spark, sf, "embeddings").groupBy(F.col("label").alias("query_id")).agg(
+        F.min_by("embedding", "vec_id").alias("vec")
+    )
+
+
+def memory(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("id"), F.col("label").alias("owner"),
+        F.when(F.col("vec_id") % 3 == 0, "default").when(F.col("vec_id") % 3 == 1, "travel").otherwise("games").alias("namespace"),
+        F.col("vec_id").alias("timestamp"), F.col("embedding").alias("vec"),
+    )
+
+
+# ---------------------------------------------------------------- runs, messages, plans, activities, weather
+TOOLS = ("search", "lookup", "compute")
+MESSAGES_SQL = """messages AS (
+  SELECT conv_id AS run_id, turn AS seq, role, text AS content, length(text) // 4 AS total_tokens,
+         CASE WHEN role = 'assistant' AND length(text) % 4 < 3 THEN ['search', 'lookup', 'compute'][1 + CAST(length(text) % 4 AS INTEGER)] END AS tool,
+         CASE WHEN length(text) % 5 = 0 THEN '{"q": ' ELSE '{"q": 1}' END AS arguments
+  FROM conversations)"""
+RUNS_SQL = """runs AS (
+  SELECT conv_id AS run_id, CASE conv_id % 3 WHEN 0 THEN ['search'] WHEN 1 THEN ['lookup', 'compute'] ELSE ['none'] END AS expected_tools,
+         CASE WHEN conv_id % 4 = 0 THEN NULL ELSE 3 END AS max_steps, CAST(min(turn) AS DOUBLE) AS started, CAST(max(turn) * 2 AS DOUBLE) AS ended,
+         CAST(sum(length(text) // 4) AS BIGINT) AS total_tokens
+  FROM conversations GROUP BY conv_id)"""
+ITEMS_SQL = """items AS (
+  SELECT user_id AS plan_id, event_id AS activity_id, CAST(ts AS DATE) AS day, CAST(floor(value) AS BIGINT) AS price, event_type AS kind,
+         [event_type, 'k' || CAST(json_extract_string(props, '$.k') AS BIGINT) % 7] AS interests FROM events)"""
+PLANS_SQL = """plans AS (
+  SELECT plan_id, min(day) AS start_date, max(day) AS end_date, CAST(sum(price) + CASE WHEN plan_id % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS total_cost,
+         900 + plan_id % 500 AS budget FROM items GROUP BY plan_id)"""
+TRAVELERS_SQL = """travelers AS (
+  SELECT c_custkey // 10 AS plan_id, c_custkey AS traveler,
+         [['view', 'signup', 'hiking', 'error', 'purchase'][1 + CAST(c_custkey % 5 AS INTEGER)], 'k' || c_custkey % 9] AS interests FROM customer)"""
+WEATHER_SQL = """weather AS (
+  SELECT CAST(ts AS DATE) AS day, ['clear', 'partly cloudy', 'thunderstorm', 'rainy', 'sunny'][1 + CAST(count(*) % 5 AS INTEGER)] AS condition
+  FROM events GROUP BY 1)"""
+
+
+def messages(spark: SparkSession, sf: str) -> DataFrame:
+    n = F.length("text")
+    tool = F.element_at(F.array(*[F.lit(t) for t in TOOLS]), (n % 4 + 1).cast("int"))
+    args = F.when(n % 5 == 0, '{"q": ').otherwise('{"q": 1}')
+    call = F.array(F.struct(tool.alias("name"), args.alias("arguments")))
+    none = F.array().cast("array<struct<name:string,arguments:string>>")
+    return table(spark, sf, "conversations").select(
+        F.col("conv_id").alias("run_id"), F.col("turn").alias("seq"), "role", F.col("text").alias("content"),
+        F.floor(n / 4).alias("total_tokens"),
+        F.when((F.col("role") == "assistant") & (n % 4 < 3), call).otherwise(none).alias("tool_calls"),
+    )
+
+
+def runs(spark: SparkSession, sf: str) -> DataFrame:
+    m = F.col("conv_id") % 3
+    lit = lambda *v: F.array(*[F.lit(x) for x in v])
+    per = table(spark, sf, "conversations").groupBy("conv_id").agg(
+        F.min("turn").cast("double").alias("started"), (F.max("turn") * 2).cast("double").alias("ended"),
+        F.sum(F.floor(F.length("text") / 4)).alias("total_tokens"),
+    )
+    return per.select(
+        F.col("conv_id").alias("run_id"), F.when(m == 0, lit("search")).when(m == 1, lit("lookup", "compute")).otherwise(lit("none")).alias("expected_tools"),
+        F.when(F.col("conv_id") % 4 != 0, 3).alias("max_steps"), "started", "ended", "total_tokens",
+    )
+
+
+def snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs with id under a multiple of seven never left a snapshot; first turns are entries."""
+    rows = table(spark, sf, "conversations").filter(F.col("conv_id") % 7 != 6)
+    return rows.select(F.col("conv_id").alias("run_id"), F.when(F.col("turn") == 0, "__entry__").otherwise(F.col("role")).alias("step_id"))
+
+
+def items(spark: SparkSession, sf: str) -> DataFrame:
+    k = (F.get_json_object("props", "$.k").cast("long") % 7).cast("string")
+    return table(spark, sf, "events").select(
+        F.col("user_id").alias("plan_id"), F.col("event_id").alias("activity_id"), F.col("ts").cast("date").alias("day"),
+        F.floor("value").alias("price"), F.col("event_type").alias("kind"), F.array("event_type", F.concat(F.lit("k"), k)).alias("interests"),
+    )
+
+
+def plans(spark: SparkSession, sf: str) -> DataFrame:
+    per = items(spark, sf).groupBy("plan_id").agg(F.min("day").alias("start_date"), F.max("day").alias("end_date"), F.sum("price").alias("s"))
+    return per.select(
+        "plan_id", "start_date", "end_date", (F.col("s") + F.when(F.col("plan_id") % 3 == 0, 1).otherwise(0)).alias("total_cost"),
+        (F.lit(900) + F.col("plan_id") % 500).alias("budget"),
+    )
+
+
+def travelers(spark: SparkSession, sf: str) -> DataFrame:
+    key = F.col("c_custkey")
+    kinds = F.array(*[F.lit(x) for x in ("view", "signup", "hiking", "error", "purchase")])
+    return table(spark, sf, "customer").select(
+        F.floor(key / 10).alias("plan_id"), key.alias("traveler"),
+        F.array(F.element_at(kinds, (key % 5 + 1).cast("int")), F.concat(F.lit("k"), (key % 9).cast("string"))).alias("interests"),
+    )
+
+
+def weather(spark: SparkSession, sf: str) -> DataFrame:
+    names = F.array(*[F.lit(x) for x in ("clear", "partly cloudy", "thunderstorm", "rainy", "sunny")])
+    return table(spark, sf, "events").groupBy(F.col("ts").cast("date").alias("day")).agg(
+        F.element_at(names, (F.count("*") % 5 + 1).cast("int")).alias("condition")
+    )
