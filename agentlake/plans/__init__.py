@@ -6,7 +6,9 @@ import importlib
 
 from agentlake.plans.registry import ORACLE, QUERIES
 
-TOPICS = ("ledger_queries", "fulfil_queries", "scheduling_queries", "claims_queries", "retrieval_queries", "eval_queries", "model_queries")
+TOPICS = (
+    "ledger_queries", "fulfil_queries", "scheduling_queries", "claims_queries", "retrieval_queries", "eval_queries", "model_queries", "io_queries",
+)
 
 
 def load_all():
