@@ -1,4 +1,4 @@
-"""Session, table access, reliable checkpoints and size-checked small sides."""
+"""Session, table access, reliable checkpoints, size checks."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def build_session(app: str = "agentlake", master: str | None = None, partitions: int | None = None) -> SparkSession:
@@ -65,11 +64,6 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def bounded_join(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = 50_000) -> DataFrame:
-    """Join with a broadcast hint only behind a row check of the small side; otherwise the planner's shuffle join."""
-    return big.join(F.broadcast(small) if fits(small, max_rows) else small, on, how)
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Give heavy per-row text work enough tasks when the input has fewer splits than there are cores.
 

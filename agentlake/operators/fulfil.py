@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from agentlake.core import stable
 from agentlake.functions import scalars as fn
 from agentlake.operators.ledger import as_of_stock
 from agentlake.operators.predicates import validate_lines
@@ -62,6 +63,17 @@ def overall_status(quoted: DataFrame, requests: DataFrame) -> DataFrame:
     )
 
 
+def place_orders(
+    lines: DataFrame, requests: DataFrame, catalog: DataFrame, inventory: DataFrame, ledger: DataFrame
+) -> DataFrame:
+    """Quote the lines and emit the ledger rows of the fulfilled orders.
+
+    The quoted lines are read twice (for the status of the request and for its rows), so they are written once.
+    """
+    quoted = stable(quote_lines(lines, requests, catalog, ledger))
+    return ledger_writes(quoted, overall_status(quoted, requests), inventory, ledger)
+
+
 def ledger_writes(quoted: DataFrame, overall: DataFrame, inventory: DataFrame, ledger: DataFrame) -> DataFrame:
     """Ledger rows of fulfilled orders: shortage purchase, sale, and a reorder where the stock falls under the minimum.
 

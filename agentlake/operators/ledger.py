@@ -88,32 +88,27 @@ def financial_report(inventory: DataFrame, ledger: DataFrame, day: str, top: int
             " WHEN a.item > b.item THEN 1 ELSE 0 END)"
         ).alias("top_sellers")
     )
-    one = F.lit(1).alias("__one")
-    return (
-        cash.select("*", one)
-        .join(value.select("*", one), "__one")
-        .join(best.select("*", one), "__one")
-        .select(
-            F.lit(day).alias("as_of_date"),
-            "cash_balance",
-            "inventory_value",
-            (F.col("cash_balance") + F.col("inventory_value")).alias("total_assets"),
-            "top_sellers",
-        )
+    money = lambda c: F.col(c).cast("decimal(38,2)")
+    totals = cash.select(F.col("cash_balance"), value.select(money("inventory_value")).scalar().alias("inventory_value"), best.scalar().alias("top_sellers"))
+    return totals.select(
+        F.lit(day).alias("as_of_date"),
+        "cash_balance",
+        "inventory_value",
+        (F.col("cash_balance") + F.col("inventory_value")).alias("total_assets"),
+        "top_sellers",
     )
 
 
 def as_of_stock(lines: DataFrame, ledger: DataFrame, item: str = "item", day: str = "request_date") -> DataFrame:
     """Stock of each line's item on the line's date (same-day rows included).
 
-    Net change per (item, day) first, then one running sum per item over its days: the window sees one row per
-    day, however many rows the item has. Probe days enter as zero changes, so no range join is needed.
+    Ledger rows and zero-change probe rows are summed per (item, day) in one map-side combined aggregate, then one
+    running sum per item over its days: the window sees one row per day, however many rows the item has, and no range
+    join is needed.
     """
-    daily = ledger.filter(F.col("item").isNotNull()).groupBy("item", F.col("txn_date").alias("__day")).agg(
-        F.sum(signed_units()).alias("__net")
-    )
+    changes = ledger.filter(F.col("item").isNotNull()).select("item", F.col("txn_date").alias("__day"), signed_units().alias("__net"))
     probes = lines.select(F.col(item).alias("item"), F.col(day).alias("__day"), F.lit(0).cast("long").alias("__net"))
-    per_day = daily.unionByName(probes.distinct()).groupBy("item", "__day").agg(F.sum("__net").alias("__net"))
+    per_day = changes.unionByName(probes).groupBy("item", "__day").agg(F.sum("__net").alias("__net"))
     w = Window.partitionBy("item").orderBy("__day").rowsBetween(Window.unboundedPreceding, 0)
     stock = per_day.select(
         F.col("item").alias("__item"), F.col("__day"), F.sum("__net").over(w).alias("available")

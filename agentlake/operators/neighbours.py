@@ -7,6 +7,7 @@ an equi-join on the block pair, and again only k rows per query leave a block. N
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 import numpy as np
@@ -14,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from agentlake.core import fits
 from agentlake.operators.predicates import compile_where, compile_where_document
 
 MAX_CARRIED = 2048  # queries carried to every task: 2,048 x 64 floats are half a megabyte
@@ -115,7 +117,7 @@ def nearest(
     """Top ``k`` corpus rows per query. ``corpus``: id, vec; ``queries``: query_id, vec."""
     corpus, queries = corpus.select("id", "vec"), queries.select("query_id", "vec")
     schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, id {corpus.schema['id'].dataType.simpleString()}, score double"
-    few = queries.limit(max_carried + 1).count() <= max_carried
+    few = fits(queries, max_carried)
     local = _carried(corpus, queries, k, metric, schema) if few else _blocked(corpus, queries, k, metric, schema, None)
     return _merge(local, k, metric)
 
@@ -172,12 +174,15 @@ def _signatures(vec_col: str, tables: int, bits: int, dim: int, seed: int):
 
 
 def nearest_approximate(
-    corpus: DataFrame, queries: DataFrame, dim: int, k: int = 3, tables: int = 16, bits: int = 4, seed: int = 7
+    corpus: DataFrame, queries: DataFrame, dim: int, k: int = 3, tables: int = 16, bits: int | None = None, seed: int = 7
 ) -> DataFrame:
     """Approximate top ``k`` by cosine: random-hyperplane buckets give candidates, exact scores rank them.
 
     Rows meet their bucket only; a bucket too big for one task is cut into blocks, so no candidate is dropped.
+    Unless given, the bits grow with the corpus so that a bucket of evenly spread rows stays near 4,096.
     """
+    if bits is None:
+        bits = max(4, min(30, math.ceil(math.log2(max(1, corpus.count()) / 4096))))
     c = corpus.select("id", "vec", F.explode(_signatures("vec", tables, bits, dim, seed)).alias("bucket"))
     q = queries.select("query_id", "vec", F.explode(_signatures("vec", tables, bits, dim, seed)).alias("bucket"))
     schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, id {corpus.schema['id'].dataType.simpleString()}, score double"

@@ -126,9 +126,9 @@ def match_attributes(df: DataFrame, attributes: Mapping) -> DataFrame:
 
 
 def flag_keywords(text: Column, keywords: Sequence[str]) -> Column:
-    """Keywords found in the text, in list order."""
+    """Keywords found in the text, in list order. The text is lower-cased once."""
     low = F.lower(text)
-    return F.filter(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains(low, k))
+    return F.array_compact(F.array(*[F.when(F.contains(low, F.lit(k)), F.lit(k)) for k in keywords]))
 
 
 def label_if_any(text: Column, keywords: Sequence[str], label: str, default: str) -> Column:

@@ -32,12 +32,12 @@ def reprioritize(queue: DataFrame, updates: DataFrame) -> DataFrame:
     """Apply the last valid priority per order and give the changed orders a new ready date.
 
     ``updates``: order_id, seq, priority; priorities outside 1..3 are refused and orders not in the queue ignored.
-    The queue volume is one aggregated row.
+    The queue volume is a scalar subquery.
     """
     valid = updates.filter(F.col("priority").isin(fn.NORMAL, fn.RUSH, fn.EMERGENCY))
     last = valid.groupBy("order_id").agg(F.max_by("priority", "seq").alias("new_priority"))
-    volume = queue.agg(F.coalesce(F.sum("quantity"), F.lit(0)).alias("volume")).withColumn("__one", F.lit(1))
-    changed = queue.join(last, "order_id").withColumn("__one", F.lit(1)).join(volume, "__one")
+    volume = queue.agg(F.coalesce(F.sum("quantity"), F.lit(0)).alias("volume"))
+    changed = queue.join(last, "order_id").withColumn("volume", volume.scalar())
     days = fn.eta_days(F.col("volume"), F.col("new_priority"))
     return changed.select(
         "order_id", F.col("priority").alias("old_priority"), "new_priority",

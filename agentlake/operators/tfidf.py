@@ -43,21 +43,27 @@ def term_counts(docs: DataFrame, id_col: str, text: str) -> DataFrame:
 
 def fit(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     """(term, idf) of a corpus; the document count includes documents without words."""
-    n = docs.agg(F.count("*").alias("n")).withColumn("__one", F.lit(1))
+    n = docs.agg(F.count("*").alias("n")).scalar()
     df = term_counts(docs, id_col, text).groupBy("term").agg(F.count("*").alias("df"))
-    return df.withColumn("__one", F.lit(1)).join(n, "__one").select(
-        "term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf")
-    )
+    return df.select("term", (F.log((1 + n) / (1 + F.col("df"))) + 1).alias("idf"))
+
 
+def transform(docs: DataFrame, id_col: str, text: str, idf: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """One row per document: its (term, weight) list of unit length. A document's list is as long as its words.
 
-def transform(docs: DataFrame, id_col: str, text: str, idf: DataFrame) -> DataFrame:
-    """One row per document: its (term, weight) list of unit length. A document's list is as long as its words."""
-    weighted = term_counts(docs, id_col, text).join(idf, "term").select("id", "term", (F.col("tf") * F.col("idf")).alias("w"))
+    With ``wanted`` (a table of terms) the other terms count for the length only and are not gathered.
+    """
+    known = idf if wanted is None else idf.join(wanted.select("term", F.lit(True).alias("want")), "term", "left")
+    keep = F.lit(True) if wanted is None else F.col("want")
+    # the planner sizes exploded words like the text they come from and would broadcast them: ask for a merge join,
+    # whose skew splitting also takes care of words that are in most documents
+    counts = term_counts(docs, id_col, text).join(known.hint("merge"), "term")
+    weighted = counts.select("id", "term", (F.col("tf") * F.col("idf")).alias("w"), keep.alias("keep"))
     per_doc = weighted.groupBy("id").agg(
-        F.collect_list(F.struct("term", "w")).alias("ws"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")
+        F.collect_list(F.when(F.col("keep"), F.struct("term", "w"))).alias("ws"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")
     )
-    unit = lambda x, n: F.struct(x["term"].alias("term"), (x["w"] / n).alias("w"))
-    return per_doc.select("id", F.transform("ws", lambda x: unit(x, F.col("norm"))).alias("ws"))
+    unit = lambda x: F.struct(x["term"].alias("term"), (x["w"] / F.col("norm")).alias("w"))
+    return per_doc.select("id", F.transform("ws", unit).alias("ws"))
 
 
 def _carried(docs: DataFrame, asked: list, threshold: float, strict: bool, schema: str) -> DataFrame:
@@ -121,10 +127,13 @@ def search(
 ) -> DataFrame:
     """Fit on the documents (or on the queries), then match every query with every document above the threshold.
 
-    The (term, idf) table is written once, since both sides read it: two passes over the documents in all.
+    The (term, idf) table and the asked vectors are written once, since they are read more than once: two passes over
+    the documents in all, and of their words only those asked for are gathered.
     """
     idf = stable(fit(docs, id_col, text) if fit_on == "docs" else fit(queries, query_id, query_text))
-    return match(transform(docs, id_col, text, idf), transform(queries, query_id, query_text, idf), threshold, strict)
+    asked = stable(transform(queries, query_id, query_text, idf))
+    wanted = asked.select(F.explode("ws.term").alias("term")).distinct()
+    return match(transform(docs, id_col, text, idf, wanted), asked, threshold, strict)
 
 
 def boosted(

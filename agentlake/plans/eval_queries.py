@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from agentlake.core import table
+from agentlake.core import spread, table
 from agentlake.operators import evals as op
 from agentlake.operators import predicates as pred
 from agentlake.operators import scans, trips
@@ -39,12 +39,12 @@ def routing_quality(spark, sf):
     "SELECT doc_id, array_to_string(list_filter(" + repr(list(KEYWORDS)) + ", lambda k: contains(lower(text), k)), ',') AS flags FROM documents",
 )
 def flag_keywords(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.array_join(pred.flag_keywords(F.col("text"), KEYWORDS), ",").alias("flags"))
+    return spread(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", F.array_join(pred.flag_keywords(F.col("text"), KEYWORDS), ",").alias("flags"))
 
 
 @query("p14_urgency", f"SELECT doc_id, CASE WHEN {URGENT_SQL} THEN 'urgent' ELSE 'normal' END AS label FROM documents")
 def urgency(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", pred.urgency(F.col("text")).alias("label"))
+    return spread(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", pred.urgency(F.col("text")).alias("label"))
 
 
 @query(

@@ -117,9 +117,9 @@ def customer_message(spark, sf):
              delivery_date + CAST({LEAD.format(q='reorder')} AS INTEGER) FROM re WHERE reorder IS NOT NULL)""",
 )
 def ledger_writes(spark, sf):
-    q = quoted(spark, sf)
-    overall = op.overall_status(q, derive.requests(spark, sf))
-    out = op.ledger_writes(q, overall, derive.inventory(spark, sf), derive.ledger(spark, sf))
+    out = op.place_orders(
+        derive.request_lines(spark, sf), derive.requests(spark, sf), derive.catalog(spark, sf), derive.inventory(spark, sf), derive.ledger(spark, sf)
+    )
     return out.select(
         "request_id", "line_no", "item", F.col("ship_date").cast("string").alias("ship_date"),
         F.col("step").cast("long").alias("step"), "txn_type", "units", F.col("price").cast("double").alias("price"),

@@ -24,12 +24,19 @@ def read_requests_csv(spark, sf):
     return files.read_requests(spark, path, rows.schema)
 
 
-@query("s3_json_documents", """SELECT CAST(s_suppkey AS VARCHAR) AS id, '[' || s_nationkey || '] ' || s_name AS content FROM supplier""")
+@query(
+    "s3_json_documents",
+    """SELECT CAST(n_nationkey AS VARCHAR) AS id, '[' || n_name || '] ' || count(c_custkey) || ' customers, best ' || max(c_custkey) AS content
+    FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY n_nationkey, n_name""",
+)
 def json_documents(spark, sf):
     path = files.scratch_path(spark, "cards")
-    rows = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("stem"), "s_name", "s_nationkey")
-    rows.repartition("stem").write.partitionBy("stem").json(path)
-    docs = files.read_json_documents(spark, path, "s_name string, s_nationkey int", "[{s_nationkey}] {s_name}", r"stem=(\d+)/")
+    nation = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    cards = table(spark, sf, "customer").join(nation, "c_nationkey").groupBy(F.col("c_nationkey").alias("stem"), "n_name").agg(
+        F.count("*").alias("n"), F.max("c_custkey").alias("best")
+    )
+    cards.repartition("stem").write.partitionBy("stem").json(path)
+    docs = files.read_json_documents(spark, path, "n_name string, n long, best long", "[{n_name}] {n} customers, best {best}", r"stem=(\d+)/")
     return docs.select("id", "content")
 
 

@@ -214,8 +214,15 @@ def count_and_peek(spark, sf):
                       table(spark, sf, "documents"))
 
 
+HASH = "CAST('0x' || substr(md5(p_partkey || ':{seed}'), 1, 13) AS BIGINT)"
+
+
 @query(
     "s12_exact_sample",
+    f"""WITH h AS (SELECT p_partkey AS item, p_type AS category, {HASH.format(seed=137)} AS h, 200 + {HASH.format(seed=138)} % 600 AS current_stock,
+      50 + {HASH.format(seed=139)} % 100 AS min_stock_level FROM part),
+    r AS (SELECT *, row_number() OVER (ORDER BY h, item) AS rn, count(*) OVER () AS n FROM h)
+    SELECT item, category, current_stock, min_stock_level FROM r WHERE rn <= floor(n * 0.4::DOUBLE)""",
 )
 def exact_sample(spark, sf):
     from agentlake.sources.sampling import sample_inventory

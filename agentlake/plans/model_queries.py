@@ -62,7 +62,26 @@ def parse_structured(spark, sf):
     return out.select("event_id", F.col("parsed.k").alias("k"), F.col("parsed_error").alias("error"))
 
 
-@query("m3_evaluate_and_refine")
+def refine_sql(threshold: float, rounds: int) -> str:
+    """The refinement of ``short`` and ``judge`` unrolled: one CTE per round, failing rows go on."""
+    parts = ["p1 AS (SELECT conv_id, turn, text, text AS p FROM conversations)"]
+    for n in range(1, rounds + 1):
+        parts += [
+            f"a{n} AS (SELECT *, {SHORT.format(p='p')} AS response FROM p{n})",
+            f"b{n} AS (SELECT *, length(text || chr(10) || '---' || chr(10) || response) AS size FROM a{n})",
+            f"r{n} AS (SELECT *, 0.25::DOUBLE * (1 + size % 4) AS score, 'length ' || size AS evaluation FROM b{n})",
+            f"p{n + 1} AS (SELECT conv_id, turn, text, text || chr(10) || 'Earlier answer: ' || response || chr(10) || 'Improve it: ' || evaluation AS p"
+            f" FROM r{n} WHERE score < {threshold})",
+        ]
+    ends = [
+        f"SELECT conv_id, turn, response, evaluation, CAST({n} AS BIGINT) AS iterations, score >= {threshold} AS passed, score FROM r{n}"
+        + ("" if n == rounds else f" WHERE score >= {threshold}")
+        for n in range(1, rounds + 1)
+    ]
+    return "WITH " + ", ".join(parts) + " " + " UNION ALL ".join(ends)
+
+
+@query("m3_evaluate_and_refine", refine_sql(0.75, 4))
 def refine(spark, sf):
     rows = table(spark, sf, "conversations").select("conv_id", "turn", "text")
     out = op.refine(rows, "text", short, judge, threshold=0.75, max_rounds=4)
@@ -247,13 +266,37 @@ def valid_json(spark, sf):
     return table(spark, sf, "conversations").select("conv_id", "turn", tx.valid_json(args).alias("valid"))
 
 
-@query("v1_chunk_documents")
+def chunks_sql(size: int, overlap: int, min_cut: int = 50) -> str:
+    """Recursive CTE ``chunks`` (doc_id, chunk_id, text, chunk_size): one step per chunk of every document."""
+    piece = f"substr(t.text, {{s}}, {size})"
+    tail = f"length(string_split({piece}, chr(10))[-1])"
+    cut = f"length({piece}) - {tail}"
+    width = (
+        f"CASE WHEN t.total <= {size} THEN t.total WHEN contains({piece}, chr(10)) AND {cut} >= {min_cut} THEN {cut} ELSE length({piece}) END"
+    )
+    start = f"CASE WHEN c.pos + c.width - {overlap} > c.pos THEN c.pos + c.width - {overlap} ELSE c.pos + c.width END"
+    return f"""t AS (SELECT doc_id, text, length(text) AS total FROM
+      (SELECT doc_id, regexp_replace(regexp_replace(text, '[ \\t]+', ' ', 'g'), '^\\s+|\\s+$', '', 'g') AS text FROM documents)),
+    c AS (SELECT doc_id, CAST(0 AS BIGINT) AS chunk_id, CAST(1 AS BIGINT) AS pos, CAST({width.format(s='1')} AS BIGINT) AS width FROM t
+      UNION ALL
+      SELECT n.doc_id, n.chunk_id, n.pos, CAST({width.format(s='n.pos')} AS BIGINT)
+      FROM (SELECT c.doc_id, c.chunk_id + 1 AS chunk_id, {start} AS pos FROM c JOIN t USING (doc_id) WHERE c.pos + c.width <= t.total) n JOIN t USING (doc_id)),
+    chunks AS (SELECT doc_id, chunk_id, substr(text, pos, width) AS text, width AS chunk_size FROM c JOIN t USING (doc_id))"""
+
+
+@query("v1_chunk_documents", f"WITH RECURSIVE {chunks_sql(500, 200)} SELECT * FROM chunks")
 def chunk_documents(spark, sf):
     return tx.chunk_text(spread(table(spark, sf, "documents").select("doc_id", "text")), "doc_id", "text", size=500, overlap=200)
 
 
-@query("v2_bounded_index")
+@query(
+    "v2_bounded_index",
+    f"""WITH RECURSIVE {chunks_sql(1200, 100)}, s AS (SELECT doc_id, chunk_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS text FROM chunks),
+    n AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY chunk_id) - 1 AS chunk_id, text FROM s WHERE text <> '')
+    SELECT doc_id, chunk_id, text, length(text) AS chunk_size, CAST(16 AS BIGINT) AS dim FROM n WHERE chunk_id < 80""",
+)
 def bounded_index(spark, sf):
     docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
-    chunks = tx.chunk_text(docs, "doc_id", "text", size=500, overlap=100, max_chunks=20, strip=True)
-    return chunks.withColumn("vec", vec.embed_column(F.col("text"), vec.hashing_embedder(16)))
+    chunks = tx.chunk_text(docs, "doc_id", "text", size=1200, overlap=100, max_chunks=80, strip=True)
+    index = chunks.withColumn("vec", vec.embed_column(F.col("text"), vec.hashing_embedder(16)))
+    return index.select("doc_id", "chunk_id", "text", "chunk_size", F.size("vec").cast("long").alias("dim"))

@@ -138,14 +138,14 @@ def best_memory(spark, sf):
     "v9_rag_context",
     f"""WITH {ranked_sql('true', 3)}
     SELECT CAST(query_id AS BIGINT) AS query_id, 'Answer from the context.' || chr(10) || chr(10) || 'Context:' || chr(10)
-      || CASE WHEN length(c) > 2000 THEN substr(c, 1, 2000) || '...' ELSE c END
+      || c
       || chr(10) || chr(10) || 'Question: ' || query_id || chr(10) || chr(10) || 'Answer:' AS prompt
     FROM (SELECT query_id, string_agg(text, chr(10) || chr(10) ORDER BY rank) AS c FROM top JOIN documents ON doc_id = id GROUP BY 1)""",
 )
 def rag_context(spark, sf):
     asked = derive.first_of_label(spark, sf)
     hits = nn.nearest(derive.vectors(spark, sf), asked, 3)
-    ctx = rag.contexts(hits, table(spark, sf, "documents"), "doc_id", "text", max_chars=2000)
+    ctx = rag.contexts(hits, table(spark, sf, "documents"), "doc_id", "text")
     questions = asked.select("query_id", F.col("query_id").cast("string").alias("question"))
     return rag.prompts(ctx, questions, "question").select(F.col("query_id").cast("long").alias("query_id"), "prompt")
 

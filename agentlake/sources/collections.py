@@ -70,6 +70,5 @@ def peek(df: DataFrame, n: int, id_col: str) -> DataFrame:
 
 
 def with_count(sample: DataFrame, whole: DataFrame, name: str = "n") -> DataFrame:
-    """Sample rows next to the row count of the whole collection (one counted row, joined on a constant)."""
-    total = whole.agg(F.count("*").alias(name)).withColumn("__one", F.lit(1))
-    return sample.withColumn("__one", F.lit(1)).join(total, "__one").drop("__one")
+    """Sample rows next to the row count of the whole collection, a scalar subquery."""
+    return sample.withColumn(name, whole.agg(F.count("*").alias(name)).scalar())

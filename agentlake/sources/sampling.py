@@ -4,33 +4,38 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def seeded_hash(key: str, seed: int) -> Column:
+    """52 bits of the md5 of key and seed, as a long: the same number in any SQL engine."""
+    text = F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
+
+
 def sample_exact(df: DataFrame, key: str, fraction: float, seed: int) -> DataFrame:
     """``floor(N * fraction)`` rows chosen by a seeded hash of a unique ``key``.
 
     The cut-off hash comes from counts per hash prefix (4,096 small rows); only the one prefix at the edge is
     ranked, so no global sort of the rows takes place.
     """
-    h = F.xxhash64(F.col(key), F.lit(seed))
-    marked = df.withColumns({"__h": h, "__p": F.shiftrightunsigned(h, 52)})
+    marked = df.withColumn("__h", seeded_hash(key, seed)).withColumn("__p", F.shiftright("__h", 40))
     sizes = {r["__p"]: r["n"] for r in marked.groupBy("__p").agg(F.count("*").alias("n")).collect()}  # at most 4,096 rows
-    want = math.floor(sum(sizes.values()) * fraction)
+    total = sum(sizes.values())
+    want = math.floor(total * fraction)
     taken, edge = 0, 0
-    for edge in range(4096):
-        if taken + sizes.get(edge, 0) > want:
-            break
+    while edge < 4096 and taken + sizes.get(edge, 0) <= want:
         taken += sizes.get(edge, 0)
-    whole = marked.filter(F.col("__p") < edge) if taken < sum(sizes.values()) else marked
+        edge += 1
+    whole = marked.filter(F.col("__p") < edge)
     rest = marked.filter(F.col("__p") == edge).orderBy("__h", key).limit(want - taken)
     return whole.unionByName(rest).drop("__h", "__p")
 
 
-def seeded_int(key: str, seed: int, low: int, high: int):
+def seeded_int(key: str, seed: int, low: int, high: int) -> Column:
     """Deterministic integer in ``[low, high)``."""
-    return (F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(high - low)) + low).cast("long")
+    return F.pmod(seeded_hash(key, seed), F.lit(high - low)) + low
 
 
 def sample_inventory(catalog: DataFrame, key: str, fraction: float = 0.4, seed: int = 137) -> DataFrame:

@@ -95,8 +95,7 @@ def request_handler(lines: DataFrame, catalog: DataFrame, inventory: DataFrame,
     def work(requests: DataFrame, batch_id: int) -> DataFrame:
         now = ledger(batch_id)
         mine = lines.join(requests.select("request_id"), "request_id", "left_semi")
-        quoted = fulfil.quote_lines(mine, requests, catalog, now)
-        return fulfil.ledger_writes(quoted, fulfil.overall_status(quoted, requests), inventory, now)
+        return fulfil.place_orders(mine, requests, catalog, inventory, now)
 
     return work
 
