@@ -221,21 +221,21 @@ def route_exact(df: DataFrame, key: str, handlers: Mapping[str, str]) -> DataFra
 
 
 def match_substring(
-    df: DataFrame, name: str, profiles: DataFrame, profile_name: str, order: str, value: str, default: str, key: str, gram: int = 3
+    df: DataFrame, name: str, profiles: DataFrame, profile_name: str, order: str, value: str, default: str, gram: int = 3
 ) -> DataFrame:
     """Value of the first profile (by ``order``) whose name contains the row's name, in any case; else the default.
 
-    Containment becomes an equi-join: a profile offers every gram of its name, a row asks with the first gram of its
-    own, and candidates are verified. Names shorter than a gram ask with all they have.
+    Each distinct name is looked up once. Containment becomes an equi-join: a profile offers every gram of its name, a
+    name asks with its first gram, and candidates are verified. Names shorter than a gram ask with all they have.
     """
-    asked = F.lower(F.col(name))
-    rows = df.withColumns({"__asked": asked, "__gram": F.substring(asked, 1, gram)})
+    asked = df.select(F.lower(name).alias("__asked")).filter(F.length("__asked") > 0).distinct()
     low = F.lower(F.col(profile_name))
     sizes = F.sequence(F.lit(1), F.lit(gram))
     grams = F.array_distinct(F.flatten(F.transform(
         F.sequence(F.lit(1), F.greatest(F.length(low), F.lit(1))), lambda i: F.transform(sizes, lambda n: F.substr(low, i, n))
     )))
     offers = profiles.select(low.alias("__low"), F.col(order).alias("__order"), F.col(value).alias("__value"), F.explode(grams).alias("__gram"))
-    hits = rows.filter(F.length("__asked") > 0).join(offers, "__gram").filter(F.contains("__low", "__asked"))
-    first = hits.groupBy(key).agg(F.min_by("__value", "__order").alias("__v"))
-    return df.join(first, key, "left").withColumn(value, F.coalesce("__v", F.lit(default))).drop("__v")
+    hits = asked.withColumn("__gram", F.substring("__asked", 1, gram)).join(offers, "__gram").filter(F.contains("__low", "__asked"))
+    first = hits.groupBy("__asked").agg(F.min_by("__value", "__order").alias("__v"))
+    out = df.join(first, F.lower(df[name]) == first["__asked"], "left")
+    return out.withColumn(value, F.coalesce("__v", F.lit(default))).drop("__v", "__asked")

@@ -49,10 +49,10 @@ def interest_hits(travelers: DataFrame, activities: DataFrame, key: str = "plan_
     offered = sets.select(key, "set", "n", F.explode("set").alias("interest"))
     wanted = travelers.select(key, "traveler", F.explode(F.array_distinct("interests")).alias("interest"))
     met = wanted.join(offered, [key, "interest"]).groupBy(key, "traveler", "set").agg(
-        F.max("n").alias("n"), F.collect_set("interest").alias("shared")
+        F.max("n").alias("n"), F.array_sort(F.collect_set("interest")).alias("shared")
     )
     per = met.groupBy(key, "traveler").agg(
-        F.sum("n").alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("shared")))).alias("matched")
+        F.sum("n").alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("shared")))).alias("matched")
     )
     out = travelers.select(key, "traveler").join(per, [key, "traveler"], "left")
     return out.select(key, "traveler", F.coalesce("hits", F.lit(0)).alias("hits"),

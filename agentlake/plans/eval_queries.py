@@ -235,9 +235,7 @@ def profile_by_substring(spark, sf):
     key = F.col("o_orderkey")
     rows = table(spark, sf, "orders").select(key.alias("request_id"), F.substr(F.col("o_orderpriority"), F.lit(3), (key % 3 + 2).cast("int")).alias("asked"))
     first = table(spark, sf, "part").groupBy("p_name").agg(F.min("p_partkey").alias("ord"), F.min_by("p_brand", "p_partkey").alias("kind"))
-    asked = rows.select("asked").distinct()
-    found = pred.match_substring(asked, "asked", first, "p_name", "ord", "kind", "Regular", "asked")
-    return rows.join(found.select("asked", "kind"), "asked").select("request_id", "kind")
+    return pred.match_substring(rows, "asked", first, "p_name", "ord", "kind", "Regular").select("request_id", "kind")
 
 
 @query(

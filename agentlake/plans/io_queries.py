@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from agentlake.core import table
 from agentlake.operators import allocation
+from agentlake.operators.scans import paged_lists
 from agentlake.plans import derive, fulfil_queries
 from agentlake.plans.derive import LEDGER_SQL
 from agentlake.plans.registry import ORACLE, query
@@ -69,14 +70,15 @@ def page_documents(spark, sf):
 
 @query(
     "s7_export_results",
-    f"""WITH {fulfil_queries.QUOTED_SQL} SELECT request_id, '[' || string_agg('"' || status || '"', ',' ORDER BY status) || ']' AS line_statuses FROM quoted GROUP BY 1""",
+    f"""WITH {fulfil_queries.QUOTED_SQL}, n AS (SELECT request_id, status, row_number() OVER (PARTITION BY request_id ORDER BY line_no, item, ship_date) AS rn FROM quoted)
+    SELECT request_id, (rn - 1) // 100 AS page, '[' || string_agg('"' || status || '"', ',' ORDER BY rn) || ']' AS line_statuses FROM n GROUP BY 1, 2""",
 )
 def export_results(spark, sf):
-    quoted = fulfil_queries.quoted(spark, sf)
-    lists = quoted.groupBy("request_id").agg(F.array_sort(F.collect_list("status")).alias("line_statuses"))
+    quoted = fulfil_queries.quoted(spark, sf).select("request_id", "line_no", "item", "ship_date", "status")
+    lists = paged_lists(quoted, ["request_id"], ["line_no", "item", "ship_date"], F.col("line_no"), F.col("status"), 100, "line_statuses")
     path = files.scratch_path(spark, "results")
-    files.export_results(lists, path)
-    return files.read_requests(spark, path, "request_id long, line_statuses string")
+    files.export_results(lists.select("request_id", "page", "line_statuses"), path)
+    return files.read_requests(spark, path, "request_id long, page long, line_statuses string")
 
 
 @query(

@@ -109,7 +109,7 @@ def test_keyword_flags_and_substring_profiles(spark):
     assert got == [[], ["uncertain", "debated"], ["error", "uncertain"]]
     who = spark.createDataFrame([(1, "wang"), (2, "Li"), (3, "q"), (4, "nobody"), (5, "")], "id int, name string")
     prof = spark.createDataFrame([("Wang Xiaoming", 1, "VIP"), ("Li Wang", 2, "Regular"), ("Ms. Qian", 3, "VIP")], "full string, o int, type string")
-    out = predicates.match_substring(who, "name", prof, "full", "o", "type", "None", "id")
+    out = predicates.match_substring(who, "name", prof, "full", "o", "type", "None")
     assert dict((r["id"], r["type"]) for r in out.collect()) == {1: "VIP", 2: "Regular", 3: "VIP", 4: "None", 5: "None"}
 
 
