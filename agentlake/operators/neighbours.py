@@ -86,12 +86,19 @@ def _blocked(corpus: DataFrame, queries: DataFrame, k: int, metric: str, schema:
     g = group or "__g"
     if group is None:
         corpus, queries = corpus.withColumn(g, F.lit(0)), queries.withColumn(g, F.lit(0))
-    n = lambda df, rows, out: df.groupBy(g).agg(F.ceil(F.count("*") / rows).cast("int").alias(out))
-    cuts = n(corpus, CORPUS_BLOCK, "__nc").join(n(queries, QUERY_BLOCK, "__nq"), g)
+    blocks = lambda rows: F.ceil(F.count("*") / rows).cast("int")
+
+    def sized(df):
+        """Rows with the number of corpus and query blocks of their group."""
+        if group is None:
+            n = lambda of, rows: F.greatest(F.lit(1), of.agg(blocks(rows)).scalar())
+            return df.withColumns({"__nc": n(corpus, CORPUS_BLOCK), "__nq": n(queries, QUERY_BLOCK)})
+        cuts = corpus.groupBy(g).agg(blocks(CORPUS_BLOCK).alias("__nc")).join(queries.groupBy(g).agg(blocks(QUERY_BLOCK).alias("__nq")), g)
+        return df.join(cuts, g)
 
     def spread(df, key, own, other, own_block, other_block):
         mine = F.pmod(F.xxhash64(F.col(key)), F.col(own)).cast("int")
-        both = df.join(cuts, g).withColumn(own_block, mine).withColumn(
+        both = sized(df).withColumn(own_block, mine).withColumn(
             other_block, F.explode(F.sequence(F.lit(0), F.col(other) - 1))
         )
         # fresh column identities: both sides may come from one table

@@ -126,7 +126,19 @@ def allocate(spark, sf):
     return allocation.allocate(orders, stock)
 
 
-@query("x3_allocate_all_ingredients")
+ALL_ITEMS_SQL = """o AS (SELECT o_custkey % 50 AS site, o_orderkey AS seq, o_orderkey % 3 AS a, 1 + o_orderkey % 40 AS qa, 3 + o_orderkey % 2 AS b, 1 + o_orderkey % 7 AS qb FROM orders),
+    l AS (SELECT site, list({'a': a, 'qa': qa, 'b': b, 'qb': qb, 'id': seq, 'r': CAST([] AS BIGINT[]), 'ids': CAST([] AS BIGINT[])} ORDER BY seq) AS l,
+      list(DISTINCT a) AS ha, list(DISTINCT b) AS hb FROM o GROUP BY 1),
+    g AS (SELECT site, l, [CASE WHEN list_contains(list_concat(ha, hb), i) THEN 600 ELSE 0 END FOR i IN [0, 1, 2, 3, 4]]::BIGINT[] AS start FROM l),
+    r AS (SELECT site, list_reduce(l, lambda s, x: {'a': CAST(0 AS BIGINT), 'qa': CAST(0 AS BIGINT), 'b': CAST(0 AS BIGINT), 'qb': CAST(0 AS BIGINT), 'id': CAST(0 AS BIGINT),
+        'r': CASE WHEN s.r[x.a + 1] >= x.qa AND s.r[x.b + 1] >= x.qb
+             THEN [s.r[1] - CASE WHEN x.a = 0 THEN x.qa ELSE 0 END, s.r[2] - CASE WHEN x.a = 1 THEN x.qa ELSE 0 END, s.r[3] - CASE WHEN x.a = 2 THEN x.qa ELSE 0 END,
+                   s.r[4] - CASE WHEN x.b = 3 THEN x.qb ELSE 0 END, s.r[5] - CASE WHEN x.b = 4 THEN x.qb ELSE 0 END] ELSE s.r END,
+        'ids': CASE WHEN s.r[x.a + 1] >= x.qa AND s.r[x.b + 1] >= x.qb THEN list_append(s.ids, x.id) ELSE s.ids END},
+      {'a': CAST(0 AS BIGINT), 'qa': CAST(0 AS BIGINT), 'b': CAST(0 AS BIGINT), 'qb': CAST(0 AS BIGINT), 'id': CAST(0 AS BIGINT), 'r': start, 'ids': CAST([] AS BIGINT[])}).ids AS ids FROM g)"""
+
+
+@query("x3_allocate_all_ingredients", f"WITH {ALL_ITEMS_SQL} SELECT o.site, o.seq, list_contains(r.ids, o.seq) AS accepted FROM o JOIN r USING (site)")
 def allocate_all(spark, sf):
     key = F.col("o_orderkey")
     lines = table(spark, sf, "orders").select(
