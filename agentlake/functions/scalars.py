@@ -80,23 +80,37 @@ def fulfilment_status(delivery: Column, requested_by: Column) -> Column:
     return F.when(requested_by.isNotNull() & (delivery > requested_by), "NOT_FULFILLED").otherwise("FULFILLED")
 
 
+# fixed values: reasons given with a line
+LATE = "Requested delivery date cannot be met. Earliest possible: "
+SHORT = "Supplier lead time required due to shortage."
+BAD_LINE = "Invalid quantity or missing item name."
+UNKNOWN_ITEM = "Unknown item (not in catalog)."
+
+
 def fulfilment_reason(delivery: Column, requested_by: Column, short: Column) -> Column:
-    late = F.concat(F.lit("Requested delivery date cannot be met. Earliest possible: "), delivery.cast("string"), F.lit("."))
+    late = F.concat(F.lit(LATE), delivery.cast("string"), F.lit("."))
     return (
         F.when(requested_by.isNotNull() & (delivery > requested_by), late)
-        .when(short > 0, "Supplier lead time required due to shortage.")
+        .when(short > 0, SHORT)
         .otherwise("")
     )
 
 
+# fixed values: customer texts
+MESSAGES = {
+    "invalid": "Your request could not be processed due to invalid item information.",
+    "quote": "Here is your quote with pricing and estimated delivery dates.",
+    "placed": "Your order has been successfully placed.",
+    "counter_offer": "We cannot meet your requested delivery date. Here is a counter-offer.",
+    "other": "Request processed.",
+}
+
+
 def customer_message(status: Column, intent: Column) -> Column:
-    return (
-        F.when(status == "INVALID", "Your request could not be processed due to invalid item information.")
-        .when(intent == "QUOTE", "Here is your quote with pricing and estimated delivery dates.")
-        .when(status == "FULFILLED", "Your order has been successfully placed.")
-        .when(status == "NOT_FULFILLED", "We cannot meet your requested delivery date. Here is a counter-offer.")
-        .otherwise("Request processed.")
-    )
+    """Text for the customer: invalid requests first, then quotes, then the outcome of an order."""
+    kind = F.when(status == "INVALID", "invalid").when(intent == "QUOTE", "quote")
+    kind = kind.when(status == "FULFILLED", "placed").when(status == "NOT_FULFILLED", "counter_offer")
+    return value_of(MESSAGES, kind, MESSAGES["other"])
 
 
 # fixed values: statuses from best to worst

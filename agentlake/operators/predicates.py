@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from agentlake.functions.scalars import BAD_LINE, UNKNOWN_ITEM
+
 
 def top_n(df: DataFrame, by: str, tie: str, n: int, ascending: bool = False) -> DataFrame:
     return df.orderBy(F.asc(by) if ascending else F.desc(by), F.asc(tie)).limit(n)
@@ -136,8 +138,10 @@ def label_if_any(text: Column, keywords: Sequence[str], label: str, default: str
 
 
 # fixed values: urgency terms, English then Chinese
-URGENT_TERMS = ("urgent", "immediately", "asap", "emergency", "critical", "important", "quickly", "now",
-                "紧急", "立即", "马上", "急", "重要", "快", "现在")
+URGENT_TERMS = (
+    "urgent", "emergency", "immediately", "asap", "right away", "right now",
+    "紧急", "急需", "立即", "马上", "立刻", "赶快", "尽快", "迫切", "急迫",
+)
 
 
 def urgency(text: Column) -> Column:
@@ -158,8 +162,8 @@ def validate_lines(lines: DataFrame, catalog: DataFrame, item: str = "item", qua
     known = catalog.select(F.col("item").alias("__c"), F.col("unit_price"))
     joined = lines.join(known, lines[item] == known["__c"], "left")
     reason = (
-        F.when(F.col(item).isNull() | F.col(quantity).isNull() | (F.col(quantity) <= 0), "Invalid quantity or missing item name.")
-        .when(F.col("__c").isNull(), "Unknown item (not in catalog).")
+        F.when(F.col(item).isNull() | F.col(quantity).isNull() | (F.col(quantity) <= 0), BAD_LINE)
+        .when(F.col("__c").isNull(), UNKNOWN_ITEM)
     )
     return joined.withColumn("reason", reason).withColumn("valid", F.col("reason").isNull()).drop("__c")
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 # fixed values: conditions that rule out outdoor activities, and words that mark an activity as indoor or backed up
 BLOCKED = ("thunderstorm", "rainy")
-INDOOR = ("indoor", "inside", "museum", "indoor backup")
+INDOOR = ("indoor", "inside", "covered", "museum")
 
 
 def plan_items(plans: DataFrame, keep: list[str]) -> DataFrame:
