@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agentlake.llm import bpe
+from agentlake.llm import bpe, licenses, quality
 from agentlake.llm.rows import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,47 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256")
     )
+
+
+@query(
+    "op6_host_rules",
+    r"""
+    WITH d AS (
+      SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents
+    ), w AS (
+      SELECT r, doc_id, source, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d
+    ), win AS (
+      SELECT r, i, array_to_string(words[i:i + 4], ' ') AS g FROM (SELECT r, words, unnest(range(1, len(words) - 3)) AS i FROM w)
+    ), rep AS (
+      SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM win) WHERE c > 1
+    ), cov AS (
+      SELECT r, count(DISTINCT i + k) AS n FROM rep, (SELECT unnest(range(0, 5)) AS k) GROUP BY r
+    ), c AS (
+      SELECT doc_id, source, len(words)::BIGINT AS n_words,
+             coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+             (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+             (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+      FROM w LEFT JOIN cov USING (r)
+    ), f AS (
+      SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM c
+    ), h AS (
+      SELECT source AS s, count(*) AS n, sum(base_failed::INT) AS k FROM f WHERE source IS NOT NULL GROUP BY source
+    ), m AS (
+      SELECT count(*) AS hosts, sum(k) / sum(n) AS m, avg(n) AS size, var_samp(k / n) - sum(k) / sum(n) * (1 - sum(k) / sum(n)) * avg(1 / n) AS beyond
+      FROM h
+    ), p AS (
+      SELECT m, CASE WHEN hosts > 2 AND beyond > 0 AND m * (1 - m) / beyond - 1 > 0 THEN m * (1 - m) / beyond - 1 ELSE size END AS wt FROM m
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND coalesce((k + m * wt) / (n + wt) <= 0.6, true) AS kept
+    FROM f LEFT JOIN h ON s = source CROSS JOIN p
+    """,
+)
+def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), "doc_id").drop("shrunk_rate")
+
+
+@query("op9_license_diagonals")
+def op9_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), "doc_id").drop("spans")
