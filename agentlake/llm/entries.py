@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agentlake.llm import bpe, licenses, quality
+from agentlake.llm import bpe, licenses, mixing, quality, secrets
 from agentlake.llm.rows import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,22 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_secret_links")
+def op4_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secrets.scan(table(spark, sf_dir, "documents"))
+    base = F.col("base")
+    return out.select(
+        "doc_id", *[secrets.count_kind(base, k).alias(f"n_{k}") for k in secrets.KINDS],
+        F.sha2(F.encode(secrets.listed(base), "UTF-8"), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
+@query("op5_cube_mix")
+def op5_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"), "source", "times")
+
+
 @query(
     "op6_host_rules",
     r"""
