@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agentlake.llm import bpe, licenses, mixing, quality, secrets
+from agentlake.llm import bpe, embedding_dedup, licenses, mixing, quality, secrets, simhash
 from agentlake.llm.rows import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,33 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query(
+    "op1_embedding_pairs",
+    """
+    WITH RECURSIVE v AS (
+      SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+    ), u AS (
+      SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS n FROM v
+      WHERE e IS NOT NULL AND len(e) > 0 AND list_count(e) = len(e) AND len(list_filter(e, lambda x: NOT isfinite(x))) = 0
+    ), l AS (
+      SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id
+      WHERE a.n > 0 AND b.n > 0 AND list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.9
+    ), r AS (
+      SELECT a AS s, b AS t FROM l UNION SELECT r.s, l.b FROM r JOIN l ON r.t = l.a
+    ), c AS (
+      SELECT s, min(t) AS low FROM r GROUP BY s
+    ), d AS (
+      SELECT a, count(*) AS n FROM l GROUP BY a
+    )
+    SELECT vec_id, coalesce(d.n, 0)::BIGINT AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+           vec_id <= coalesce(low, vec_id) AS kept
+    FROM v LEFT JOIN d ON d.a = vec_id LEFT JOIN c ON c.s = vec_id
+    """,
+)
+def op1_embedding_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query("op2_bpe")
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -89,6 +116,12 @@ def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), "doc_id").drop("shrunk_rate")
 
 
+@query("op7_simhash_groups")
+def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 @query("op9_license_diagonals")
 def op9_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), "doc_id").drop("spans")
