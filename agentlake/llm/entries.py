@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agentlake.llm import bpe, embedding_dedup, licenses, mixing, quality, secrets, simhash
+from agentlake.llm import bpe, embedding_dedup, html_text, langid, licenses, mixing, quality, secrets, simhash
 from agentlake.llm.rows import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +61,11 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_language")
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), "doc_id")
+
+
 @query("op4_secret_links")
 def op4_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secrets.scan(table(spark, sf_dir, "documents"))
@@ -125,3 +130,8 @@ def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_license_diagonals")
 def op9_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), "doc_id").drop("spans")
+
+
+@query("op10_main_text")
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"), "page_id", "url")
