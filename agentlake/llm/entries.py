@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agentlake.llm import bpe, embedding_dedup, html_text, langid, licenses, mixing, quality, secrets, simhash
+from agentlake.llm import bpe, embedding_dedup, html_text, langid, licenses, mixing, quality, secrets, simhash, suffix_dedup
 from agentlake.llm.rows import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,6 +127,15 @@ def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query("op8_suffix_repeats")
+def op8_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), "doc_id")
+    return out.select(
+        "doc_id", "n_bytes", suffix_dedup.removed_bytes(F.col("spans")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query("op9_license_diagonals")
 def op9_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), "doc_id").drop("spans")
