@@ -107,9 +107,10 @@ MESSAGES = {
 
 
 def customer_message(status: Column, intent: Column) -> Column:
-    """Text for the customer: invalid requests first, then quotes, then the outcome of an order."""
+    """Text for the customer: invalid requests first, then quotes, then the outcome of an order; else it is just processed."""
     kind = F.when(status == "INVALID", "invalid").when(intent == "QUOTE", "quote")
-    kind = kind.when(status == "FULFILLED", "placed").when(status == "NOT_FULFILLED", "counter_offer")
+    ordered = intent == "ORDER"
+    kind = kind.when(ordered & (status == "FULFILLED"), "placed").when(ordered & (status == "NOT_FULFILLED"), "counter_offer")
     return value_of(MESSAGES, kind, MESSAGES["other"])
 
 

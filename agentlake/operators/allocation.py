@@ -3,16 +3,20 @@
 Light keys are folded in one task each, many keys per task. A key with more lines than ``hot_lines`` is never gathered:
 its orders are settled in rounds over the whole cluster. A round drops the orders that ask for more than is left (stock
 only falls, so they can never succeed), takes running sums per (key, item), accepts every order before the first one
-that does not fit, rejects that one, and goes on behind it. The result equals the one-by-one loop.
+that does not fit, rejects that one, and goes on behind it. Each round adds what it settled to a
+table in the shared folder. The result equals the one-by-one loop.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from agentlake.core import stable
+from agentlake.core import shared_dir, stable
 from agentlake.operators.scans import id_slice, running
 
 HOT_LINES = 1_000_000
@@ -22,15 +26,15 @@ def _fold(lines: DataFrame, stock: DataFrame, key: str, seq: str, schema: str) -
     def settle(pdf: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
         left = dict(zip(have["item"].tolist(), have["amount"].tolist()))
         rows = pdf.sort_values([seq, "item"], kind="stable")
-        orders, out, need = rows[seq].tolist(), [], {}
-        items, quantities = rows["item"].tolist(), rows["quantity"].tolist()
+        orders, out, need, sound = rows[seq].tolist(), [], {}, True
+        items, quantities, good = rows["item"].tolist(), rows["quantity"].tolist(), rows["sound"].tolist()
         for i, order in enumerate(orders):
-            need[items[i]] = need.get(items[i], 0) + quantities[i]
+            need[items[i]], sound = quantities[i], sound and good[i]
             if i + 1 == len(orders) or orders[i + 1] != order:
-                out.append(all(left.get(x, 0) >= q for x, q in need.items()))
+                out.append(sound and all(left.get(x, 0) >= q for x, q in need.items()))
                 if out[-1]:
                     left.update({x: left.get(x, 0) - q for x, q in need.items()})
-                need = {}
+                need, sound = {}, True
         each = rows[[key, seq]].drop_duplicates(seq)
         return each.assign(accepted=out)
 
@@ -38,14 +42,14 @@ def _fold(lines: DataFrame, stock: DataFrame, key: str, seq: str, schema: str) -
 
 
 def _rounds(lines: DataFrame, stock: DataFrame, key: str, seq: str, block: int, hot_rows: int) -> DataFrame:
-    left = stable(stock.select(key, "item", F.col("amount").cast("long").alias("amount")))
-    pending = stable(
-        lines.groupBy(key, seq, "item").agg(F.sum("quantity").cast("long").alias("quantity"))
-    )
-    settled = None
+    spark = lines.sparkSession
+    left, pending = stable(stock), stable(lines)
+    settled = f"{shared_dir(spark)}/settled-{uuid.uuid4().hex}"
+    kinds = lines.select(key, seq, F.lit(True).alias("accepted")).schema
+    spark.createDataFrame([], kinds).write.parquet(settled)
     while not pending.isEmpty():
         with_left = pending.join(left, [key, "item"], "left").withColumn("amount", F.coalesce("amount", F.lit(0)))
-        fits_alone = with_left.groupBy(key, seq).agg(F.bool_and(F.col("quantity") <= F.col("amount")).alias("__ok"))
+        fits_alone = with_left.groupBy(key, seq).agg(F.bool_and(F.col("sound") & (F.col("quantity") <= F.col("amount"))).alias("__ok"))
         no = fits_alone.filter("NOT __ok").select(key, seq, F.lit(False).alias("accepted"))
         live = stable(with_left.join(fits_alone.filter("__ok").select(key, seq), [key, seq], "left_semi"))
         sums = running(live, [key, "item"], [seq], id_slice(seq, block), {"__sum": F.col("quantity")}, hot_rows=hot_rows)
@@ -54,14 +58,15 @@ def _rounds(lines: DataFrame, stock: DataFrame, key: str, seq: str, block: int,
         taken = marked.filter(F.col("__first").isNull() | (F.col(seq) < F.col("__first")))
         yes = taken.select(key, seq, F.lit(True).alias("accepted")).distinct()
         failed = first.select(key, F.col("__first").alias(seq), F.lit(False).alias("accepted"))
-        done = stable(no.unionByName(yes).unionByName(failed))
-        settled = done if settled is None else settled.unionByName(done)
+        no.unionByName(yes).unionByName(failed).write.mode("append").parquet(settled)
         used = taken.groupBy(key, "item").agg(F.sum("quantity").alias("__used"))
         left = stable(
-            left.join(used, [key, "item"], "left").select(key, "item", (F.col("amount") - F.coalesce("__used", F.lit(0))).alias("amount"))
+            left.join(used, [key, "item"], "left").select(
+                key, "item", (F.col("amount") - F.coalesce("__used", F.lit(0))).cast(left.schema["amount"].dataType).alias("amount")
+            )
         )
-        pending = stable(marked.filter(F.col(seq) > F.col("__first")).select(key, seq, "item", "quantity"))
-    return settled if settled is not None else pending.select(key, seq, F.lit(True).alias("accepted"))
+        pending = stable(marked.filter(F.col(seq) > F.col("__first")).select(key, seq, "item", "quantity", "sound"))
+    return spark.read.schema(kinds).parquet(settled)
 
 
 def allocate(
@@ -70,9 +75,17 @@ def allocate(
 ) -> DataFrame:
     """(key, seq, accepted): an order (key, seq) is accepted when all its items are in stock at its turn.
 
-    ``lines``: key, seq (integer, unique order number within the key), item, quantity; ``stock``: key, item, amount.
+    ``lines``: key, seq (integer, unique order number within the key), item, quantity; ``stock``: key, item, amount, of which
+    several rows add up. Amounts are compared exactly, as integers or decimals. An order with a null or negative quantity is
+    never accepted.
     """
-    lines, stock = lines.select(key, seq, "item", "quantity"), stock.select(key, "item", "amount")
+    whole = all(isinstance(df.schema[c].dataType, IntegralType) for df, c in ((lines, "quantity"), (stock, "amount")))
+    kind = "bigint" if whole else "decimal(28,9)"
+    asked = F.col("quantity").cast(kind)
+    lines = lines.groupBy(key, seq, "item").agg(
+        F.coalesce(F.sum(asked), F.lit(0)).cast(kind).alias("quantity"), F.bool_and(F.coalesce(asked >= 0, F.lit(False))).alias("sound")
+    )
+    stock = stock.groupBy(key, "item").agg(F.coalesce(F.sum(F.col("amount").cast(kind)), F.lit(0)).cast(kind).alias("amount"))
     schema = f"{key} {lines.schema[key].dataType.simpleString()}, {seq} {lines.schema[seq].dataType.simpleString()}, accepted boolean"
     sizes = lines.groupBy(key).agg(F.count("*").alias("__n"))
     heavy = sizes.filter(F.col("__n") > hot_lines).select(key)

@@ -7,7 +7,6 @@ an equi-join on the block pair, and again only k rows per query leave a block. N
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping
 
 import numpy as np
@@ -15,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from agentlake.core import fits
+from agentlake.core import stable
 from agentlake.operators.predicates import compile_where, compile_where_document
 
 MAX_CARRIED = 2048  # queries carried to every task: 2,048 x 64 floats are half a megabyte
@@ -24,6 +23,12 @@ CELLS = 1 << 21  # scores held at once in a task
 DIGITS = 9  # scores are compared after rounding, so equal vectors tie and the smaller id wins
 
 
+def _stack(vecs: list, dim: int | None = None) -> np.ndarray:
+    """Vectors as a matrix; a null vector becomes a row of nan, which no metric gives a score."""
+    dim = dim or next((len(v) for v in vecs if v is not None), 1)
+    return np.array([np.full(dim, np.nan) if v is None else v for v in vecs], dtype=np.float64).reshape(len(vecs), dim)
+
+
 def _scores(corpus: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
     """Matrix corpus x queries, larger is better; nan where a cosine is not defined."""
     c, q = corpus.astype(np.float64), queries.astype(np.float64)
@@ -67,17 +72,19 @@ def _merge(local: DataFrame, k: int, metric: str) -> DataFrame:
     return ranked.select("query_id", "rank", "id", shown.alias("distance" if metric == "l2" else "score"))
 
 
-def _carried(corpus: DataFrame, queries: DataFrame, k: int, metric: str, schema: str) -> DataFrame:
-    rows = queries.limit(MAX_CARRIED).collect()
+def _carried(corpus: DataFrame, rows: list, k: int, metric: str, schema: str) -> DataFrame:
+    """``rows``: the queries themselves, already within the caller's bound."""
     names = [r["query_id"] for r in rows]
-    matrix = np.array([r["vec"] for r in rows], dtype=np.float64)
+    known = next((len(r["vec"]) for r in rows if r["vec"] is not None), None)
 
     def score(batches):
         for pdf in batches:
             if len(pdf):
-                col, ids, s = _best(np.stack(pdf["vec"].to_list()), pdf["id"].to_numpy(), matrix, k, metric)
+                vecs = _stack(pdf["vec"].to_list(), known)
+                col, ids, s = _best(vecs, pdf["id"].to_numpy(), _stack([r["vec"] for r in rows], vecs.shape[1]), k, metric)
                 yield pd.DataFrame({"query_id": [names[c] for c in col], "id": ids, "score": s})
 
+    rows = [{"vec": r["vec"]} for r in rows]
     return corpus.mapInPandas(score, schema)
 
 
@@ -110,8 +117,9 @@ def _blocked(corpus: DataFrame, queries: DataFrame, k: int, metric: str, schema:
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"query_id": [], "id": [], "score": []})
-        asked = np.stack(right["vec"].to_list())
-        col, ids, s = _best(np.stack(left["vec"].to_list()), left["id"].to_numpy(), asked, k, metric)
+        dim = next((len(v) for side in (left, right) for v in side["vec"] if v is not None), 1)
+        asked = _stack(right["vec"].to_list(), dim)
+        col, ids, s = _best(_stack(left["vec"].to_list(), dim), left["id"].to_numpy(), asked, k, metric)
         return pd.DataFrame({"query_id": right["query_id"].to_numpy()[col], "id": ids, "score": s})
 
     on = [g, "__qb", "__cb"]
@@ -124,8 +132,8 @@ def nearest(
     """Top ``k`` corpus rows per query. ``corpus``: id, vec; ``queries``: query_id, vec."""
     corpus, queries = corpus.select("id", "vec"), queries.select("query_id", "vec")
     schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, id {corpus.schema['id'].dataType.simpleString()}, score double"
-    few = fits(queries, max_carried)
-    local = _carried(corpus, queries, k, metric, schema) if few else _blocked(corpus, queries, k, metric, schema, None)
+    rows = queries.limit(max_carried + 1).collect()
+    local = _carried(corpus, rows, k, metric, schema) if len(rows) <= max_carried else _blocked(corpus, queries, k, metric, schema, None)
     return _merge(local, k, metric)
 
 
@@ -141,21 +149,24 @@ def vector_query(
 def route(rows: DataFrame, routes: DataFrame, none_message: str = "no route", max_carried: int = MAX_CARRIED) -> DataFrame:
     """Most similar route per row (first id wins ties), scored inside the row's own task: no shuffle.
 
-    ``rows``: id, vec and others; ``routes``: route, vec, at most ``max_carried`` of them.
+    ``rows``: vec and others, a null vec has no score; ``routes``: route, vec, at most ``max_carried`` of them.
     """
     known = routes.orderBy("route").limit(max_carried + 1).collect()
     if len(known) > max_carried:
-        best = nearest(routes.select(F.col("route").alias("id"), "vec"), rows.select(F.col("id").alias("query_id"), "vec"), 1)
-        return rows.join(best.select(F.col("query_id").alias("id"), F.col("id").alias("route"), "score"), "id", "left")
+        # rows need no id of their own, and several may share one: they are numbered, and the numbers written down
+        keyed = stable(rows.withColumn("__row", F.monotonically_increasing_id()))
+        best = nearest(routes.select(F.col("route").alias("id"), "vec"), keyed.select(F.col("__row").alias("query_id"), "vec"), 1)
+        best = best.select(F.col("query_id").alias("__row"), F.col("id").alias("__route"), F.col("score").alias("__score"))
+        return keyed.join(best, "__row", "left").select(*rows.columns, F.col("__route").alias("route"), F.col("__score").alias("score"))
     if not known:
         return rows.withColumn("route", F.lit(none_message)).withColumn("score", F.lit(None).cast("double"))
     names = np.array([r["route"] for r in known], dtype=object)
-    matrix = np.array([r["vec"] for r in known], dtype=np.float64)
+    matrix = _stack([r["vec"] for r in known])
     kind = routes.schema["route"].dataType.simpleString()
 
     @F.pandas_udf(f"route {kind}, score double")
     def pick(vec: pd.Series) -> pd.DataFrame:
-        s = _scores(np.stack(vec.to_list()), matrix, "cosine")
+        s = _scores(_stack(vec.to_list(), matrix.shape[1]), matrix, "cosine")
         s = np.where(np.isnan(s), -np.inf, s)
         at = s.argmax(axis=1)
         top = s[np.arange(len(s)), at]
@@ -174,24 +185,26 @@ def _signatures(vec_col: str, tables: int, bits: int, dim: int, seed: int):
 
     @F.pandas_udf("array<long>")
     def sign(vec: pd.Series) -> pd.Series:
-        side = (np.stack(vec.to_list()).astype(np.float64) @ normals.T > 0).reshape(len(vec), tables, bits)
+        side = (_stack(vec.to_list(), dim) @ normals.T > 0).reshape(len(vec), tables, bits)
         return pd.Series(list((side * weights).sum(axis=2) + (np.arange(tables) << 32)))
 
     return sign(vec_col)
 
 
 def nearest_approximate(
-    corpus: DataFrame, queries: DataFrame, dim: int, k: int = 3, tables: int = 16, bits: int | None = None, seed: int = 7
+    corpus: DataFrame, queries: DataFrame, dim: int, bits: int, k: int = 3, tables: int = 16, seed: int = 7
 ) -> DataFrame:
     """Approximate top ``k`` by cosine: random-hyperplane buckets give candidates, exact scores rank them.
 
-    Rows meet their bucket only; a bucket too big for one task is cut into blocks, so no candidate is dropped.
-    Unless given, the bits grow with the corpus so that a bucket of evenly spread rows stays near 4,096.
+    ``bits`` is the caller's choice: a bucket of evenly spread rows holds ``corpus rows / 2 ** bits``. Rows meet their bucket
+    only; a bucket too big for one task is cut into blocks, so no candidate is dropped. Queries whose buckets hold fewer than
+    ``k`` rows are answered exactly.
     """
-    if bits is None:
-        bits = max(4, min(30, math.ceil(math.log2(max(1, corpus.count()) / 4096))))
     c = corpus.select("id", "vec", F.explode(_signatures("vec", tables, bits, dim, seed)).alias("bucket"))
     q = queries.select("query_id", "vec", F.explode(_signatures("vec", tables, bits, dim, seed)).alias("bucket"))
     schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, id {corpus.schema['id'].dataType.simpleString()}, score double"
     local = _blocked(c, q, k, "cosine", schema, "bucket")
-    return _merge(local.groupBy("query_id", "id").agg(F.max("score").alias("score")), k, "cosine")
+    found = stable(_merge(local.groupBy("query_id", "id").agg(F.max("score").alias("score")), k, "cosine"))
+    full = found.groupBy("query_id").agg(F.count("*").alias("__n")).filter(F.col("__n") >= k).select("query_id")
+    short = stable(queries.select("query_id", "vec").join(full, "query_id", "left_anti"))
+    return found.join(full, "query_id", "left_semi").unionByName(nearest(corpus, short, k))

@@ -64,9 +64,11 @@ def running(
     keys, last = list(keys), 0 if inclusive else -1
     heavy = _is_heavy(df, keys, hot_rows)
     vals = {n: f"__v_{n}" for n in sums}
+    # the type of a plain sum, on either path
+    kinds = {n: df.agg(F.sum(c).alias(n)).schema[n].dataType for n, c in sums.items()}
     if heavy is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
-        return df.withColumns({n: F.coalesce(F.sum(c).over(w), F.lit(0)) for n, c in sums.items()})
+        return df.withColumns({n: F.coalesce(F.sum(c).over(w), F.lit(0)).cast(kinds[n]) for n, c in sums.items()})
     cut = df.withColumns({"__slice": F.when(heavy, slice_by), **{vals[n]: c for n, c in sums.items()}})
     by_slice = (
         cut.filter(F.col("__slice").isNotNull())
@@ -85,7 +87,7 @@ def running(
     return joined.select(
         *[F.col(c) for c in df.columns],
         *[
-            (F.coalesce(F.col(f"__o_{n}"), F.lit(0)) + F.coalesce(F.sum(vals[n]).over(inside), F.lit(0))).alias(n)
+            (F.coalesce(F.col(f"__o_{n}"), F.lit(0)) + F.coalesce(F.sum(vals[n]).over(inside), F.lit(0))).cast(kinds[n]).alias(n)
             for n in sums
         ],
     )

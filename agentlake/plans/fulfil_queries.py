@@ -92,8 +92,9 @@ def overall_status(spark, sf):
     f"""WITH {QUOTED_SQL}, o AS (SELECT request_id, intent, {OVERALL_FIX} AS st FROM overall)
     SELECT request_id, CASE WHEN st = 'INVALID' THEN 'Your request could not be processed due to invalid item information.'
         WHEN intent = 'QUOTE' THEN 'Here is your quote with pricing and estimated delivery dates.'
-        WHEN st = 'FULFILLED' THEN 'Your order has been successfully placed.'
-        ELSE 'We cannot meet your requested delivery date. Here is a counter-offer.' END AS message FROM o""",
+        WHEN intent = 'ORDER' AND st = 'FULFILLED' THEN 'Your order has been successfully placed.'
+        WHEN intent = 'ORDER' AND st = 'NOT_FULFILLED' THEN 'We cannot meet your requested delivery date. Here is a counter-offer.'
+        ELSE 'Request processed.' END AS message FROM o""",
 )
 def customer_message(spark, sf):
     return op.overall_status(quoted(spark, sf), derive.requests(spark, sf)).select("request_id", "message")

@@ -40,7 +40,7 @@ def vector_query(spark, sf):
 )
 def top_k(spark, sf):
     v = derive.vectors(spark, sf)
-    out = nn.nearest(v, v.select(F.col("id").alias("query_id"), "vec"), 3, max_carried=256)
+    out = nn.nearest(v, v.select(F.col("id").alias("query_id"), "vec"), 3)
     return out.select("query_id", F.col("rank").cast("long").alias("rank"), "id")
 
 
@@ -82,7 +82,7 @@ def route(spark, sf):
 @query("v16_approximate_neighbours")
 def approximate(spark, sf):
     v = derive.vectors(spark, sf)
-    return nn.nearest_approximate(v, v.select(F.col("id").alias("query_id"), "vec"), dim=64, k=3)
+    return nn.nearest_approximate(v, v.select(F.col("id").alias("query_id"), "vec"), dim=64, bits=4, k=3)
 
 
 @query(
