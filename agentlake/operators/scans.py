@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,24 +102,30 @@ def numbered(
 
 
 def numbered_in_file_order(df: DataFrame, name: str) -> DataFrame:
-    """Dense 1-based number in scan order, without a sort and without a single-task window.
+    """Dense 1-based number in file order, without a sort and without a single-task window over rows.
 
-    Partition number and position come from ``monotonically_increasing_id``; the checkpoint freezes them so both
-    reads below see the same values. The offset table has one row per partition.
+    The order of rows read from files is that of the files' paths, of the pieces of a file, and of the rows in a piece; a
+    task may hold pieces of several files, in any order. A file with records over several lines is one piece. Rows that come
+    from no file are numbered in the order of their partitions. The checkpoint freezes the numbers inside the tasks; the
+    table of offsets has one row per piece.
     """
-    frozen = stable(df.withColumn("__mid", F.monotonically_increasing_id()))
-    part = F.shiftright("__mid", 33)
-    sizes = frozen.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    return (
-        frozen.withColumn("__part", part)
-        .join(offsets, "__part")
-        .select(
-            *df.columns,
-            (F.col("__off") + F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias(name),
-        )
+    place = [F.lit("").alias("__path"), F.shiftright("__mid", 33).alias("__begin")]
+    marked = df.withColumn("__mid", F.monotonically_increasing_id())
+    if df.inputFiles():
+        try:
+            marked = df.select(*df.columns, "_metadata.file_path", "_metadata.file_block_start").toDF(*df.columns, "__path", "__begin")
+            marked = marked.withColumn("__mid", F.monotonically_increasing_id())
+            place = [F.col("__path"), F.col("__begin")]
+        except AnalysisException:
+            pass  # what was done to the rows since they were read hides the files
+    frozen = stable(marked.select(*df.columns, "__mid", *place))
+    sizes = frozen.groupBy("__path", "__begin").agg(F.count("*").alias("__n"), F.min("__mid").alias("__first"))
+    before = Window.orderBy("__path", "__begin").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        F.col("__path").alias("__p"), F.col("__begin").alias("__b"), "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off")
     )
+    same = (F.col("__path") == F.col("__p")) & (F.col("__begin") == F.col("__b"))
+    return frozen.join(offsets, same).select(*df.columns, (F.col("__off") + F.col("__mid") - F.col("__first") + 1).alias(name))
 
 
 def first_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank") -> DataFrame:

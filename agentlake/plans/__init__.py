@@ -7,7 +7,7 @@ import importlib
 from agentlake.plans.registry import ORACLE, QUERIES
 
 TOPICS = (
-    "ledger_queries", "fulfil_queries", "scheduling_queries", "claims_queries", "retrieval_queries", "eval_queries", "model_queries", "io_queries",
+    "ledger_queries", "fulfil_queries", "scheduling_queries", "claims_queries", "retrieval_queries", "eval_queries", "model_queries", "io_queries", "storage_queries",
 )
 
 

@@ -16,6 +16,10 @@ TABLES = (
 ).split()
 
 
+#: Queries that may have no SQL; others without any fail. Their results are compared in tests.
+ROWS_ONLY = {"v16_approximate_neighbours", "m6_plan_route_collect"}
+
+
 def connect(sf_dir: str):
     con = duckdb.connect()
     for t in TABLES:
@@ -44,7 +48,7 @@ def compare(spark, con, sf_dir, name, fn, sql):
     left = canon(df.columns, [tuple(r) for r in df.collect()])
     secs = time.time() - t
     if sql is None:
-        return True, f"rows-only {len(left[1])} rows", secs
+        return name in ROWS_ONLY, f"rows-only {len(left[1])} rows", secs
     t = time.time()
     cur = con.execute(sql)
     cols = [d[0] for d in cur.description]

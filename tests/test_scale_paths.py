@@ -211,3 +211,13 @@ def test_grants_match_a_loop(spark, skewed):
         left[k] -= g
         want[seq] = g
     assert {r["seq"]: r["granted"] for r in out.collect()} == want
+
+
+def test_file_order_numbers_over_files_of_any_size(spark, tmp_path):
+    sizes = {"a": 3, "b": 300, "c": 20, "d": 1}
+    for name, n in sizes.items():
+        (tmp_path / f"{name}.csv").write_text("x\n" + "".join(f'"{name}{k}"\n' for k in range(n)))
+    df = spark.read.schema("x string").option("header", True).option("multiLine", True).csv(str(tmp_path))
+    got = {r["x"]: r["n"] for r in scans.numbered_in_file_order(df, "n").collect()}
+    want = [f"{name}{k}" for name, n in sizes.items() for k in range(n)]
+    assert got == {x: i + 1 for i, x in enumerate(want)}
