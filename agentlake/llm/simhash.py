@@ -153,13 +153,20 @@ def plan(fps: DataFrame, distance: int = DISTANCE) -> list[tuple[list[int], int]
 
 
 def links(fps: DataFrame, parts: list[tuple[list[int], int]], distance: int = DISTANCE, hot: int = HOT) -> DataFrame:
-    """Distinct pairs ``a < b`` of distinct fingerprints ``fp`` that differ in 1 to ``distance`` bits."""
+    """Pairs ``a < b``, each once, of distinct fingerprints ``fp`` that differ in 1 to ``distance`` bits."""
     spark = fps.sparkSession
     probes, index = [], []
 
-    def probe(k: int, mask: int):
+    # a pair that an earlier part would let pass is left to that part, so every pair is made once
+    earlier: list[tuple[int, int]] = []
+
+    def prior(masks: list[tuple[int, int]]):
+        held = F.array(*[F.struct(F.lit(m).cast("long").alias("mask"), F.lit(t).alias("t")) for m, t in masks])
+        return held.cast("array<struct<mask:bigint,t:int>>")
+
+    def probe(k: int, mask: int, before):
         value = lambda flip: F.xxhash64(F.lit(k), F.col("fp").bitwiseXOR(flip).bitwiseAND(F.lit(mask)))
-        return lambda flip: F.struct(value(flip).alias("key"), F.lit(mask).alias("used"))
+        return lambda flip: F.struct(value(flip).alias("key"), F.lit(mask).alias("used"), before.alias("prior"))
 
     for k, (bits, t) in enumerate(parts):
         if t < 0:
@@ -168,7 +175,8 @@ def links(fps: DataFrame, parts: list[tuple[list[int], int]], distance: int = DI
         value = F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(mask)))
         index.append(F.struct(value.alias("key"), F.lit(mask).alias("used")))
         flips = [_signed(sum(1 << b for b in some)) for some in chain.from_iterable(combinations(bits, d) for d in range(t + 1))]
-        probes.append(F.transform(F.lit(np.array(flips, dtype=np.int64)), probe(k, mask)))
+        probes.append(F.transform(F.lit(np.array(flips, dtype=np.int64)), probe(k, mask, prior(earlier))))
+        earlier.append((mask, t))
     right = stable(fps.select("fp", F.explode(F.array(*index)).alias("x")).select("fp", "x.*"))
     left = fps.select("fp", F.explode(F.concat(*probes)).alias("x")).select("fp", "x.*")
     used = {_signed(sum(1 << b for b in bits)) for bits, t in parts if t >= 0}
@@ -184,30 +192,30 @@ def links(fps: DataFrame, parts: list[tuple[list[int], int]], distance: int = DI
             calm_left, calm_right = left.join(few, "key", "left_anti"), right.join(few, "key", "left_anti")
         else:
             calm_left, calm_right = left, right
-        pair = calm_left.select("key", F.col("fp").alias("a")).join(calm_right.select("key", F.col("fp").alias("b")), "key")
-        found.append(pair.where((F.col("a") != F.col("b")) & (far <= distance)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+        mine = calm_left.select("key", F.col("fp").alias("a"), "prior")
+        differ = F.col("a").bitwiseXOR(F.col("b"))
+        first = F.forall("prior", lambda p: F.bit_count(differ.bitwiseAND(p["mask"])) > p["t"])
+        pair = mine.join(calm_right.select(F.col("key").alias("_key"), F.col("fp").alias("b")), (F.col("key") == F.col("_key")) & (F.col("a") < F.col("b")) & (far <= distance) & first)
+        found.append(pair.select("a", "b"))
         if not some:
             break
         cut, after = [], set()
         for mask in used:
             free = [b for b in order if not mask >> b & 1]
-            for j, sub in enumerate(np.array_split(free, distance + 1)):
-                sub = _signed(sum(1 << int(b) for b in sub))
-                cut.append((mask, j, sub, mask | sub))
+            subs = [_signed(sum(1 << int(b) for b in sub)) for sub in np.array_split(free, distance + 1)]
+            for j, sub in enumerate(subs):
+                cut.append((mask, j, sub, mask | sub, [(x, 0) for x in subs[:j]]))
                 after.add(mask | sub)
-        cuts = F.broadcast(spark.createDataFrame(cut, "used long, j int, sub long, next long"))
-        go_on = [
-            side.join(few, "key", "left_semi").join(cuts, "used").select(
-                "fp", F.xxhash64("key", "j", F.col("fp").bitwiseAND(F.col("sub"))).alias("key"), F.col("next").alias("used")
-            )
-            for side in (left, right)
-        ]
-        left, right = go_on[0], stable(go_on[1])
+        cuts = F.broadcast(spark.createDataFrame(cut, "used long, j int, sub long, next long, more array<struct<mask:bigint,t:int>>"))
+        finer = F.xxhash64("key", "j", F.col("fp").bitwiseAND(F.col("sub"))).alias("key")
+        left, right = (side.join(few, "key", "left_semi").join(cuts, "used") for side in (left, right))
+        left = left.select("fp", finer, F.col("next").alias("used"), F.concat("prior", "more").alias("prior"))
+        right = stable(right.select("fp", finer, F.col("next").alias("used")))
         used = after
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out.distinct()
+    return out
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", distance: int = DISTANCE) -> DataFrame:
