@@ -26,8 +26,9 @@ from agentlake.llm.components import components
 #: Numbers of one block; vectors of one slice; rows of a tile that are compared at once.
 BLOCK, SLICE, ROWS = 16, 8192, 512
 
-#: Added to the budgets, so that rounding loses no candidate; and to the quick test that the exact one follows.
-SLACK, QUICK = 1e-7, 1e-9
+#: Added to the budgets, so that rounding loses no candidate; and to the quick test in single precision, which the exact
+#: one in double precision follows.
+SLACK, QUICK = 1e-7, 1e-4
 
 
 def rotation(dim: int, seed: int = 7) -> np.ndarray:
@@ -102,15 +103,25 @@ def _tile(layout: Layout, block: int, cosine: float, same: bool, left: tuple, ri
     t1, t2 = layout.turned(u1), layout.turned(u2)
     b, e = layout.blocks[block]
     budget = layout.budgets[block]
-    s1, s2 = (np.einsum("ij,ij->i", t[:, b:e], t[:, b:e]) for t in (t1, t2))
+
+    def padded(t: np.ndarray, mine: int) -> np.ndarray:
+        # with half the square in front of a one, and the reverse on the other side, a product is minus half a distance
+        x = t[:, b:e]
+        half = -0.5 * np.einsum("ij,ij->i", x, x)[:, None]
+        more = [half, np.ones_like(half)]
+        return np.concatenate([x, *(more if mine else more[::-1])], axis=1).astype(np.float32)
+
+    p1, p2 = padded(t1, 1), np.ascontiguousarray(padded(t2, 0).T)
+    least = np.float32(-0.5 * (budget + QUICK))
     count1, count2 = np.zeros(len(ids1), np.int64), np.zeros(len(ids2), np.int64)
     edges = []
     for at in range(0, len(ids1), ROWS):
         to = min(at + ROWS, len(ids1))
-        near = s1[at:to, None] + s2[None, :] - 2 * (t1[at:to, b:e] @ t2[:, b:e].T) <= budget + QUICK
+        near = p1[at:to] @ p2 >= least
         if same:
-            near &= np.arange(at, to)[:, None] < np.arange(len(ids2))[None, :]
-        i, j = np.nonzero(near)
+            near[:, : at + 1] = False
+            near[:, at:to] &= np.tri(to - at, dtype=bool).T ^ np.eye(to - at, dtype=bool)
+        i, j = np.divmod(np.flatnonzero(near), len(ids2))
         for part in range(0, len(i), 200_000):
             x, y = i[part : part + 200_000] + at, j[part : part + 200_000]
             ok = np.einsum("ij,ij->i", u1[x], u2[y]) >= cosine
