@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agentlake.operators.neighbours import _blocked, _merge
-from agentlake.operators.scans import first_k, latest
+from agentlake.operators.scans import first_k, latest, one_per_key
 
 PROTECTED = "default"
 
@@ -45,8 +45,11 @@ def namespaces(memory: DataFrame, owner: str = "owner") -> DataFrame:
 
 
 def add_if_absent(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Set insert: rows of ``new`` whose key is not there yet, each key once, after the existing ones."""
-    fresh = new.select(*existing.columns).dropDuplicates(keys).join(existing.select(*keys), keys, "left_anti")
+    """Set insert: rows of ``new`` whose key is not there yet, each key once, after the existing ones.
+
+    Of several new rows with one key, ``scans.one_per_key`` takes one.
+    """
+    fresh = one_per_key(new.select(*existing.columns), keys).join(existing.select(*keys), keys, "left_anti").select(*existing.columns)
     return existing.unionByName(fresh)
 
 

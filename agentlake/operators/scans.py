@@ -141,6 +141,16 @@ def latest(df: DataFrame, keys: Sequence[str], by: Sequence[Column]) -> DataFram
     return picked.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in rest])
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key: the one whose other columns, written as JSON, come first. No arbitrary choice between copies."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    row = F.struct(*[F.col(c) for c in rest])
+    best = df.groupBy(*keys).agg(F.min_by(row, F.to_json(row, {"ignoreNullFields": "false"})).alias("__r"))
+    return best.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in rest]).select(*df.columns)
+
+
 def lookback(
     df: DataFrame,
     keys: Sequence[str],

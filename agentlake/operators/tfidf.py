@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from agentlake.core import spread, stable
 
 WORD = r"[\p{L}\p{N}_]{2,}"
-# fixed values: stop words, our own short list
+# stop words, our own short list
 STOP_WORDS = (
     "about above after again all also am an and any are as at be because been before being below between both but by "
     "can could did do does doing down during each few for from further had has have having he her here hers him his how "
@@ -25,7 +25,7 @@ STOP_WORDS = (
     "so some such than that the their them then there these they this those through to too under until up very was we "
     "were what when where which while who whom why will with would you your"
 ).split()
-MAX_POSTINGS = 400_000
+MAX_POSTINGS, MAX_POSTING_BYTES = 400_000, 32 << 20
 DIGITS = 6
 CELLS = 1 << 22  # document x query sums held at once in a task
 
@@ -41,14 +41,17 @@ def term_counts(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     )
 
 
-def fit(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(term, idf) of a corpus; the document count includes documents without words."""
+def fit(docs: DataFrame, id_col: str, text: str, counts: DataFrame | None = None) -> DataFrame:
+    """(term, idf) of a corpus; the document count includes documents without words. ``counts``: its ``term_counts``, if known."""
     n = docs.agg(F.count("*").alias("n")).scalar()
-    df = term_counts(docs, id_col, text).groupBy("term").agg(F.count("*").alias("df"))
+    counts = term_counts(docs, id_col, text) if counts is None else counts
+    df = counts.groupBy("term").agg(F.count("*").alias("df"))
     return df.select("term", (F.log((1 + n) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
-def transform(docs: DataFrame, id_col: str, text: str, idf: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+def transform(
+    docs: DataFrame, id_col: str, text: str, idf: DataFrame, wanted: DataFrame | None = None, counts: DataFrame | None = None
+) -> DataFrame:
     """One row per document: its (term, weight) list of unit length. A document's list is as long as its words.
 
     With ``wanted`` (a table of terms) the other terms count for the length only and are not gathered.
@@ -57,7 +60,7 @@ def transform(docs: DataFrame, id_col: str, text: str, idf: DataFrame, wanted: D
     keep = F.lit(True) if wanted is None else F.col("want")
     # the planner sizes exploded words like the text they come from and would broadcast them: ask for a merge join,
     # whose skew splitting also takes care of words that are in most documents
-    counts = term_counts(docs, id_col, text).join(known.hint("merge"), "term")
+    counts = (term_counts(docs, id_col, text) if counts is None else counts).join(known.hint("merge"), "term")
     weighted = counts.select("id", "term", (F.col("tf") * F.col("idf")).alias("w"), keep.alias("keep"))
     per_doc = weighted.groupBy("id").agg(
         F.collect_list(F.when(F.col("keep"), F.struct("term", "w"))).alias("ws"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")
@@ -108,16 +111,16 @@ def _carried(docs: DataFrame, asked: list, threshold: float, strict: bool, schem
 def match(docs: DataFrame, queries: DataFrame, threshold: float, strict: bool = False, max_postings: int = MAX_POSTINGS) -> DataFrame:
     """(query_id, id, score) at or above the threshold (above it when ``strict``). Both sides come from ``transform``.
 
-    Query postings within the bound are carried to the documents and only hits are emitted; beyond it the two
-    sides meet by an equi-join on the term and partial dot products are summed per pair.
+    Query postings within the bounds, in rows and in bytes, are carried to the documents and only hits are emitted; beyond
+    them the two sides meet by an equi-join on the term and partial dot products are summed per pair.
     """
     asked = queries.select(F.col("id").alias("query_id"), F.explode("ws").alias("x")).select("query_id", "x.term", "x.w")
     kinds = [queries.schema["id"].dataType.simpleString(), docs.schema["id"].dataType.simpleString()]
-    rows = asked.limit(max_postings + 1).collect()
-    if len(rows) <= max_postings:
-        return _carried(docs, rows, threshold, strict, f"query_id {kinds[0]}, id {kinds[1]}, score double")
+    n, size = asked.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term") + 16), F.lit(0))).first()
+    if n <= max_postings and size <= MAX_POSTING_BYTES:
+        return _carried(docs, asked.collect(), threshold, strict, f"query_id {kinds[0]}, id {kinds[1]}, score double")
     flat = docs.select("id", F.explode("ws").alias("x")).select("id", F.col("x.term").alias("term"), F.col("x.w").alias("dw"))
-    sums = flat.join(asked, "term").groupBy("query_id", "id").agg(F.round(F.sum(F.col("dw") * F.col("w")), DIGITS).alias("score"))
+    sums = flat.join(asked, "term").groupBy("query_id", "id").agg(F.bround(F.sum(F.col("dw") * F.col("w")), DIGITS).alias("score"))  # half to even, as in the tasks
     return sums.filter((F.col("score") > threshold) if strict else (F.col("score") >= threshold) & (F.col("score") > 0))
 
 
@@ -127,13 +130,14 @@ def search(
 ) -> DataFrame:
     """Fit on the documents (or on the queries), then match every query with every document above the threshold.
 
-    The (term, idf) table and the asked vectors are written once, since they are read more than once: two passes over
-    the documents in all, and of their words only those asked for are gathered.
+    The word counts of the documents, the (term, idf) table and the asked vectors are written once, since they are read more
+    than once: the texts are read and cut into words once, and of their words only those asked for are gathered.
     """
-    idf = stable(fit(docs, id_col, text) if fit_on == "docs" else fit(queries, query_id, query_text))
+    counts = stable(term_counts(docs, id_col, text))
+    idf = stable(fit(docs, id_col, text, counts) if fit_on == "docs" else fit(queries, query_id, query_text))
     asked = stable(transform(queries, query_id, query_text, idf))
     wanted = asked.select(F.explode("ws.term").alias("term")).distinct()
-    return match(transform(docs, id_col, text, idf, wanted), asked, threshold, strict)
+    return match(transform(docs, id_col, text, idf, wanted, counts), asked, threshold, strict)
 
 
 def boosted(

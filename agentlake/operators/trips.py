@@ -10,8 +10,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# fixed values: conditions that rule out outdoor activities, and words that mark an activity as indoor or backed up
+# fixed values: conditions that rule out outdoor activities
 BLOCKED = ("thunderstorm", "rainy")
+# words, our own choice, that mark an activity as indoor or backed up
 INDOOR = ("indoor", "inside", "covered", "museum")
 
 

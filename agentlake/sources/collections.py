@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from agentlake.operators.scans import one_per_key
+
 
 class Collections:
     """Lifecycle of named collections. Each is a folder ``root/name``; appends keep ids unique."""
@@ -57,7 +59,8 @@ class Collections:
 
 
 def new_rows(existing: DataFrame, docs: DataFrame, id_col: str) -> DataFrame:
-    return docs.dropDuplicates([id_col]).join(existing.select(id_col), id_col, "left_anti")
+    """Documents with ids that are not there; of several with one id, ``scans.one_per_key`` takes one."""
+    return one_per_key(docs, [id_col]).join(existing.select(id_col), id_col, "left_anti")
 
 
 def add_documents(existing: DataFrame, docs: DataFrame, id_col: str = "id") -> DataFrame:

@@ -1,13 +1,15 @@
 """Wall seconds of the headline queries; prints one JSON line.
 
 ``BENCH_SF_DIR`` (default sf0.1) and ``BENCH_CPUS`` (default 8) choose the data and the local cores. Every query is
-planned and run to the end into a sink that drops the rows, so all columns are computed.
+planned and run to the end into a sink that drops the rows, so all columns are computed; the figure is the median of three
+runs (``BENCH_RUNS``).
 """
 
 from __future__ import annotations
 
 import json
 import os
+import statistics
 import time
 
 from agentlake.core import build_session
@@ -37,7 +39,8 @@ def main() -> None:
 
     for name in ("a1_stock_snapshot", "x1_quote_lines", "v3_embed_documents"):  # warm the JVM and the Python workers
         run(name)
-    seconds = {name: round(run(name), 3) for name in HEADLINE}
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    seconds = {name: round(statistics.median(run(name) for _ in range(runs)), 3) for name in HEADLINE}
     print(json.dumps({
         "metric": "headline_queries_total_wall", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),

@@ -87,3 +87,27 @@ def test_messages_of_orders_only(spark):
     df = spark.createDataFrame([("FULFILLED", None), ("FULFILLED", "ORDER"), ("NOT_FULFILLED", "OTHER"), ("INVALID", None)], "s string, i string")
     got = [r[0] for r in df.select(scalars.customer_message(F.col("s"), F.col("i"))).collect()]
     assert got[0] == got[2] == "Request processed." and got[1] == "Your order has been successfully placed." and "invalid" in got[3]
+
+
+def test_one_row_per_key_is_the_same_in_any_order(spark):
+    from agentlake.operators.memory import add_if_absent
+    from agentlake.sources.collections import add_documents
+
+    old = spark.createDataFrame([(1, "x", {"a": "1"})], "id long, text string, meta map<string,string>")
+    new = [(2, "c", {"k": "v"}), (2, "b", None), (1, "z", None), (2, None, None), (3, None, None), (3, None, None)]
+    out = set()
+    for order in (new, new[::-1]):
+        df = spark.createDataFrame(order, old.schema).repartition(3)
+        out.add(str(sorted(((r.id, r.text, r.meta) for r in add_documents(old, df).collect()), key=str)))
+        out.add(str(sorted(((r.id, r.text, r.meta) for r in add_if_absent(old, df, ["id"]).collect()), key=str)))
+    assert len(out) == 1
+
+
+def test_text_scores_round_alike_on_both_sides(spark):
+    from agentlake.operators import tfidf
+
+    docs = spark.createDataFrame([(i, f"alpha beta{i % 5} gamma{i % 3} delta{i % 2}") for i in range(30)], "id long, text string")
+    asked = docs.select(F.col("id").alias("query_id"), "text").limit(9)
+    idf = tfidf.fit(docs, "id", "text")
+    d, q = (tfidf.transform(x, k, "text", idf) for x, k in ((docs, "id"), (asked, "query_id")))
+    assert rows(tfidf.match(d, q, 0.1)) == rows(tfidf.match(d, q, 0.1, max_postings=2))
