@@ -129,6 +129,22 @@ def similar_claims(spark, sf):
     return op.similar_claim_counts(derive.claims(spark, sf))
 
 
+@query(
+    "v7_similar_claims_list",
+    f"""WITH {CLAIMS_SQL}, q AS (SELECT * FROM claims WHERE CAST(split_part(claim_id, '-', 2) AS BIGINT) % 50 = 0 AND amount_cents > 0),
+    s AS (SELECT q.claim_id AS asked_id, c.claim_id,
+            5 + CASE WHEN abs(c.amount_cents - q.amount_cents) < 5000 THEN 3 WHEN abs(c.amount_cents - q.amount_cents) < 10000 THEN 1 ELSE 0 END
+              + CASE WHEN c.patient_id = q.patient_id THEN 1 ELSE 0 END AS tenths
+          FROM q JOIN claims c ON c.code = q.code AND c.claim_id <> q.claim_id WHERE c.privacy_level IN ('public', 'customer', 'agent'))
+    SELECT asked_id, claim_id, CAST(tenths / 10 AS DOUBLE) AS similarity_score,
+           row_number() OVER (PARTITION BY asked_id ORDER BY tenths DESC, claim_id) AS place FROM s WHERE tenths >= 7""",
+)
+def similar_claims_list(spark, sf):
+    """Asked are the claims of every fiftieth order; the asking agent reads public, customer and agent rows."""
+    claims = derive.claims(spark, sf)
+    return op.similar_claims_list(claims.filter(F.split("claim_id", "-")[1].cast("long") % 50 == 0), claims, "agent")
+
+
 @query(
     "v13_fraud_rules",
     f"""WITH {CLAIMS_SQL}, c AS (SELECT *, count(*) OVER (PARTITION BY patient_id, code) AS n FROM claims)

@@ -210,6 +210,18 @@ def queue_eta(spark, sf):
     )
 
 
+@query(
+    "f4_queue_volume_eta",
+    f"""WITH {QUEUE_SQL}, v AS (SELECT CAST(sum(quantity) AS BIGINT) AS volume FROM queue)
+    SELECT order_id, {ETA.format(p='priority', v='volume')} AS days FROM queue, v""",
+)
+def queue_volume_eta(spark, sf):
+    """Days until an order that joins the whole queue is ready."""
+    queue = derive.queue(spark, sf)
+    volume = queue.agg(F.sum("quantity").alias("volume")).scalar()
+    return queue.withColumn("volume", volume).select("order_id", fn.eta_days(F.col("volume"), F.col("priority")).alias("days"))
+
+
 @query(
     "f5_complexity_lead_time",
     f"""WITH {QUEUE_SQL} SELECT order_id, CAST(CASE WHEN priority > 1 THEN 3 ELSE 1 END * greatest(1, quantity // 2) AS BIGINT) AS days FROM queue""",
