@@ -12,8 +12,9 @@ suffixes and the prefixes they have in common with their neighbours:
    stable distribution by the byte in front keeps the order of the rest, and the common prefix of new neighbours is one more
    than the smallest between their old places. All groups of a batch take a step together.
 
-Shards of any size pass through a task in batches of whole groups. A gram with more anchors than one batch is cut: its equal
-surroundings become one row, and its strings are counted by their digests over all tasks.
+Shards of any size pass through a task in batches of whole groups. The groups of a gram with too many anchors for that, as
+in a passage or a pattern that a large part of all texts shares, are cut by the distance of the starts from their anchor, and
+equal surroundings become one row before they are sorted.
 """
 
 from __future__ import annotations
@@ -37,8 +38,9 @@ LENGTH, GRAM = 200, 32
 #: Bits of the bitmap of repeated grams (16 MB), the same for any corpus.
 BITMAP_BITS = 1 << 27
 
-#: Anchors of one gram beyond which its group is cut; anchors of one batch; bytes of a text that are looked at together.
-HOT, BATCH, CHUNK = 50_000, 40_000, 8_000_000
+#: Anchors of one gram beyond which its group is cut; anchors of one batch; starts of a row of a cut group; bytes of a text
+#: that are looked at together.
+HOT, BATCH, NARROW, CHUNK = 20_000, 12_000, 21, 8_000_000
 
 _POSITION = (1 << 24) - 1
 _U = np.uint64
@@ -230,39 +232,78 @@ def _induced(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["uid", "first", "last"]).astype({"first": "int64", "last": "int64"})
 
 
-def _cut_groups(found: DataFrame) -> DataFrame:
-    """Runs of repeated starts of grams with too many anchors for one task: strings counted by digests, over all tasks."""
-    around = F.md5(F.concat_ws(":", F.md5("left"), F.md5("right")))
-    found = found.withColumn("around", around)
-    kinds = found.groupBy("h", "around").agg(F.count(F.lit(1)).alias("n"), F.first("left").alias("left"), F.first("right").alias("right"))
+def _narrowed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of anchors cut by the distance of the starts: each new row stands for at most ``NARROW`` starts.
 
-    def strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for h, around, n, left, right in zip(b["h"], b["around"], b["n"], b["left"], b["right"]):
-                whole, p = left[::-1] + right, len(left)
-                for back in range(min(p, LENGTH - GRAM) + 1):
-                    s = whole[p - back : p - back + LENGTH]
-                    if len(s) == LENGTH:
-                        rows.append((around, h, back, hashlib.md5(s).digest(), n))
-            yield pd.DataFrame(rows, columns=["around", "h", "back", "digest", "n"])
-
-    each = stable(kinds.mapInPandas(strings, "around string, h long, back int, digest binary, n long"))
+    The bytes that all strings from these starts share are the new key, so only anchors that agree in nearly a whole string
+    meet again. The new anchor is the last of the starts; what is in front of it belongs to the others.
+    """
+    for b in batches:
+        rows = []
+        for h, uid, at, low, high, left, right in zip(*(b[c] for c in ("h", "uid", "at", "low", "high", "left", "right"))):
+            for begin in range(low - low % NARROW, high + 1, NARROW):
+                end = min(begin + NARROW - 1, LENGTH - GRAM)
+                shared = left[:begin][::-1] + right[: LENGTH - end]
+                key = hashlib.md5(b"%d:%d:" % (h, begin) + shared).digest()
+                rows.append((
+                    int.from_bytes(key[:8], "little", signed=True), uid, at - begin, max(low, begin) - begin, min(high, end) - begin,
+                    left[begin:end], left[:begin][::-1] + right[: LENGTH - begin],
+                ))
+        yield pd.DataFrame(rows, columns=["h", "uid", "at", "low", "high", "left", "right"])
+
+
+def _strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Digests of the strings that start at or before each anchor."""
+    for b in batches:
+        rows = []
+        for around, h, n, left, right in zip(b["around"], b["h"], b["n"], b["left"], b["right"]):
+            whole, p = left[::-1] + right, len(left)
+            for back in range(p + 1):
+                s = whole[p - back : p - back + LENGTH]
+                if len(s) == LENGTH:
+                    rows.append((around, h, back, hashlib.md5(s).digest(), n))
+        yield pd.DataFrame(rows, columns=["around", "h", "back", "digest", "n"])
+
+
+def _runs_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        out = []
+        for uid, at, low, high, backs in zip(b["uid"], b["at"], b["low"], b["high"], b["backs"]):
+            hit = np.zeros(LENGTH - GRAM + 1, bool)
+            hit[list(backs)] = True
+            out.extend((uid, x, y) for x, y in _runs(hit, at, low, high))
+        yield pd.DataFrame(out, columns=["uid", "first", "last"]).astype({"first": "int64", "last": "int64"})
+
+
+def _cut_groups(found: DataFrame, hot: int) -> DataFrame:
+    """Runs of repeated starts of grams with too many anchors for one task.
+
+    Anchors are cut into rows of few starts with long keys. Equal rows are one from there on: their strings all repeat, and
+    the one row stands for them where others look for partners. Keys with too many different rows even so are not sorted:
+    their few strings per row are counted by their digests.
+    """
+    rows = found.mapInPandas(_narrowed, _FOUND)
+    rows = stable(rows.withColumn("around", F.md5(F.concat_ws(":", F.md5("left"), F.md5("right")))))
+    kinds = stable(rows.groupBy("h", "around").agg(
+        F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("uid", "at", "low", "high", "left", "right")]
+    ))
+    equal = rows.join(kinds.where("n > 1").select("h", "around"), ["h", "around"], "left_semi").select(
+        "uid", (F.col("at") - F.col("high")).alias("first"), (F.col("at") - F.col("low")).alias("last")
+    )
+    # a row that stands for several has had its answer
+    once = F.col("n") == 1
+    kinds = kinds.withColumns({"low": F.when(once, F.col("low")).otherwise(1), "high": F.when(once, F.col("high")).otherwise(0)})
+    sizes = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("rows"), F.max(once.cast("int")).alias("open")).where("rows > 1 AND open = 1")
+    sizes = stable(sizes)
+    calm = kinds.join(sizes.where(F.col("rows") <= hot).select("h"), "h", "left_semi").select(*found.columns)
+    sorted_ = calm.repartition("h").sortWithinPartitions("h", "right").mapInPandas(_induce, _RUNS)
+    busy = kinds.join(sizes.where(F.col("rows") > hot).select("h"), "h", "left_semi")
+    each = stable(busy.select("around", "h", "n", "left", "right").mapInPandas(_strings, "around string, h long, back int, digest binary, n long"))
     # the same string at another distance from its anchor may be the same place
     often = each.groupBy("h", "back", "digest").agg(F.sum("n").alias("times")).where("times > 1").drop("times")
     hits = each.join(often, ["h", "back", "digest"], "left_semi").groupBy("h", "around").agg(F.collect_set("back").alias("backs"))
-    kept = found.select("h", "around", "uid", "at", "low", "high").join(hits, ["h", "around"])
-
-    def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = []
-            for uid, at, low, high, backs in zip(b["uid"], b["at"], b["low"], b["high"], b["backs"]):
-                hit = np.zeros(LENGTH - GRAM + 1, bool)
-                hit[list(backs)] = True
-                out.extend((uid, x, y) for x, y in _runs(hit, at, low, high))
-            yield pd.DataFrame(out, columns=["uid", "first", "last"]).astype({"first": "int64", "last": "int64"})
-
-    return kept.mapInPandas(runs, _RUNS)
+    counted = busy.where(once).select("h", "around", "uid", "at", "low", "high").join(hits, ["h", "around"]).mapInPandas(_runs_of, _RUNS)
+    return equal.unionByName(sorted_).unionByName(counted)
 
 
 def repeated_spans(documents: DataFrame, hot: int = HOT) -> DataFrame:
@@ -282,7 +323,7 @@ def repeated_spans(documents: DataFrame, hot: int = HOT) -> DataFrame:
         calm = found
     runs = calm.repartition("h").sortWithinPartitions("h", "right").mapInPandas(_induce, _RUNS)
     if some:
-        runs = runs.unionByName(_cut_groups(found.join(few, "h", "left_semi")))
+        runs = runs.unionByName(_cut_groups(found.join(few, "h", "left_semi"), hot))
 
     # a run of starts covers LENGTH - 1 bytes beyond its last one; runs of one text are joined where they touch
     order = Window.partitionBy("uid").orderBy("first", "last")
