@@ -136,7 +136,39 @@ def op8_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op9_license_diagonals")
+def _license_sql() -> str:
+    """The scan as SQL: phrases by position; template grams joined by their words, diagonals merged by gaps."""
+    text = lambda x: "'" + x.replace("'", "''") + "'"
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    words = lambda x: rf"regexp_extract_all(translate({x}, '{upper}', '{lower}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    phrases = " UNION ALL ".join(
+        f"SELECT r, i - 1 AS place, {text(label)} AS label FROM spots WHERE "
+        + " AND ".join(f"w[i + {k}] = {text(w)}" for k, w in enumerate(phrase.split()))
+        for phrase, label in licenses.PHRASES.items()
+    )
+    wordings = ", ".join(f"({text(label)}, {n}, {text(t)})" for label, many in licenses.TEMPLATES.items() for n, t in enumerate(many))
+    k = licenses.GRAM - 1
+    return f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {words("coalesce(text, '')")} AS w FROM documents),
+    spots AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+    p AS ({phrases}),
+    b AS (SELECT r, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list_sort(list(DISTINCT label)) AS labels FROM p GROUP BY r),
+    t AS (SELECT label, n, {words("t")} AS w FROM (VALUES {wordings}) AS v(label, n, t)),
+    tg AS (SELECT label, n, j, w[j:j + {k}] AS g, len(w) - {k} AS size FROM (SELECT *, unnest(range(1, len(w) - {k} + 1)) AS j FROM t)),
+    dg AS (SELECT r, i, w[i:i + {k}] AS g FROM spots WHERE i + {k} <= len(w)),
+    h AS (SELECT r, label, n, size, j, i - j AS diagonal FROM dg JOIN tg USING (g)),
+    e AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY r, label, n ORDER BY diagonal, j) <= {licenses.SLACK} THEN 0 ELSE 1 END AS new FROM h),
+    f AS (SELECT *, sum(new) OVER (PARTITION BY r, label, n ORDER BY diagonal, j ROWS UNBOUNDED PRECEDING) AS run FROM e),
+    c AS (SELECT r, label, count(DISTINCT j) / any_value(size) AS covered FROM f GROUP BY r, label, n, run),
+    m AS (SELECT r, list(DISTINCT label) AS more, max(covered) AS covered FROM c WHERE covered >= {licenses.COVERED} GROUP BY r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+           array_to_string(coalesce(labels, []), ',') AS base_labels,
+           array_to_string(list_sort(list_distinct(list_concat(coalesce(labels, []), coalesce(more, [])))), ',') AS labels,
+           CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(covered, 0.0) END::DOUBLE AS score
+    FROM d LEFT JOIN b USING (r) LEFT JOIN m USING (r)"""
+
+
+@query("op9_license_diagonals", _license_sql())
 def op9_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), "doc_id").drop("spans")
 
