@@ -26,7 +26,7 @@ from agentlake.llm.rows import small_batches, texts
 from agentlake.operators.scans import first_k
 
 #: Labelled documents per language that are learned from, at most; the ones with the smallest hashes of their ids.
-SAMPLE_DOCS = 200
+SAMPLE_DOCS = 120
 
 #: Rounds of expectation maximisation; pieces' worth of the common distribution mixed into each language's.
 ROUNDS, SMOOTHING = 2, 500.0
@@ -36,6 +36,8 @@ UNKNOWN = 1e-8
 
 #: Words whose probabilities a worker remembers.
 REMEMBERED = 400_000
+#: Prefixes shorter than this keep their sums; so many of them at most.
+KNOWN, PREFIXES = 7, 100_000
 
 UNDETERMINED = "und"
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -61,25 +63,42 @@ class Model:
         self.languages = languages
         self.table = dict(zip(vocabulary, map(tuple, probabilities.tolist())))
         self.longest = max(map(len, vocabulary), default=1)
+        #: Every end of a piece -> its probabilities, or () where the end is no piece itself.
+        self.ends: dict[str, tuple] = {p[i:]: () for p in vocabulary for i in range(len(p))}
+        self.ends |= self.table
+        self.prefixes: dict[str, list[float]] = {}
 
     def word(self, word: str) -> list[float]:
         """Log-probabilities of a word: forward sums over all segmentations, one per language."""
-        s, get, longest = "▁" + word, self.table.get, self.longest
-        k = len(self.languages)
+        s, get, longest, seen = "▁" + word, self.ends.get, self.longest, self.prefixes
+        k, n = len(self.languages), len(word) + 1
         unknown = (UNKNOWN,) * k
         alpha: list[list[float]] = [[1.0] * k]
+        # the sums of a prefix are the same in all words that begin with it
+        while len(alpha) < KNOWN and len(alpha) <= n and (known := seen.get(s[: len(alpha)])):
+            alpha.append(known)
         scale = [0.0] * k
-        for j in range(1, len(s) + 1):
+        for j in range(len(alpha), n + 1):
             total = None
-            for i in range(j - 1, max(-1, j - 1 - longest), -1):
+            for i in range(j - 1, -1, -1):
                 p = get(s[i:j])
-                if p is None:
-                    if i < j - 1:
+                if not p:
+                    if i == j - 1 and p is None:
+                        p = unknown
+                    elif i == j - 1:  # the end of a piece, but no piece
+                        total = [x * UNKNOWN for x in alpha[i]]
+                        continue
+                    elif p is None:
+                        break
+                    else:
                         continue
-                    p = unknown
                 a = alpha[i]
                 total = [x * y for x, y in zip(a, p)] if total is None else [t + x * y for t, x, y in zip(total, a, p)]
-            if min(total) < _TINY:
+            if j < KNOWN:
+                if len(seen) > PREFIXES:
+                    seen.clear()
+                seen[s[:j]] = total
+            elif min(total) < _TINY:
                 # a language's sums in use are lifted together
                 lift = [_BOOST if x < _TINY else 1.0 for x in total]
                 scale = [x - log(y) for x, y in zip(scale, lift)]
@@ -90,11 +109,20 @@ class Model:
         return [log(max(x, 1e-300)) + y for x, y in zip(alpha[-1], scale)]
 
 
-def _expected(word: str, count: float, probability: dict[str, float], longest: int, into: dict[str, float]) -> None:
+def _expected(word: str, count: float, probability: dict[str, float], ends: set[str], into: dict[str, float]) -> None:
     """Adds the expected uses of each piece in a word of one language."""
     s = "▁" + word[:200]  # a run of letters longer than any word adds nothing to what is learned
     n = len(s)
-    arcs = [[(i, p) for i in range(max(0, j - longest), j) if (p := probability.get(s[i:j])) is not None or i == j - 1] for j in range(1, n + 1)]
+    arcs: list[list[tuple[int, float | None]]] = []
+    for j in range(1, n + 1):
+        row = []
+        for i in range(j - 1, -1, -1):
+            p = probability.get(s[i:j])
+            if p is not None or i == j - 1:
+                row.append((i, p))
+            if s[i:j] not in ends:
+                break
+        arcs.append(row)
     alpha, beta = [1.0] + [0.0] * n, [0.0] * n + [1.0]
     for j in range(1, n + 1):
         alpha[j] = sum(alpha[i] * (UNKNOWN if p is None else p) for i, p in arcs[j - 1])
@@ -145,7 +173,7 @@ def train(labelled: DataFrame, path: str, key: str = "doc_id", text: str = "text
     languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
     vocabulary = pieces(path)
     at = {p: i for i, p in enumerate(vocabulary)}
-    longest = max(map(len, vocabulary))
+    ends = spark.sparkContext.broadcast({p[i:] for p in vocabulary for i in range(len(p))})
     probabilities = np.full((len(vocabulary), len(languages)), 1.0 / len(vocabulary))
     for _ in range(ROUNDS if languages else 0):
         tables = {x: dict(zip(vocabulary, probabilities[:, i].tolist())) for i, x in enumerate(languages)}
@@ -155,7 +183,7 @@ def train(labelled: DataFrame, path: str, key: str = "doc_id", text: str = "text
             sums: dict[str, dict[str, float]] = {}
             for b in batches:
                 for language, word, n in zip(b["lang"], b["word"], b["n"]):
-                    _expected(word, n, shared.value[language], longest, sums.setdefault(language, {}))
+                    _expected(word, n, shared.value[language], ends.value, sums.setdefault(language, {}))
             for language, found in sums.items():
                 yield pd.DataFrame({"lang": language, "piece": list(found), "n": list(found.values())})
 

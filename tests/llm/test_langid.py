@@ -45,7 +45,7 @@ def test_expected_uses_of_pieces():
         for piece in way:
             want[piece] = want.get(piece, 0) + 3 * p / sum(ways.values())
     got = {}
-    langid._expected("ab", 3.0, probability, 3, got)
+    langid._expected("ab", 3.0, probability, {p[i:] for p in probability for i in range(len(p))}, got)
     assert got == pytest.approx(want)
 
 

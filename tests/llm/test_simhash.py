@@ -47,8 +47,8 @@ def test_query(spark, sf):
     assert len(out) == len(texts)
 
 
-@pytest.mark.parametrize("hot", [1, 2, 10_000])
-@pytest.mark.parametrize("ts", [None, (1, 1), (2, 0), (1, 0, 0), (0, 0, 1, -1)])
+@pytest.mark.parametrize("hot", [1, 10_000])
+@pytest.mark.parametrize("ts", [None, (1, 1), (1, 0, 0), (0, 0, 1, -1)])
 def test_links_for_any_thresholds(spark, hot, ts):
     rng = random.Random(5)
     seeds = [rng.getrandbits(64) for _ in range(6)]
