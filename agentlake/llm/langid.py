@@ -169,7 +169,8 @@ def train(labelled: DataFrame, path: str, key: str = "doc_id", text: str = "text
     counts = sample.select("lang", "text").mapInPandas(split, "lang string, word string").groupBy("lang", "word").agg(
         F.count(F.lit(1)).cast("double").alias("n")
     )
-    counts = stable(counts)
+    # few rows, but much work on each: they are spread over all cores
+    counts = stable(counts.repartition(spark.sparkContext.defaultParallelism, "lang", "word"))
     languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
     vocabulary = pieces(path)
     at = {p: i for i, p in enumerate(vocabulary)}
