@@ -76,11 +76,28 @@ def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[n
     return h[at[begin]].view(np.int64), at[begin], begin, np.r_[begin[1:], len(at)] - 1
 
 
-def _chunks(text: str) -> Iterator[tuple[int, np.ndarray]]:
+def _chunks(text: str, chunk: int | None = None) -> Iterator[tuple[int, np.ndarray]]:
     """Parts of a text's bytes such that every string of ``LENGTH`` bytes starts in exactly one."""
-    data = np.frombuffer(text.encode(), np.uint8)
-    for begin in range(0, max(1, len(data) - LENGTH + 1), CHUNK):
-        yield begin, data[begin : begin + CHUNK + LENGTH - 1]
+    data, chunk = np.frombuffer(text.encode(), np.uint8), chunk or CHUNK
+    for begin in range(0, max(1, len(data) - LENGTH + 1), chunk):
+        yield begin, data[begin : begin + chunk + LENGTH - 1]
+
+
+def text_anchors(text: str, chunk: int = CHUNK) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """``hash, position, fewest, most`` of the anchors of a whole text, in arrays: the strings that start from fewest to most
+    bytes before the position have this anchor. Strings of several chunks that share an anchor are one row of it."""
+    held = (np.zeros(0, np.int64),) * 4
+    for begin, part in _chunks(text, chunk):
+        h, at, first, last = anchors(part)
+        low, high, at = at - last, at - first, at + begin
+        if len(at) and len(held[1]) and at[0] == held[1][0]:
+            low[0], high[0] = min(low[0], held[2][0]), max(high[0], held[3][0])
+        else:
+            h, at, low, high = (np.concatenate(x) for x in zip(held, (h, at, low, high)))
+        # the last anchor may be that of the next chunk's first strings too
+        yield h[:-1], at[:-1], low[:-1], high[:-1]
+        held = h[-1:], at[-1:], low[-1:], high[-1:]
+    yield held
 
 
 def common_prefixes(right: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -161,7 +178,7 @@ _FOUND = "h long, uid string, at long, low int, high int, left binary, right bin
 _RUNS = "uid string, first long, last long"
 
 
-def _anchor_rows(documents: DataFrame, bitmap=None) -> DataFrame:
+def _anchor_rows(documents: DataFrame, bitmap=None, chunk: int = CHUNK) -> DataFrame:
     """Anchors of ``uid, text``: their hashes alone, or, of those in the bitmap, the bytes around them too."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -169,16 +186,15 @@ def _anchor_rows(documents: DataFrame, bitmap=None) -> DataFrame:
             rows, hashes = [], []
             for uid, text in zip(b["uid"], b["text"]):
                 data = text.encode() if bitmap is not None else b""
-                for begin, part in _chunks(text):
-                    h, at, first, last = anchors(part)
+                for h, at, low, high in text_anchors(text, chunk):
                     if bitmap is None:
                         hashes.append(h)
                         continue
                     bits = h & (BITMAP_BITS - 1)
                     for k in np.flatnonzero(bitmap.value[bits >> 3] >> (bits & 7).astype(np.uint8) & 1):
-                        p = begin + int(at[k])
+                        p = int(at[k])
                         left, right = data[max(0, p - LENGTH + GRAM) : p][::-1], data[p : p + LENGTH]
-                        rows.append((int(h[k]), uid, p, int(at[k] - last[k]), int(at[k] - first[k]), left, right))
+                        rows.append((int(h[k]), uid, p, int(low[k]), int(high[k]), left, right))
                     if len(rows) >= 20_000:
                         yield pd.DataFrame(rows, columns=["h", "uid", "at", "low", "high", "left", "right"])
                         rows = []
@@ -306,13 +322,13 @@ def _cut_groups(found: DataFrame, hot: int) -> DataFrame:
     return equal.unionByName(sorted_).unionByName(counted)
 
 
-def repeated_spans(documents: DataFrame, hot: int = HOT) -> DataFrame:
+def repeated_spans(documents: DataFrame, hot: int = HOT, chunk: int = CHUNK) -> DataFrame:
     """``uid, spans`` for the texts of ``uid, text`` (one row each) that lose bytes: ``spans`` are their removed runs,
     ``(begin, end)`` in bytes, end exclusive."""
     spark = documents.sparkSession
-    counts = stable(_anchor_rows(documents).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    counts = stable(_anchor_rows(documents, chunk=chunk).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     bitmap = _bitmap(spark, counts)
-    found = _anchor_rows(documents, bitmap)
+    found = _anchor_rows(documents, bitmap, chunk)
     busy = stable(counts.where(F.col("n") > hot).select("h"))
     some = bool(busy.limit(1).count())
     if some:
@@ -347,7 +363,7 @@ def _without(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]
         yield pa.array(out, pa.binary())
 
 
-def remove_repeats(docs: DataFrame, *keep: str, text: str = "text", hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, *keep: str, text: str = "text", hot: int = HOT, chunk: int = CHUNK) -> DataFrame:
     """``keep, n_bytes, spans, kept``: the removed runs of every row's text, and the bytes that are left.
 
     Equal texts are one in all of this: of ``LENGTH`` bytes or more, all of such a text goes, and it still counts as a place
@@ -364,7 +380,7 @@ def remove_repeats(docs: DataFrame, *keep: str, text: str = "text", hot: int = H
     long = held.where(F.col("n_bytes") >= LENGTH).select("_uid", "text")
     one = stable(long.join(known, "_uid", "left_semi").dropDuplicates(["_uid"]))
     singles = long.join(known, "_uid", "left_anti").unionByName(one).select(F.col("_uid").alias("uid"), "text")
-    spans = repeated_spans(singles, hot).join(copies.select("uid"), "uid", "left_anti")
+    spans = repeated_spans(singles, hot, chunk).join(copies.select("uid"), "uid", "left_anti")
     whole = F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.col("n_bytes").alias("end")))
     marks = stable(spans.unionByName(copies.select("uid", whole.alias("spans"))))
     number = marks.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("spans")), F.lit(0))).first()

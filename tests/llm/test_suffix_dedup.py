@@ -67,6 +67,22 @@ def test_all_strings(spark, hot):
     assert found(S.remove_repeats(docs, "doc_id", hot=hot).collect()) == plain(texts)
 
 
+@pytest.mark.parametrize("hot, chunk", [(10_000, 700), (10_000, 90), (0, 700)])
+def test_strings_on_both_sides_of_a_chunk(spark, hot, chunk):
+    rng = random.Random(chunk)
+    new = lambda n: "".join(rng.choice("abcdé ") for _ in range(n))
+    passage = new(260)
+    texts = [(1, new(5_000)), (2, new(1_500) + passage + new(2_000)), (3, new(340) + passage + new(390) + passage), (4, None), (5, new(900))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    assert found(S.remove_repeats(docs, "doc_id", hot=hot, chunk=chunk).collect()) == plain(texts)
+
+
+def test_a_long_text_without_repeats_stays_whole(spark):
+    text = np.random.default_rng(8).integers(97, 123, S.CHUNK + 3_000).astype(np.uint8).tobytes().decode()
+    row = S.remove_repeats(spark.createDataFrame([(1, text)], "doc_id long, text string"), "doc_id").first()
+    assert row.spans == [] and bytes(row.kept).decode() == text
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert S.remove_repeats(docs, "doc_id").count() == 0
