@@ -140,3 +140,14 @@ def chunk_text(
             yield pd.DataFrame({id_col: ids, "chunk_id": numbers, "text": texts, "chunk_size": [len(t) for t in texts]})
 
     return clean.mapInPandas(cut, f"{id_col} {kind}, chunk_id long, text string, chunk_size long")
+
+
+def chunk_counts(
+    docs: DataFrame, id_col: str, text: str, size: int = 2000, overlap: int = 100, min_cut: int = 50,
+    max_chunks: int | None = None, strip: bool = False,
+) -> DataFrame:
+    """(id, n_seen, n_dropped) of each id with chunks: how many ``chunk_text`` finds, and how many ``max_chunks`` leaves out."""
+    chunks = chunk_text(docs, id_col, text, size, overlap, min_cut, strip=strip)
+    # chunks are numbered in each row, so that the bound holds for rows, not for ids
+    dropped = F.count_if(F.col("chunk_id") >= max_chunks) if max_chunks is not None else F.lit(0).cast("long")
+    return chunks.groupBy(id_col).agg(F.count(F.lit(1)).alias("n_seen"), dropped.alias("n_dropped"))

@@ -289,6 +289,32 @@ def chunk_documents(spark, sf):
     return tx.chunk_text(spread(table(spark, sf, "documents").select("doc_id", "text")), "doc_id", "text", size=500, overlap=200)
 
 
+_INDEXED = f"""WITH RECURSIVE {chunks_sql(1200, 100)}, s AS (SELECT doc_id, chunk_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS text FROM chunks),
+    n AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY chunk_id) - 1 AS chunk_id, text FROM s WHERE text <> '')"""
+
+
+def _index(docs, max_chunks=None):
+    chunks = tx.chunk_text(docs, "doc_id", "text", size=1200, overlap=100, max_chunks=max_chunks, strip=True)
+    index = chunks.withColumn("vec", vec.embed_column(F.col("text"), vec.hashing_embedder(16)))
+    return index.select("doc_id", "chunk_id", "text", "chunk_size", F.size("vec").cast("long").alias("dim"))
+
+
+@query("v2_index", f"{_INDEXED} SELECT doc_id, chunk_id, text, length(text) AS chunk_size, CAST(16 AS BIGINT) AS dim FROM n")
+def full_index(spark, sf):
+    """The index over all chunks of every document."""
+    return _index(spread(table(spark, sf, "documents").select("doc_id", "text")))
+
+
+@query(
+    "v2_bounded_index_counts",
+    f"""{_INDEXED} SELECT doc_id, count(*) AS n_seen, greatest(count(*) - 80, 0) AS n_dropped FROM n GROUP BY doc_id""",
+)
+def bounded_index_counts(spark, sf):
+    """Chunks of every document, and how many of them ``v2_bounded_index`` leaves out."""
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    return tx.chunk_counts(docs, "doc_id", "text", size=1200, overlap=100, max_chunks=80, strip=True)
+
+
 @query(
     "v2_bounded_index",
     f"""WITH RECURSIVE {chunks_sql(1200, 100)}, s AS (SELECT doc_id, chunk_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS text FROM chunks),
@@ -296,7 +322,5 @@ def chunk_documents(spark, sf):
     SELECT doc_id, chunk_id, text, length(text) AS chunk_size, CAST(16 AS BIGINT) AS dim FROM n WHERE chunk_id < 80""",
 )
 def bounded_index(spark, sf):
-    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
-    chunks = tx.chunk_text(docs, "doc_id", "text", size=1200, overlap=100, max_chunks=80, strip=True)
-    index = chunks.withColumn("vec", vec.embed_column(F.col("text"), vec.hashing_embedder(16)))
-    return index.select("doc_id", "chunk_id", "text", "chunk_size", F.size("vec").cast("long").alias("dim"))
+    """The index with the bound of its source; ``v2_index`` is the whole one, ``v2_bounded_index_counts`` says what is left out."""
+    return _index(spread(table(spark, sf, "documents").select("doc_id", "text")), max_chunks=80)

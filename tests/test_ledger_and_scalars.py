@@ -140,3 +140,20 @@ def test_chunks_cover_the_text(spark):
     assert [r["chunk_size"] for r in rows if r["id"] == 2] == [5]
     few = tx.chunk_text(docs, "id", "text", 500, 200, max_chunks=2, strip=True)
     assert few.groupBy("id").count().agg(F.max("count")).first()[0] == 2
+
+
+def test_bounded_chunks_are_counted(spark):
+    docs = spark.createDataFrame([(1, "y" * 1300), (2, "short")], "id long, text string")
+    counts = lambda bound: sorted(tuple(r) for r in tx.chunk_counts(docs, "id", "text", 500, 200, max_chunks=bound, strip=True).collect())
+    assert counts(2) == [(1, 4, 2), (2, 1, 0)] and counts(None) == [(1, 4, 0), (2, 1, 0)]
+
+
+def test_the_index_holds_all_chunks_of_a_long_text(spark, tmp_path):
+    from agentlake.plans import load_all
+
+    spark.createDataFrame([(1, "word " * 30_000), (2, "short")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    queries = load_all()[0]
+    n = {r["doc_id"]: r["count"] for r in queries["v2_index"](spark, str(tmp_path)).groupBy("doc_id").count().collect()}
+    assert n[1] > 80 and n[2] == 1
+    found = {r["doc_id"]: (r["n_seen"], r["n_dropped"]) for r in queries["v2_bounded_index_counts"](spark, str(tmp_path)).collect()}
+    assert found == {1: (n[1], n[1] - 80), 2: (1, 0)}
