@@ -2,8 +2,10 @@
 
 A page is read into blocks of text. The first pass decides blocks by what they are part of (menus, forms, notices and the
 like are out), by the share of their text that is links, and by stop-word density and length; short blocks, and blocks the
-measures say little about, stay open. In the second pass an open block takes the label of its nearest decided neighbours,
-where these agree or the closer one is near; inside an article element with no decided block, open blocks are in.
+measures say little about, stay open. Few stop words speak against a block only where its language has some in the list;
+else a long block with few links is in. In the second pass an open block takes the label of its nearest decided neighbours,
+or of the only one, at any distance; inside an article element with no decided block, open blocks are in, and so they are
+on a page where no block is decided by its words.
 """
 
 from __future__ import annotations
@@ -61,6 +63,8 @@ FENCES = frozenset("table ul ol dl div section article main aside nav header foo
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _CUT = re.compile(r"<[a-zA-Z/!?][^<>]*\Z")
 _WORD = re.compile(r"\w+")
+#: A letter that no language of ``STOP_WORDS`` is written with.
+_OTHER = re.compile(r"[^\W\d_a-zßàáâãäæçèéêëìíîïñòóôõöùúûüÿœĳºª]")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -153,9 +157,29 @@ class _Blocks(HTMLParser):
                 self.linked += len("".join(data.split()))
 
 
-def _decide(text: str, linked: int, region: int) -> bool | None:
-    """In, out, or open."""
-    if linked > LINKS * max(1, len(text.replace(" ", ""))):
+def _is_links(text: str, linked: int) -> bool:
+    return linked > LINKS * max(1, len(text.replace(" ", "")))
+
+
+def _other(found: list[str]) -> bool:
+    """Whether a tenth of the words have letters of other languages than the listed ones."""
+    return 10 * sum(bool(_OTHER.search(w)) for w in found) >= len(found)
+
+
+def _listed(blocks: list[list]) -> bool:
+    """Whether stop words are as frequent on the page as in a language of the list."""
+    n = stop = 0
+    for text, linked, *_ in blocks:
+        found = [] if _is_links(text, linked) else _WORD.findall(text.lower())
+        if found and not _other(found):
+            n += len(found)
+            stop += sum(w in STOP_WORDS for w in found)
+    return stop >= FEW * n
+
+
+def _decide(text: str, linked: int, region: int, listed: bool = True) -> bool | None:
+    """In, out, or open; ``listed`` says whether few stop words are evidence on this page."""
+    if _is_links(text, linked):
         return False
     found = _WORD.findall(text.lower())
     if not found:
@@ -164,7 +188,7 @@ def _decide(text: str, linked: int, region: int) -> bool | None:
     if len(text) >= SHORT and density >= MANY or len(text) >= (SHORT if region else LONG) and density >= FEW:
         return True
     if len(text) >= LONG and density < FEW and not region:
-        return False
+        return not listed or _other(found)
     return None
 
 
@@ -175,9 +199,15 @@ def main_text(html: str) -> str:
     parser.close()
     parser._flush()
     blocks = parser.blocks
-    label = [_decide(t, linked, region) for t, linked, _, region in blocks]
+    regions = any(region for *_, region in blocks)
+    listed = regions or _listed(blocks)
+    label = [_decide(t, linked, region, listed) for t, linked, _, region in blocks]
+    if not regions and not any(x is not None and not _is_links(t, linked) for x, (t, linked, *_) in zip(label, blocks)):
+        # no words decide anything: the open blocks are judged as one, and only a few words stay out
+        rest = [t for x, (t, *_) in zip(label, blocks) if x is None]
+        return "\n\n".join(rest) if sum(map(len, rest)) >= SHORT else ""
     # where there is an article element, what stands outside of all is not the article
-    if any(region for *_, region in blocks):
+    if regions:
         label = [x if region else False for x, (*_, region) in zip(label, blocks)]
     before: list[tuple[int, bool] | None] = []
     seen: dict[int, tuple[int, bool]] = {}

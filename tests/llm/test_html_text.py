@@ -29,6 +29,32 @@ def test_pages(html, want):
     assert html_text.main_text(html) == want
 
 
+RUSSIAN = "Река города так же стара, как холмы вокруг него, и здесь первые люди решили остаться навсегда. " * 2
+CHINESE = "这座城市的河流和周围的山一样古老，最早来到这里的人们决定在河边留下来，建起房屋，种下果树。" * 4
+POLISH = "Rzeka płynąca przez miasto jest równie stara jak wzgórza, więc pierwsi mieszkańcy postanowili zostać właśnie tutaj. " * 2
+SWAHILI = "Mto wa mji huu umekuwepo tangu zamani kama vilima vyake, watu wake wa kwanza waliamua kukaa hapa milele. " * 2
+NAMES = "Acme Widgets, Blue Harbor Trading, Crown Bakery, Delta Motors, Eagle Optics, Forest Hardware, Golden Gate Tours, Hill Street Books, Iron Works"
+
+
+@pytest.mark.parametrize("prose", [RUSSIAN, CHINESE, POLISH, SWAHILI])
+def test_prose_without_listed_stop_words(prose):
+    prose = prose.strip()
+    page = f"<body><h1>1</h1><p>{prose}</p><p>2</p><p>{prose}</p><div class=sidebar>{prose}</div><p><a>{prose}</a></p></body>"
+    assert html_text.main_text(page) == f"1\n\n{prose}\n\n2\n\n{prose}"
+
+
+def test_names_on_a_page_of_a_listed_language_stay_out():
+    assert html_text.main_text(f"<p>{PROSE} {PROSE}</p><p>{MORE} {MORE}</p><p>{NAMES}</p>") == f"{PROSE} {PROSE}\n\n{MORE} {MORE}"
+    # another language beside it is not judged by these words
+    assert html_text.main_text(f"<p>{PROSE} {PROSE}</p><p>{POLISH.strip()}</p>") == f"{PROSE} {PROSE}\n\n{POLISH.strip()}"
+
+
+def test_a_page_of_short_blocks_only():
+    lines = ["Roses are red", "Violets are blue", "Sugar is sweet", "And so are you", "Nobody else here", "Only short lines"]
+    page = "".join(f"<p>{x}</p>" for x in lines) + "<p><a>one</a> <a>two</a></p><div class=nav>Site map</div>"
+    assert html_text.main_text(page) == "\n\n".join(lines)
+
+
 def test_query(spark, sf):
     pages = {r.page_id: r for r in table(spark, sf, "pages").collect()}
     out = entries.QUERIES["op10_main_text"](spark, sf).collect()
