@@ -234,7 +234,7 @@ def main_text(html: str) -> str:
                 keep = a[1] if a[1] == b[1] else (b if heading or b[0] - i < i - a[0] else a)[1]
             else:
                 near = b or a
-                keep = bool(near and near[1] and abs(near[0] - i) <= 3)
+                keep = bool(near and near[1])
         if keep:
             out.append(text)
     return "\n\n".join(out)

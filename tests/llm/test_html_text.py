@@ -55,6 +55,14 @@ def test_a_page_of_short_blocks_only():
     assert html_text.main_text(page) == "\n\n".join(lines)
 
 
+@pytest.mark.parametrize("first", [True, False])
+def test_a_long_run_of_short_blocks_beside_one_decided(first):
+    long, steps = f"{PROSE} {PROSE}", [f"Step {k}" for k in range(9)]
+    blocks = [*steps, long] if first else [long, *steps]
+    page = "<div class=menu>Home</div>" + "".join(f"<p>{x}</p>" for x in blocks) + "<div class=footer>Imprint</div>"
+    assert html_text.main_text(page) == "\n\n".join(blocks)
+
+
 def test_query(spark, sf):
     pages = {r.page_id: r for r in table(spark, sf, "pages").collect()}
     out = entries.QUERIES["op10_main_text"](spark, sf).collect()
