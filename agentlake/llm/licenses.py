@@ -5,11 +5,16 @@ word ``pos`` of the document and ``tpos`` of the template votes for the diagonal
 are merged, as a word put in or left out moves the rest of a license by one; a merged diagonal becomes a label if enough
 of the template's k-grams stand on it. Matches are verified word by word, so equal hashes of unequal words do not count.
 
+Wordings of different labels that share so many k-grams that one would count as the other are rivals. A span of such a
+wording needs the words that tell it from each rival, and of overlapping spans of rivals the best covered one stays.
+
 The templates are a fixed list of a few kilobytes; that is what is broadcast, whatever the size of the corpus.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,6 +106,56 @@ def templates(spark, wordings: dict[str, tuple[str, ...]] = TEMPLATES, k: int =
     )
 
 
+def rivals(wordings: dict[str, tuple[str, ...]] = TEMPLATES, k: int = GRAM) -> list[tuple[str, int, str, list[list[int]]]]:
+    """``label, template, family, telling`` of the wordings that have rivals: what they are rivals in, and per rival the
+    positions of the words that it lacks."""
+    words = {(label, i): re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower()) for label, many in wordings.items() for i, text in enumerate(many)}
+    grams = {t: [tuple(w[i : i + k]) for i in range(len(w) - k + 1)] for t, w in words.items()}
+    against: dict[tuple[str, int], list[tuple[str, int]]] = {}
+    for a in words:
+        for b in words:
+            if a[0] != b[0] and grams[a] and grams[b]:
+                both = len(set(grams[a]) & set(grams[b]))
+                if both >= COVERED * min(len(grams[a]), len(grams[b])):
+                    against.setdefault(a, []).append(b)
+    family: dict[tuple[str, int], str] = {}
+    for a in against:
+        todo = [a]
+        while todo:
+            b = todo.pop()
+            if b not in family:
+                family[b] = f"{a[0]} {a[1]}"
+                todo += against[b]
+    return [
+        (*a, family[a], [x for b in many if (x := [p for p, w in enumerate(words[a]) if w not in words[b]])]) for a, many in against.items()
+    ]
+
+
+def _told_apart(merged: DataFrame, keep: tuple[str, ...], wordings: dict[str, tuple[str, ...]], k: int) -> DataFrame:
+    """The spans with the telling words of their wordings, without those that a rival covers better at the same place."""
+    known = rivals(wordings, k)
+    if not known:
+        return merged
+    known = merged.sparkSession.createDataFrame(known, "label string, template int, family string, telling array<array<int>>")
+    t = merged.join(F.broadcast(known), ["label", "template"], "left")
+    stands = lambda p: F.exists("tpos", lambda x: (x <= p) & (p < x + k))
+    t = t.where(F.col("family").isNull() | F.forall("telling", lambda ps: F.exists(ps, stands)))
+    # rows of a family that overlap one after the other are an island; rivals are compared inside
+    own = F.coalesce("family", F.concat_ws(" ", F.lit(""), "label", "template"))
+    t = t.withColumn("family", own)
+    order = Window.partitionBy(*keep, "text_key", "family").orderBy("first_word", "end_word", "label", "template")
+    reach = F.max("end_word").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    t = t.withColumn("new", F.coalesce((F.col("first_word") >= reach).cast("int"), F.lit(1)))
+    t = t.withColumn("island", F.sum("new").over(order))
+    rows = F.collect_list(F.struct("label", "first_word", "end_word", "covered")).over(Window.partitionBy(*keep, "text_key", "family", "island"))
+    t = t.withColumn("beside", rows)
+    better = F.exists("beside", lambda o: (
+        (o["label"] != F.col("label")) & (o["covered"] > F.col("covered"))
+        & (o["first_word"] < F.col("end_word")) & (o["end_word"] > F.col("first_word"))
+    ))
+    return t.where(~better)
+
+
 def _places(words: Column, line: Column, phrase: str) -> Column:
     """Word positions at which the phrase's words stand one after the other."""
     parts = phrase.split()
@@ -156,7 +211,7 @@ def spans(docs: DataFrame, *keep: str, text: str = "text", wordings: dict[str, t
         F.min("first_word").alias("first_word"), F.max("end_word").alias("end_word"),
     )
     merged = merged.withColumn("covered", F.size("tpos") / F.col("n_grams"))
-    return merged.where(F.col("covered") >= COVERED).select(
+    return _told_apart(merged.where(F.col("covered") >= COVERED), keep, wordings, k).select(
         *keep, "text_key", "label", "template", "first_word", "end_word", "covered"
     )
 

@@ -75,6 +75,21 @@ def test_changed_and_odd_texts(spark):
     assert licenses.scan(docs.limit(0), "doc_id").count() == 0
 
 
+def test_creative_commons_wordings_are_told_apart(spark):
+    cc = {label: licenses.TEMPLATES[label][1] for label in ("cc-by", "cc-by-nc", "cc-by-nd", "cc-by-sa")}
+    mit = licenses.TEMPLATES["mit"][3]
+    texts = {label: f"Some words in front. {text} And some behind." for label, text in cc.items()}
+    texts["cc-by,cc-by-nc"] = f"{cc['cc-by-nc']} {cc['cc-by']}"
+    texts["cc-by-nc,cc-by-sa"] = cc["cc-by-nc"].replace("noncommercial", "NonCommercial-ShareAlike")
+    texts["cc-by-nd,mit"] = f"{mit[:300]} {cc['cc-by-nd']} {mit[300:]}"
+    # neither the older version of a wording nor a word put in takes its label away
+    texts["cc-by "] = cc["cc-by"].replace("4.0 international", "3.0 unported")
+    texts["cc-by-nc "] = cc["cc-by-nc"].replace("4.0", "Public License 4.0")
+    docs = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    got = {r.doc_id: r.labels for r in licenses.scan(docs, "doc_id").collect()}
+    assert got == {name: name.strip() for name in texts}
+
+
 def test_no_python_in_the_plan(spark, sf):
     plan = entries.QUERIES["op9_license_diagonals"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "CartesianProduct" not in plan
