@@ -37,8 +37,8 @@ ROLES = {
 LISTED = (*KINDS, *(k for k in ROLES if k not in KINDS))
 
 WEAK = (
-    ("account", re.compile(rb"""\b(?:user(?:name)?|login|account(?:_?id)?|client_?id|access_?key_?id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{3,64})""", re.IGNORECASE)),
-    ("endpoint", re.compile(rb"""\b(?:https?|ftp|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\x00-\x20"'<>]{4,512}|\b(?:\d{1,3}\.){3}\d{1,3}(?::\d{2,5})?\b""")),
+    ("account", re.compile(rb"""\b(?:user(?:name)?|login|account(?:_?id)?|client_?id|access_?key_?id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{3,})""", re.IGNORECASE)),
+    ("endpoint", re.compile(rb"""\b(?:https?|ftp|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\x00-\x20"'<>]{4,}|\b(?:\d{1,3}\.){3}\d{1,3}(?::\d{2,5})?\b""")),
 )
 
 #: Code points between the parts of one credential, at most; and the length of a block of the interval join.

@@ -74,3 +74,12 @@ def test_nulls_repeats_empty(spark):
 def test_very_long_text(spark):
     text = "login: bob passwd: abc " + "a " * 400_000 + "f" * 100_000
     assert len(spans(spark, text)[0]) == 3
+
+
+def test_long_weak_parts_are_whole(spark):
+    url, name = "https://db.example.org/?" + "q=1&" * 400 + "end", "bob" * 40
+    text = f"login: {name} passwd: abc {url} token=xyz after"
+    want = [("account", f"login: {name}"), ("weak_secret", "passwd: abc"), ("endpoint", url), ("weak_secret", "token=xyz")]
+    assert [(k, text[a:b]) for k, a, b in spans(spark, text)[0]] == want
+    red = secrets.redact(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().text
+    assert red == "[ACCOUNT] [WEAK_SECRET] [ENDPOINT] [WEAK_SECRET] after"
