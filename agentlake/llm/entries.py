@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agentlake.llm import bpe, embedding_dedup, html_text, langid, licenses, mixing, quality, secrets, simhash, suffix_dedup
+from agentlake.llm import (
+    bpe, centroids, digests, embedding_dedup, html_text, langid, licenses, merkle, mixing, quality, secrets, simhash, suffix_dedup,
+)
 from agentlake.llm.rows import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,3 +178,114 @@ def op9_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_main_text")
 def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"), "page_id", "url")
+
+
+def _centroid_sql(k: int = 40, rounds: int = 5, dim: int = 64) -> str:
+    """Rounds written out: assign all, then the floor of sums over counts; sums and distances are whole numbers."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+    d{r} AS MATERIALIZED (
+      SELECT r, vec_id, kept.v, c,
+             list_sum(list_transform(list_zip(kept.v, c{r}.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+      FROM kept CROSS JOIN c{r}
+    ), a{r} AS MATERIALIZED (
+      SELECT r, vec_id, v, c, d FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY d, c) AS nth FROM d{r}) WHERE nth = 1
+    )""")
+        if r < rounds:
+            steps.append(f"""
+    c{r + 1} AS MATERIALIZED (
+      SELECT c, coalesce(m.v, c{r}.v) AS v FROM c{r} LEFT JOIN (
+        SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i)::BIGINT[] AS v
+        FROM (SELECT c, i, sum(x) AS s, count(*) AS n FROM (SELECT c, unnest(v) AS x, unnest(range({dim})) AS i FROM a{r}) GROUP BY c, i) GROUP BY c
+      ) m USING (c)
+    )""")
+    return f"""
+    WITH kept AS MATERIALIZED (
+      SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+      WHERE len(embedding) = {dim} AND list_count(embedding) = {dim} AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0
+    ), c0 AS MATERIALIZED (
+      SELECT row_number() OVER (ORDER BY h NULLS LAST, v) - 1 AS c, v FROM (SELECT sha256('2:' || vec_id) AS h, v FROM kept) ORDER BY 1 LIMIT {k}
+    ), {",".join(steps)}
+    SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+           (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256
+    FROM a{rounds} JOIN c{rounds} USING (c)"""
+
+
+@query("op11_centroid_clusters", _centroid_sql())
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings")).drop("scans")
+
+
+def _manifest_sql(fanout: int = 8) -> str:
+    """Levels by recursion, then every path by recursion over the strings of the siblings."""
+    field = lambda c: f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    step = "list_reduce(list_concat([xor(c, x)], repeat([0::BIGINT], 8)), lambda a, b: xor(a >> 1, 3988292384 * (a & 1)))"
+    crc = f"""xor(4294967295, list_reduce(list_concat([4294967295::BIGINT],
+              list_transform(string_split(doc_id::VARCHAR, ''), lambda s: ord(s)::BIGINT)), lambda c, x: {step}))"""
+
+    def tree(name: str, source: str) -> str:
+        return f"""
+    {name} AS (
+      SELECT g, 0 AS lv, pos, h, n FROM {source}
+      UNION ALL
+      SELECT g, lv + 1, pos // {fanout}, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + {fanout - 1}) // {fanout}
+      FROM {name} WHERE n > 1 GROUP BY g, lv, pos // {fanout}
+    ), {name}_s AS (
+      SELECT a.g, a.lv, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS lo,
+             coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS hi
+      FROM {name} a JOIN {name} b ON a.g IS NOT DISTINCT FROM b.g AND a.lv = b.lv AND a.pos // {fanout} = b.pos // {fanout}
+      WHERE a.n > 1 GROUP BY a.g, a.lv, a.pos
+    )"""
+
+    def climb(name: str, sides: str, source: str) -> str:
+        return f"""
+    {name} AS (
+      SELECT r, g, pos, 0 AS lv, proof, h FROM {source}
+      UNION ALL
+      SELECT r, p.g, p.pos // {fanout}, p.lv + 1, proof || lo || hi, sha256(lo || h || hi)
+      FROM {name} p JOIN {sides} s ON p.g IS NOT DISTINCT FROM s.g AND p.lv = s.lv AND p.pos = s.pos
+    )"""
+
+    return f"""
+    WITH RECURSIVE d AS MATERIALIZED (
+      SELECT row_number() OVER () AS r, doc_id, lang AS g, {leaf("text")} AS leaf,
+             CASE WHEN doc_id IS NOT NULL AND {crc} % 3 = 0 THEN {leaf(f"translate(text, '{upper}', '{lower}')")} ELSE {leaf("text")} END AS other
+      FROM documents
+    ), l AS MATERIALIZED (
+      SELECT r, g, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, leaf AS h, count(*) OVER (PARTITION BY g) AS n FROM d
+    ), {tree("low", "l")}, sub AS MATERIALIZED (
+      SELECT true AS g, row_number() OVER (ORDER BY low.g NULLS FIRST) - 1 AS pos, low.g AS lang, h, count(*) OVER () AS n FROM low WHERE n = 1
+    ), {tree("top", "(SELECT g, pos, h, n FROM sub)")}, {climb("up", "low_s", "(SELECT l.r, l.g, pos, '' AS proof, other AS h FROM l JOIN d USING (r))")},
+    arrived AS (
+      SELECT r, true AS g, sub.pos, proof, up.h FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY lv DESC) AS last FROM up) up
+      JOIN sub ON up.g IS NOT DISTINCT FROM sub.lang WHERE last = 1
+    ), {climb("over", "top_s", "arrived")}, done AS (
+      SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY lv DESC) AS last FROM over) WHERE last = 1
+    )
+    SELECT doc_id, leaf, sub.h AS subroot, top.h AS root, sha256(proof) AS proof_sha256, done.h AS folded_root, done.h = top.h AS verified
+    FROM d JOIN done USING (r) JOIN sub ON d.g IS NOT DISTINCT FROM sub.lang JOIN top ON top.n = 1"""
+
+
+@query("op12_merkle_manifest", _manifest_sql())
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, columns = table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"]
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    hit = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False))
+    tampered = F.when(hit, merkle.leaf_hash([*map(F.col, columns[:-1]), F.translate("text", upper, lower)]))
+    out = merkle.manifest(docs, columns, "doc_id", "lang", {"tampered": tampered})
+    left, right = F.col("left"), F.col("right")
+    found = out.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_hash(left, right).alias("proof_sha256"),
+        merkle.fold(F.coalesce("tampered", "leaf"), left, right).alias("folded_root"),
+    )
+    return found.select("*", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query("op13_improbable_digest")
+def op13_improbable_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = digests.spliced(table(spark, sf_dir, "documents"))
+    shown = [F.lower(F.hex(c)).alias(c) for c in ("fingerprint", "edited_fingerprint")]
+    return out.select("doc_id", "n_chars", "edited_sha256", *shown, "near_edited", "near_next")
