@@ -117,9 +117,10 @@ def manifest(
     carry = dict(carry or {})
     more, spare = list(carry), [f"_c{i}" for i in range(len(carry))]
     tree = F.coalesce(F.concat(F.lit("+"), F.col(group).cast("string")), F.lit(""))  # bytewise as the group, null first
-    leaves = spread(docs).select(
+    # written down, since sorting by ranges reads its input twice
+    leaves = stable(spread(docs).select(
         F.col(key).alias("k"), tree.alias("tree"), leaf_hash(F.col(c) for c in columns).alias("leaf"), *[carry[c].alias(s) for c, s in zip(more, spare)]
-    )
+    ))
     block = fanout**height
     inside = placed(leaves, "tree", ["k", "leaf"]).withColumn("block", F.expr(f"pos div {block}"))
     by_block = inside.groupBy("tree", "block")
