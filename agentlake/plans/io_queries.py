@@ -151,6 +151,20 @@ def allocate_all(spark, sf):
     return allocation.allocate(lines, stock)
 
 
+CONTESTED_SQL = ALLOCATION_SQL.replace("o_custkey % 50 AS site", "o_custkey % 2 AS site").replace("1 + o_orderkey % 40 AS q", "1 + (o_orderkey * 7919) % 997 AS q").replace("2000 + site", "400000 + site")
+
+
+@query("x3_allocate_contested", f"WITH {CONTESTED_SQL} SELECT o.site, o.seq, list_contains(r.ids, o.seq) AS accepted FROM o JOIN r USING (site)")
+def allocate_contested(spark, sf):
+    """Two sites take all orders and refuse most: both are settled in rounds."""
+    key = F.col("o_orderkey")
+    orders = table(spark, sf, "orders").select(
+        (F.col("o_custkey") % 2).alias("site"), key.alias("seq"), F.lit(0).alias("item"), ((key * 7919) % 997 + 1).alias("quantity")
+    )
+    stock = orders.select("site").distinct().select("site", F.lit(0).alias("item"), (F.col("site") + 400_000).alias("amount"))
+    return allocation.allocate(orders, stock, hot_lines=2000)
+
+
 def _stream(spark, sf, name):
     return spark.readStream.schema(table(spark, sf, name).schema).parquet(f"{sf}/{name}.parq*")
 
