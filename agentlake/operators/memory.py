@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from agentlake.operators.neighbours import _blocked, _merge
+from agentlake.operators.neighbours import _merge, _tiles
 from agentlake.operators.scans import first_k, latest, one_per_key
 
 PROTECTED = "default"
@@ -84,7 +84,7 @@ def search_memory(
     """
     kept = memory.filter((F.col("namespace") == namespace) & time_range("timestamp", after, before))
     schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, id {memory.schema['id'].dataType.simpleString()}, score double"
-    local = _blocked(kept.select("id", "vec", "owner"), queries.select("query_id", "vec", "owner"), k, metric, schema, "owner")
+    local = _tiles(kept.select("id", "vec", "owner"), queries.select("query_id", "vec", "owner"), k, metric, schema, "owner")
     return _merge(local, k, metric)
 
 

@@ -1,8 +1,9 @@
 """Exact and approximate nearest neighbours.
 
 Queries within a checked bound travel to the corpus: every task scores its batches against the query matrix and
-hands on at most k rows per query and batch. Beyond the bound, both sides are cut into blocks, blocks meet by
-an equi-join on the block pair, and again only k rows per query leave a block. No plan emits all pairs.
+hands on at most k rows per query and batch. Beyond the bound, the corpus is cut into cells around pivots; a query visits
+its own cell first, and then only cells that can still beat its k-th score. Tiles of a cell and its queries meet by an
+equi-join, and again only k rows per query leave a tile. No plan emits all pairs.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from agentlake.operators.predicates import compile_where, compile_where_document
 
 MAX_CARRIED = 2048  # queries carried to every task: 2,048 x 64 floats are half a megabyte
 CORPUS_BLOCK, QUERY_BLOCK = 32_768, 2048
+QUERIES_A_TILE = 65_536
+ROWS_A_CELL, MOST_CELLS = 512, 1024
 CELLS = 1 << 21  # scores held at once in a task
 DIGITS = 9  # scores are compared after rounding, so equal vectors tie and the smaller id wins
 
@@ -88,24 +91,29 @@ def _carried(corpus: DataFrame, rows: list, k: int, metric: str, schema: str) ->
     return corpus.mapInPandas(score, schema)
 
 
-def _blocked(corpus: DataFrame, queries: DataFrame, k: int, metric: str, schema: str, group: str | None) -> DataFrame:
-    """Blocks of about CORPUS_BLOCK by QUERY_BLOCK rows meet; ``group`` restricts meetings to equal groups."""
-    g = group or "__g"
-    if group is None:
-        corpus, queries = corpus.withColumn(g, F.lit(0)), queries.withColumn(g, F.lit(0))
-    blocks = lambda rows: F.ceil(F.count("*") / rows).cast("int")
+def _meet(k: int, metric: str):
+    """Tile of a corpus block and a query block: at most k rows per query."""
+
+    def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return pd.DataFrame({"query_id": [], "id": [], "score": []})
+        dim = next((len(v) for side in (left, right) for v in side["vec"] if v is not None), 1)
+        asked = _stack(right["vec"].to_list(), dim)
+        col, ids, s = _best(_stack(left["vec"].to_list(), dim), left["id"].to_numpy(), asked, k, metric)
+        return pd.DataFrame({"query_id": right["query_id"].to_numpy()[col], "id": ids, "score": s})
+
+    return meet
 
-    def sized(df):
-        """Rows with the number of corpus and query blocks of their group."""
-        if group is None:
-            n = lambda of, rows: F.greatest(F.lit(1), of.agg(blocks(rows)).scalar())
-            return df.withColumns({"__nc": n(corpus, CORPUS_BLOCK), "__nq": n(queries, QUERY_BLOCK)})
-        cuts = corpus.groupBy(g).agg(blocks(CORPUS_BLOCK).alias("__nc")).join(queries.groupBy(g).agg(blocks(QUERY_BLOCK).alias("__nq")), g)
-        return df.join(cuts, g)
+
+def _tiles(corpus: DataFrame, queries: DataFrame, k: int, metric: str, schema: str, group: str, query_block: int = QUERY_BLOCK) -> DataFrame:
+    """Rows of equal ``group`` meet, in tiles of about CORPUS_BLOCK by ``query_block`` rows."""
+    g = group
+    blocks = lambda rows: F.ceil(F.count("*") / rows).cast("int")
+    cuts = corpus.groupBy(g).agg(blocks(CORPUS_BLOCK).alias("__nc")).join(queries.groupBy(g).agg(blocks(query_block).alias("__nq")), g)
 
     def spread(df, key, own, other, own_block, other_block):
         mine = F.pmod(F.xxhash64(F.col(key)), F.col(own)).cast("int")
-        both = sized(df).withColumn(own_block, mine).withColumn(
+        both = df.join(cuts, g).withColumn(own_block, mine).withColumn(
             other_block, F.explode(F.sequence(F.lit(0), F.col(other) - 1))
         )
         # fresh column identities: both sides may come from one table
@@ -113,17 +121,101 @@ def _blocked(corpus: DataFrame, queries: DataFrame, k: int, metric: str, schema:
 
     c = spread(corpus, "id", "__nc", "__nq", "__cb", "__qb")
     q = spread(queries, "query_id", "__nq", "__nc", "__qb", "__cb")
+    on = [g, "__qb", "__cb"]
+    return c.groupBy(*on).cogroup(q.groupBy(*on)).applyInPandas(_meet(k, metric), schema)
 
-    def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"query_id": [], "id": [], "score": []})
-        dim = next((len(v) for side in (left, right) for v in side["vec"] if v is not None), 1)
-        asked = _stack(right["vec"].to_list(), dim)
-        col, ids, s = _best(_stack(left["vec"].to_list(), dim), left["id"].to_numpy(), asked, k, metric)
-        return pd.DataFrame({"query_id": right["query_id"].to_numpy()[col], "id": ids, "score": s})
 
-    on = [g, "__qb", "__cb"]
-    return c.groupBy(*on).cogroup(q.groupBy(*on)).applyInPandas(meet, schema)
+class _Pivots:
+    """Cells around chosen corpus vectors and what the distances to them rule out.
+
+    Distances are those of the space in which the metric is one: unit vectors for the cosine, the vectors themselves for l2.
+    """
+
+    def __init__(self, points: list, metric: str):
+        self.metric = metric
+        self.at = self.placed(_stack(points))
+        self.rows = np.zeros(len(self.at))
+        self.radius = np.zeros(len(self.at))
+        self.apart = self.distances(self.at)
+
+    def placed(self, x: np.ndarray) -> np.ndarray:
+        return x if self.metric == "l2" else x / np.linalg.norm(x, axis=1)[:, None]
+
+    def distances(self, x: np.ndarray) -> np.ndarray:
+        d = (x * x).sum(1)[:, None] - 2 * x @ self.at.T + (self.at * self.at).sum(1)[None, :]
+        return np.sqrt(np.maximum(d, 0))
+
+    def visited(self, vecs: list, best: np.ndarray, home: np.ndarray) -> list:
+        """Per query, the cells beside ``home`` that may hold a row as good as ``best``, its k-th score so far (nan: none)."""
+        x = self.placed(_stack(vecs, self.at.shape[1]))
+        d = self.distances(x)
+        farthest = -best if self.metric == "l2" else 2 - 2 * best  # squared
+        size = np.sqrt((x * x).sum(1))[:, None] + np.sqrt((self.at * self.at).sum(1))[None, :] + self.radius[None, :]
+        # scores tie after rounding; distances carry the rounding of doubles
+        slack = 1e-8 + 1e-12 * size * size
+        low = np.maximum(0.0, d - self.radius[None, :] - 1e-7 * size)
+        # rows of another cell lie beyond the plane half-way between its pivot and the query's own one
+        apart = self.apart[home]
+        beyond = (d * d - (d[np.arange(len(home)), home] ** 2)[:, None]) / (2 * np.maximum(apart, 1e-300))
+        low = np.where(apart > 1e-3 * size, np.maximum(low, beyond - 1e-6 * size), low)
+        may = (low * low <= np.maximum(farthest, 0)[:, None] + slack) | np.isnan(farthest)[:, None]
+        may &= self.rows[None, :] > 0
+        may[np.arange(len(home)), home] = False
+        return [np.flatnonzero(r) for r in may]
+
+
+def _pivoted(corpus: DataFrame, queries: DataFrame, k: int, metric: str, schema: str, cells: int | None = None) -> DataFrame:
+    """Many queries: every row belongs to the cell of its nearest pivot, a query first meets the cell it lies in, and then
+    those cells only that the triangle inequality does not rule out for its k-th score.
+
+    A corpus row goes to one tile per QUERIES_A_TILE queries of its cell, twice at most for fewer queries, whatever their
+    number. Vectors without a score (null, or of no length) meet nothing; they fill up places that no other row takes.
+    """
+    norm = F.sqrt(F.aggregate(F.col("vec"), F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    sound = F.coalesce(norm < float("inf"), F.lit(False)) & (F.lit(True) if metric == "l2" else norm > 0)
+    known = corpus.filter(sound)
+    n = known.count()
+    undefined = lambda df: [r["id"] for r in df.select("id").orderBy("id").limit(k).collect()]
+    fill = lambda qs, ids: qs.select("query_id", F.explode(F.array(*[F.lit(i) for i in ids])).alias("id"), F.lit(float("nan")).alias("score"))
+    rest = queries.filter(~F.coalesce(sound, F.lit(False)))
+    kinds = {f.name: f.dataType for f in corpus.schema.fields}
+    typed = lambda df: df.select("query_id", F.col("id").cast(kinds["id"]).alias("id"), "score")
+    parts = []
+    if first := undefined(corpus):
+        parts.append(typed(fill(rest, first)))
+    if n < k and (more := undefined(corpus.filter(~F.coalesce(sound, F.lit(False))))):
+        parts.append(typed(fill(queries.filter(sound), more)))
+    if n:
+        cells = cells or max(1, min(MOST_CELLS, n // ROWS_A_CELL))
+        points = [r["vec"] for r in known.orderBy(F.xxhash64("id"), "id").limit(cells).select("vec").collect()]
+        pivots = _Pivots(points, metric)
+        dim = pivots.at.shape[1]
+
+        @F.pandas_udf("cell int, away double")
+        def nearest_pivot(vec: pd.Series) -> pd.DataFrame:
+            d = pivots.distances(pivots.placed(_stack(vec.to_list(), dim)))
+            cell = d.argmin(axis=1)
+            return pd.DataFrame({"cell": cell.astype(np.int32), "away": d[np.arange(len(d)), cell]})
+
+        placed = stable(known.select("id", "vec", nearest_pivot("vec").alias("p")).select("id", "vec", "p.cell", "p.away"))
+        for r in placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("away").alias("r")).collect():
+            pivots.rows[r["cell"]], pivots.radius[r["cell"]] = r["n"], r["r"]
+        asked = stable(queries.filter(sound).select("query_id", "vec", nearest_pivot("vec").alias("p")).select("query_id", "vec", F.col("p.cell").alias("cell")))
+        # a query whose own cell holds no row meets the others only
+        home = stable(_tiles(placed.drop("away"), asked, k, metric, schema, "cell", QUERIES_A_TILE))
+        own = home.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("best"))
+
+        @F.pandas_udf("array<int>")
+        def others(vec: pd.Series, best: pd.Series, cell: pd.Series) -> pd.Series:
+            return pd.Series(pivots.visited(vec.to_list(), best.to_numpy(np.float64), cell.to_numpy()))
+
+        bound = asked.join(own.withColumnRenamed("query_id", "__q"), F.col("query_id").eqNullSafe(F.col("__q")), "left")
+        visits = stable(bound.select("query_id", "vec", F.explode(others("vec", "best", "cell")).alias("cell")))
+        parts += [home, _tiles(placed.drop("away"), visits, k, metric, schema, "cell", QUERIES_A_TILE)]
+    out = queries.sparkSession.createDataFrame([], schema)
+    for part in parts:
+        out = out.unionByName(part)
+    return out
 
 
 def nearest(
@@ -133,7 +225,7 @@ def nearest(
     corpus, queries = corpus.select("id", "vec"), queries.select("query_id", "vec")
     schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, id {corpus.schema['id'].dataType.simpleString()}, score double"
     rows = queries.limit(max_carried + 1).collect()
-    local = _carried(corpus, rows, k, metric, schema) if len(rows) <= max_carried else _blocked(corpus, queries, k, metric, schema, None)
+    local = _carried(corpus, rows, k, metric, schema) if len(rows) <= max_carried else _pivoted(corpus, queries, k, metric, schema)
     return _merge(local, k, metric)
 
 
@@ -203,7 +295,7 @@ def nearest_approximate(
     c = corpus.select("id", "vec", F.explode(_signatures("vec", tables, bits, dim, seed)).alias("bucket"))
     q = queries.select("query_id", "vec", F.explode(_signatures("vec", tables, bits, dim, seed)).alias("bucket"))
     schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, id {corpus.schema['id'].dataType.simpleString()}, score double"
-    local = _blocked(c, q, k, "cosine", schema, "bucket")
+    local = _tiles(c, q, k, "cosine", schema, "bucket")
     found = stable(_merge(local.groupBy("query_id", "id").agg(F.max("score").alias("score")), k, "cosine"))
     full = found.groupBy("query_id").agg(F.count("*").alias("__n")).filter(F.col("__n") >= k).select("query_id")
     short = stable(queries.select("query_id", "vec").join(full, "query_id", "left_anti"))

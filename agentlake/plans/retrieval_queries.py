@@ -31,19 +31,27 @@ def vector_query(spark, sf):
     return out.select(F.col("query_id").cast("long").alias("query_id"), F.col("rank").cast("long").alias("rank"), "id", F.round("score", 6).alias("score"))
 
 
-@query(
-    "k4_top_k_per_query",
-    f"""WITH s AS (SELECT a.vec_id AS query_id, c.vec_id AS id, round({COSINE_SQL.format(a='c.embedding', b='a.embedding')}, 9) AS score
+TOP_SQL = f"""WITH s AS (SELECT a.vec_id AS query_id, c.vec_id AS id, round({COSINE_SQL.format(a='c.embedding', b='a.embedding')}, 9) AS score
       FROM embeddings c, embeddings a),
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM s)
-    SELECT query_id, rank, id FROM r WHERE rank <= 3""",
-)
+    SELECT query_id, rank, id FROM r WHERE rank <= 3"""
+
+
+@query("k4_top_k_per_query", TOP_SQL)
 def top_k(spark, sf):
     v = derive.vectors(spark, sf)
     out = nn.nearest(v, v.select(F.col("id").alias("query_id"), "vec"), 3)
     return out.select("query_id", F.col("rank").cast("long").alias("rank"), "id")
 
 
+@query("k4_top_k_many_queries", TOP_SQL)
+def top_k_many(spark, sf):
+    """As if there were more queries than can be carried: pivot cells."""
+    v = derive.vectors(spark, sf)
+    out = nn.nearest(v, v.select(F.col("id").alias("query_id"), "vec"), 3, max_carried=100)
+    return out.select("query_id", F.col("rank").cast("long").alias("rank"), "id")
+
+
 @query(
     "v4_nearest_l2",
     f"""WITH {FIRST_OF_LABEL_SQL}, s AS (SELECT query_id, vec_id AS id,

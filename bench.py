@@ -20,7 +20,7 @@ HEADLINE = (
     "j4_as_of_stock", "w1_running_stock", "w1_running_cash", "x1_quote_lines", "x2_ledger_writes", "a6_overall_status",
     "p5_j1_search_quotes", "w2_recent_history", "w5_first_come_capacity", "w8_task_order_deterministic", "w13_supply_grants",
     "j10_recipe_sufficiency", "x3_allocate", "x3_allocate_contested", "p12_masked_claims", "v7_similar_claims", "v13_fraud_rules", "v5_tfidf_search",
-    "v14_fraud_assessment", "v4_vector_query", "k4_top_k_per_query", "v9_rag_context", "v10_memory_search", "w4_recent_context",
+    "v14_fraud_assessment", "v4_vector_query", "k4_top_k_per_query", "k4_top_k_many_queries", "v9_rag_context", "v10_memory_search", "w4_recent_context",
     "v1_chunk_documents", "v3_embed_documents", "m1_complete", "m2_parse_structured", "e2_single_step", "e3_trajectory",
     "j8_a15_interest_hits", "w11_step_transitions", "t1_streaming_stock", "t2_streaming_sessions",
 )

@@ -45,4 +45,4 @@ def test_halves_and_limits(spark):
     big = (1 << 62) + 5
     lines = [(0, 1, 0, big), (0, 2, 0, 3), (0, 3, 0, big - 4), (0, 4, 0, 1), (0, 5, 0, 1), (0, 6, 1, 0), (0, 7, 2, 1)]
     check(spark, lines, {(0, 0): big, (0, 1): 0}, most=7, hot_lines=1)
-    check(spark, lines, {(0, 0): (1 << 63) - 1}, most=7, hot_lines=1)
+    check(spark, lines, {(0, 0): (1 << 63) - 1, (0, 1): 0}, most=7, hot_lines=1)
