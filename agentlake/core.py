@@ -42,11 +42,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Only where that is unset *and* the master is local (tests) a temporary folder is taken.
     """
+    known = _LOCAL_DIRS.get(spark.sparkContext.applicationId)
+    if known:
+        return known
     conf = spark.sparkContext.getConf()
     path = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
     if path:
@@ -56,9 +62,8 @@ def shared_dir(spark: SparkSession) -> str:
         return known.rsplit("/", 1)[0]
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    path = tempfile.mkdtemp(prefix="agentlake-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    # the running session does not take the key any more, so the folder is remembered here
+    return _LOCAL_DIRS.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="agentlake-ckpt-"))
 
 
 def stable(df: DataFrame) -> DataFrame:

@@ -49,13 +49,14 @@ def single_step_scores(runs: DataFrame, messages: DataFrame) -> DataFrame:
 def tools_used(messages: DataFrame) -> DataFrame:
     """Number of tool calls, distinct tool names and whether there is an answer, per run."""
     ai = F.col("role") == "assistant"
+    # names are taken apart in their row, so a run's set holds each tool once, however many calls there are
     rows = messages.select(
-        "run_id", ai.alias("ai"), (ai & (F.length(F.coalesce("content", F.lit(""))) > 0)).alias("answer"),
-        F.when(ai, F.transform("tool_calls", lambda c: c["name"])).alias("names"),
+        "run_id", (ai & (F.length(F.coalesce("content", F.lit(""))) > 0)).alias("answer"),
+        F.posexplode_outer(F.when(ai, F.transform("tool_calls", lambda c: c["name"]))).alias("call", "name"),
     )
     return rows.groupBy("run_id").agg(
-        F.coalesce(F.sum(F.greatest(F.size("names"), F.lit(0))), F.lit(0)).alias("n_calls"),
-        F.array_distinct(F.flatten(F.collect_set("names"))).alias("used"),
+        F.count("call").alias("n_calls"),
+        F.collect_set("name").alias("used"),
         F.coalesce(F.bool_or("answer"), F.lit(False)).alias("has_answer"),
     )
 

@@ -135,31 +135,49 @@ def chain(df: DataFrame, stages: Sequence[tuple[str, Callable[[], Column], Model
     return df
 
 
+def _levels(needs: Mapping[str, Sequence[str]]) -> list[list[str]]:
+    """The routes of ``needs`` in the order of their levels: each level needs earlier ones and routes without needs only."""
+    out, left = [], dict(needs)
+    while left:
+        ready = sorted(r for r, wanted in left.items() if not any(w in left for w in wanted))
+        if not ready:
+            raise ValueError(f"routes need each other in a circle: {sorted(left)}")
+        out.append(ready)
+        for r in ready:
+            del left[r]
+    return out
+
+
 def run_steps(
     plans: DataFrame, id_col: str, plan: str, embed: Column, routes: DataFrame, model: Model,
     needs: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Plan text to steps (its lines), each routed to the most similar route and answered; answers in order per plan.
 
-    ``embed`` is the vector column of ``step``. A route listed in ``needs`` is asked last and its prompt carries the
-    answers of the routes it needs.
+    ``embed`` is the vector column of ``step``. A route listed in ``needs`` is asked when all routes it needs have answered,
+    and its prompt carries their answers in the order of the steps. Routes are asked level by level, as many levels as the
+    longest chain of needs has routes; a chain that returns to itself is refused.
     """
+    needs = {r: list(w) for r, w in (needs or {}).items()}
+    levels = _levels(needs)
     steps = plans.select(id_col, F.posexplode(lines_of(F.col(plan))).alias("step_no", "step"))
     sent = route(steps.withColumn("vec", embed), routes).drop("vec", "score")
-    needs = dict(needs or {})
-    first = complete(sent.filter(~F.col("route").isin(list(needs))), F.concat_ws(": ", "route", "step"), model)
     if needs:
-        first = stable(first)
-        out = first
-        for name, wanted in needs.items():
-            given = first.filter(F.col("route").isin(list(wanted))).groupBy(id_col).agg(
-                F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("step_no", "answer"))), lambda x: F.coalesce(x["answer"], F.lit(""))), "\n").alias("given")
-            )
-            mine = sent.filter(F.col("route") == name).join(given, id_col, "left")
-            prompt = F.concat_ws("\n", F.concat_ws(": ", "route", "step"), F.col("given"))
-            out = out.unionByName(complete(mine, prompt, model).drop("given"))
-        first = out
-    return first.groupBy(id_col).agg(
+        sent = stable(sent)  # embedded and routed once, whatever the number of levels
+    own = F.concat_ws(": ", "route", "step")
+    done = complete(sent.filter(F.col("route").isNull() | ~F.col("route").isin(list(needs))), own, model)
+    for level in levels:
+        done = stable(done)
+        asked_by = {w: [r for r in level if w in needs[r]] for r in level for w in needs[r]}
+        mine = sent.filter(F.col("route").isin(level)).withColumn("given", F.lit(None).cast("string"))
+        if asked_by:
+            asking = F.create_map(*[x for w, by in asked_by.items() for x in (F.lit(w), F.array(*map(F.lit, by)))])
+            texts = F.transform(F.array_sort(F.collect_list(F.struct("step_no", "answer"))), lambda x: F.coalesce(x["answer"], F.lit("")))
+            given = done.select(id_col, "step_no", "answer", F.explode(asking[F.col("route")]).alias("route"))
+            given = given.groupBy(id_col, "route").agg(F.array_join(texts, "\n").alias("given"))
+            mine = mine.drop("given").join(given, [id_col, "route"], "left").select(*sent.columns, "given")
+        done = done.unionByName(complete(mine, F.concat_ws("\n", own, F.col("given")), model).drop("given"))
+    return done.groupBy(id_col).agg(
         F.count("*").alias("n_steps"),
         F.transform(F.array_sort(F.collect_list(F.struct("step_no", "route", "answer"))), lambda x: F.struct(x["route"].alias("route"), x["answer"].alias("answer"))).alias("steps"),
     )

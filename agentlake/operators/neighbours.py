@@ -229,6 +229,12 @@ def nearest(
     return _merge(local, k, metric)
 
 
+def nearest_in_group(corpus: DataFrame, queries: DataFrame, group: str, k: int = 3, metric: str = "cosine") -> DataFrame:
+    """Top ``k`` rows per query among the corpus rows of its group. ``corpus``: id, vec, group; ``queries``: query_id, vec, group."""
+    schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, id {corpus.schema['id'].dataType.simpleString()}, score double"
+    return _merge(_tiles(corpus.select("id", "vec", group), queries.select("query_id", "vec", group), k, metric, schema, group), k, metric)
+
+
 def vector_query(
     corpus: DataFrame, queries: DataFrame, k: int = 3, where: Mapping | None = None,
     where_document: Mapping | None = None, metric: str = "cosine", text: str = "text",

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agentlake.functions.text import template, truncate
-from agentlake.operators.neighbours import nearest, route
+from agentlake.core import stable
+from agentlake.operators.neighbours import nearest, nearest_in_group, route
 
 PROMPT = "Answer from the context.\n\nContext:\n{context}\n\nQuestion: {question}\n\nAnswer:"
 
@@ -40,14 +41,17 @@ def search_collections(collections: Mapping[str, DataFrame], queries: DataFrame,
 
 
 def search_routed(collections: Mapping[str, DataFrame], routes: DataFrame, queries: DataFrame, k: int = 3) -> DataFrame:
-    """Each query goes to the collection whose route vector is most similar. ``routes``: route (collection name), vec."""
-    sent = route(queries.withColumnRenamed("query_id", "id"), routes).withColumnRenamed("id", "query_id")
-    out = None
+    """Each query goes to the collection whose route vector is most similar. ``routes``: route (collection name), vec.
+
+    Queries are routed once; all collections are searched by one join on the route.
+    """
+    sent = stable(route(queries.select("query_id", "vec"), routes).select("query_id", "vec", F.col("route").alias("source")))
+    rows = None
     for name, corpus in collections.items():
-        mine = sent.filter(F.col("route") == name).select("query_id", "vec")
-        part = nearest(corpus, mine, k).withColumn("source", F.lit(name))
-        out = part if out is None else out.unionByName(part)
-    return out
+        part = corpus.select("id", "vec", F.lit(name).alias("source"))
+        rows = part if rows is None else rows.unionByName(part)
+    hits = nearest_in_group(rows, sent, "source", k)
+    return hits.join(sent.select("query_id", "source"), "query_id").select(*hits.columns, "source")
 
 
 def choose_context(

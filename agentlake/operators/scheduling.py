@@ -192,4 +192,5 @@ def stock_after_updates(stock: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 def rejected_updates(stock: DataFrame, updates: DataFrame) -> DataFrame:
+    """Updates of items that the stock does not have, a null item among them; they change nothing."""
     return updates.join(stock, "item", "left_anti")

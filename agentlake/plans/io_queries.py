@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 
 from pyspark.sql import functions as F
 
@@ -11,6 +10,7 @@ from agentlake.operators import allocation
 from agentlake.operators.scans import paged_lists
 from agentlake.plans import derive, fulfil_queries
 from agentlake.plans.derive import LEDGER_SQL
+from agentlake.streaming.balances import Balances
 from agentlake.plans.registry import ORACLE, query
 from agentlake.sources import files
 from agentlake.sources.collections import Collections
@@ -53,11 +53,6 @@ def embeddings_jsonl(spark, sf):
     return back.select("vec_id", F.size("embedding").cast("long").alias("dim"), at(0).alias("first"), at(63).alias("last"))
 
 
-def paragraphs(html: str) -> list[str]:
-    """Texts of the paragraphs of a page, tags removed."""
-    return [re.sub(r"<[^>]*>", "", p) for p in re.findall(r"(?s)<p>(.*?)</p>", html or "")]
-
-
 @query(
     "s5_page_documents",
     r"""WITH p AS (SELECT page_id, regexp_extract_all(html, '(?s)<p>(.*?)</p>', 1) AS ps FROM pages),
@@ -65,7 +60,7 @@ def paragraphs(html: str) -> list[str]:
     SELECT page_id, page, regexp_replace(t, '<[^>]*>', '', 'g') AS text FROM x WHERE trim(regexp_replace(regexp_replace(t, '<[^>]*>', '', 'g'), '\s+', '', 'g')) <> ''""",
 )
 def page_documents(spark, sf):
-    return files.extract_pages(table(spark, sf, "pages"), "page_id", "html", paragraphs)
+    return files.split_pages(table(spark, sf, "pages"), "page_id", "html", r"(?s)<p>(.*?)</p>", r"<[^>]*>")
 
 
 @query(
@@ -199,6 +194,42 @@ def streaming_cash(spark, sf):
     return now.agg(F.sum("cash").cast("double").alias("cash_balance"))
 
 
+@query(
+    "t1_streaming_balances",
+    f"""WITH {LEDGER_SQL} SELECT item, txn_type, CAST(sum(units) AS BIGINT) AS units, CAST(sum(price) AS DOUBLE) AS price FROM ledger GROUP BY 1, 2""",
+)
+def streaming_balances(spark, sf):
+    """Many small batches, with snapshots in between."""
+    source, path = files.scratch_path(spark, "arrivals"), files.scratch_path(spark, "balances")
+    rows = _ledger_rows(table(spark, sf, "lineitem"))
+    rows.repartition(12, "txn_id").write.parquet(source)
+    state = Balances(spark, path, rows.schema, ["item", "txn_type"], ["units", "price"], every=3)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    jobs.run_balances(stream, state, f"{path}-state")
+    return state.now().select("item", "txn_type", "units", F.col("price").cast("double").alias("price"))
+
+
+@query(
+    "t1_streaming_dedup",
+    """WITH e AS (SELECT event_id, ts, epoch_us(ts) AS at, min(epoch_us(ts)) OVER () AS lo, max(epoch_us(ts)) OVER () AS hi FROM events)
+    SELECT event_id, ts, (SELECT count(*) FROM e WHERE at < lo + (hi - lo) // 4 - (hi - lo) // 32) AS late FROM e""",
+)
+def streaming_dedup(spark, sf):
+    """Deliveries in three files: half of the time; the rest up to three quarters and some of the first again; the last quarter
+    and, after the watermark that the second file began with, nearly the first quarter again."""
+    events = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    at = F.unix_micros("ts")
+    lo, hi = events.agg(F.min(at), F.max(at)).first()
+    quarter = (hi - lo) // 4
+    source, path = files.scratch_path(spark, "deliveries"), files.scratch_path(spark, "distinct")
+    first, again = at < lo + 2 * quarter, at >= lo + 2 * quarter - quarter // 4
+    for part in (events.filter(first), events.filter(again & (at < lo + 3 * quarter)), events.filter((at >= lo + 3 * quarter) | (at < lo + quarter - (hi - lo) // 32))):
+        part.coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    q = jobs.run_available(jobs.distinct_events(stream, "event_id", "ts", f"{quarter // 1_000_000} seconds"), path, f"{path}-state", "append")
+    return spark.read.parquet(path).select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), F.lit(jobs.late_rows(q)).cast("long").alias("late"))
+
+
 @query(
     "t2_streaming_sessions",
     """WITH r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS rn, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations)
@@ -223,11 +254,9 @@ def streaming_requests(spark, sf):
     )
     path = files.scratch_path(spark, "requests")
     opening = derive.ledger(spark, sf).select("item", "txn_type", "units", "price", "txn_date")
-    schema = "item long, txn_type string, units long, price decimal(18,2), txn_date date"
-    work = jobs.request_handler(
-        derive.request_lines(spark, sf), derive.catalog(spark, sf), derive.inventory(spark, sf), jobs.ledger_before(opening, path, schema)
-    )
-    jobs.run_available(requests, path, f"{path}-state", "append", work)
+    state = jobs.ledger_state(opening, f"{path}-ledger")
+    work = jobs.request_handler(derive.request_lines(spark, sf), derive.catalog(spark, sf), derive.inventory(spark, sf), state.before)
+    jobs.run_available(requests, path, f"{path}-state", "append", work, state)
     return spark.read.parquet(path).select(
         "request_id", "line_no", "item", F.col("ship_date").cast("string").alias("ship_date"), F.col("step").cast("long").alias("step"),
         "txn_type", "units", F.col("price").cast("double").alias("price"), F.col("txn_date").cast("string").alias("txn_date"),

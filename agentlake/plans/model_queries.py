@@ -126,6 +126,36 @@ def plan_route_collect(spark, sf):
     return out.select("doc_id", "n_steps", F.sha2(F.to_json("steps"), 256).alias("steps_hash"))
 
 
+_LINES = ("'look A' || doc_id", "'look B' || coalesce(source, '')", "'price ' || coalesce(n_chars, 0)", "'compare ' || coalesce(lang, '')", "'report ' || doc_id")
+
+
+@query(
+    "m6_dependent_routes",
+    f"""WITH d AS (SELECT doc_id, doc_id % 2 = 0 AS up, {", ".join(f"{line} AS l{i}" for i, line in enumerate(_LINES))} FROM documents),
+    a AS (SELECT *, {SHORT.format(p="('look: ' || l0)")} AS a0, {SHORT.format(p="('look: ' || l1)")} AS a1 FROM d),
+    b AS (SELECT *, CASE WHEN up THEN a0 || chr(10) || a1 ELSE a1 || chr(10) || a0 END AS looked FROM a),
+    c AS (SELECT *, {SHORT.format(p="('price: ' || l2 || chr(10) || looked)")} AS a2 FROM b),
+    e AS (SELECT *, {SHORT.format(p="('compare: ' || l3 || chr(10) || a2)")} AS a3 FROM c),
+    f AS (SELECT *, CASE WHEN up THEN looked || chr(10) || a3 ELSE a3 || chr(10) || looked END AS given FROM e),
+    g AS (SELECT *, {SHORT.format(p="('report: ' || l4 || chr(10) || given)")} AS a4 FROM f)
+    SELECT doc_id, CAST(5 AS BIGINT) AS n_steps,
+      array_to_string(CASE WHEN up THEN ['look=' || a0, 'look=' || a1, 'price=' || a2, 'compare=' || a3, 'report=' || a4]
+                           ELSE ['report=' || a4, 'compare=' || a3, 'price=' || a2, 'look=' || a1, 'look=' || a0] END, ' | ') AS answers FROM g""",
+)
+def dependent_routes(spark, sf):
+    """Plans of five steps over four routes; prices need what was looked up, comparisons the prices, reports both."""
+    names = ["look", "price", "compare", "report"]
+    lines = [F.expr(x) for x in _LINES]
+    plans = table(spark, sf, "documents").select(
+        "doc_id", F.when(F.col("doc_id") % 2 == 0, F.concat_ws("\n", *lines)).otherwise(F.concat_ws("\n", *lines[::-1])).alias("plan")
+    )
+    embed = F.array(*[F.startswith("step", F.lit(n)).cast("double") for n in names])
+    routes = spark.createDataFrame([(n, [float(n == m) for m in names]) for n in names], "route string, vec array<double>")
+    out = op.run_steps(plans, "doc_id", "plan", embed, routes, short, {"report": ["compare", "look"], "price": ["look"], "compare": ["price"]})
+    shown = F.array_join(F.transform("steps", lambda x: F.concat_ws("=", x["route"], x["answer"])), " | ")
+    return out.select("doc_id", "n_steps", shown.alias("answers"))
+
+
 def word_count(text: str, least: int = 0) -> int:
     """Number of words, at least ``least``."""
     return max(len(text.split()), least)

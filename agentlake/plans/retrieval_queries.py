@@ -172,6 +172,25 @@ def multi_collection(spark, sf):
     return out.select("source", F.col("query_id").cast("long").alias("query_id"), F.col("rank").cast("long").alias("rank"), "id")
 
 
+@query(
+    "v15_routed_collections",
+    f"""WITH routes AS (SELECT CASE label WHEN 1 THEN 'low' ELSE 'high' END AS route, arg_min(embedding, vec_id) AS vec FROM embeddings WHERE label IN (1, 7) GROUP BY label),
+    p AS (SELECT a.vec_id AS query_id, route, round({COSINE_SQL.format(a='a.embedding', b='routes.vec')}, 9) AS score FROM embeddings a, routes),
+    sent AS (SELECT query_id, route FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, route) AS rn FROM p) WHERE rn = 1),
+    s AS (SELECT sent.query_id, route AS source, c.vec_id AS id, round({COSINE_SQL.format(a='c.embedding', b='a.embedding')}, 9) AS score
+      FROM sent JOIN embeddings a ON a.vec_id = query_id JOIN embeddings c ON (CASE WHEN c.label < 5 THEN 'low' WHEN c.label >= 5 THEN 'high' END) = route),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM s)
+    SELECT query_id, rank, id, source FROM r WHERE rank <= 3""",
+)
+def routed_collections(spark, sf):
+    v = derive.vectors(spark, sf)
+    first = v.filter("label IN (1, 7)").groupBy("label").agg(F.min_by("vec", "id").alias("vec"))
+    routes = first.select(F.when(F.col("label") == 1, "low").otherwise("high").alias("route"), "vec")
+    parts = {"low": v.filter("label < 5"), "high": v.filter("label >= 5")}
+    out = rag.search_routed(parts, routes, v.select(F.col("id").alias("query_id"), "vec"), 3)
+    return out.select("query_id", F.col("rank").cast("long").alias("rank"), "id", "source")
+
+
 @query(
     "m7_context_waterfall",
     """WITH m AS (SELECT doc_id % 97 AS topic, min(doc_id) AS hit FROM documents WHERE n_chars > 3000 GROUP BY 1)

@@ -287,18 +287,12 @@ def referential(spark, sf):
     return no_item.unionByName(no_order).select("txn_id", "item", "day")
 
 
-@query(
-    "x5_stock_updates",
-    f"""WITH {LEDGER_SQL},
-    s AS (SELECT l_partkey AS item, CAST(sum(l_quantity) AS BIGINT) AS amount FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1),
+UPDATES_SQL = """s AS (SELECT l_partkey AS item, CAST(sum(l_quantity) AS BIGINT) AS amount FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1),
     u AS (SELECT event_id % 3000 AS item, event_id AS seq, CASE WHEN event_type = 'click' THEN 'set' ELSE 'add' END AS kind,
-                 CAST(floor(value) AS BIGINT) AS amount FROM events),
-    st AS (SELECT item, max(seq) AS ls, arg_max(amount, seq) AS base FROM u WHERE kind = 'set' GROUP BY 1),
-    ad AS (SELECT u.item, sum(u.amount) AS delta FROM u LEFT JOIN st USING (item) WHERE kind = 'add' AND (ls IS NULL OR u.seq > ls) GROUP BY 1)
-    SELECT item, amount AS old_amount, CAST(coalesce(base, amount) + coalesce(delta, 0) AS BIGINT) AS new_amount
-    FROM s LEFT JOIN st USING (item) LEFT JOIN ad USING (item)""",
-)
-def stock_updates(spark, sf):
+                 CAST(floor(value) AS BIGINT) AS amount FROM events)"""
+
+
+def _stock_and_updates(spark, sf):
     stock = table(spark, sf, "lineitem").filter(F.col("l_returnflag") != "R").groupBy(F.col("l_partkey").alias("item")).agg(
         F.sum("l_quantity").cast("long").alias("amount")
     )
@@ -306,7 +300,24 @@ def stock_updates(spark, sf):
         (F.col("event_id") % 3000).alias("item"), F.col("event_id").alias("seq"),
         F.when(F.col("event_type") == "click", "set").otherwise("add").alias("kind"), F.floor("value").alias("amount"),
     )
-    return op.stock_after_updates(stock, upd)
+    return stock, upd
+
+
+@query(
+    "x5_stock_updates",
+    f"""WITH {UPDATES_SQL},
+    st AS (SELECT item, max(seq) AS ls, arg_max(amount, seq) AS base FROM u WHERE kind = 'set' GROUP BY 1),
+    ad AS (SELECT u.item, sum(u.amount) AS delta FROM u LEFT JOIN st USING (item) WHERE kind = 'add' AND (ls IS NULL OR u.seq > ls) GROUP BY 1)
+    SELECT item, amount AS old_amount, CAST(coalesce(base, amount) + coalesce(delta, 0) AS BIGINT) AS new_amount
+    FROM s LEFT JOIN st USING (item) LEFT JOIN ad USING (item)""",
+)
+def stock_updates(spark, sf):
+    return op.stock_after_updates(*_stock_and_updates(spark, sf))
+
+
+@query("x5_rejected_updates", f"WITH {UPDATES_SQL} SELECT item, seq, kind, amount FROM u WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.item = u.item)")
+def rejected_updates(spark, sf):
+    return op.rejected_updates(*_stock_and_updates(spark, sf)).select("item", "seq", "kind", "amount")
 
 
 @query(

@@ -69,6 +69,17 @@ def extract_pages(df: DataFrame, key: str, content: str, extractor: Callable[[ob
     return df.select(key, content).mapInPandas(run, f"{key} {kind}, page long, text string")
 
 
+def split_pages(df: DataFrame, key: str, content: str, pattern: str, drop: str = "") -> DataFrame:
+    """One row per non-empty page, as ``extract_pages``, where a pattern tells the pages: its first group is a page's text.
+
+    What matches ``drop`` is taken out of a page. Column functions only.
+    """
+    found = df.select(key, F.posexplode(F.regexp_extract_all(F.col(content), F.lit(pattern), F.lit(1))).alias("__at", "__page"))
+    text = F.regexp_replace("__page", drop, "") if drop else F.col("__page")
+    out = found.select(key, (F.col("__at") + 1).cast("long").alias("page"), text.alias("text"))
+    return out.filter(F.regexp_replace("text", r"\s+", "") != "")
+
+
 def read_page_documents(spark: SparkSession, path: str, extractor: Callable[[bytes], Iterable[str]]) -> DataFrame:
     """Multi-page files to one document per non-empty page, keyed by (path, page)."""
     return extract_pages(spark.read.format("binaryFile").load(path), "path", "content", extractor)

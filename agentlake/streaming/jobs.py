@@ -14,33 +14,48 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from agentlake.operators import fulfil
 from agentlake.operators.ledger import signed_cash, signed_units
+from agentlake.streaming.balances import Balances
 
 
-def write_by_batch(path: str, work: Callable[[DataFrame, int], DataFrame] | None = None):
-    """A foreachBatch function: the (worked) rows of batch n replace the folder ``path/batch_id=n``."""
+def write_by_batch(path: str, work: Callable[[DataFrame, int], DataFrame] | None = None, state: Balances | None = None):
+    """A foreachBatch function: the (worked) rows of batch n replace the folder ``path/batch_id=n``, and are added to ``state``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         out = work(batch, batch_id) if work else batch
-        out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        folder = f"{path}/batch_id={batch_id}"
+        out.write.mode("overwrite").parquet(folder)
+        if state is not None:
+            state.add(batch_id, batch.sparkSession.read.schema(out.schema).parquet(folder))
 
     return write
 
 
-def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str, work=None):
-    """Run a stream over all data there is, then stop."""
-    q = (
-        stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).foreachBatch(write_by_batch(path, work)).start()
-    )
+def _run(stream: DataFrame, checkpoint: str, mode: str, each):
+    q = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(each).start()
     q.awaitTermination()
     return q
 
 
+def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str, work=None, state: Balances | None = None):
+    """Run a stream over all data there is, then stop."""
+    return _run(stream, checkpoint, mode, write_by_batch(path, work, state))
+
+
+def run_balances(stream: DataFrame, state: Balances, checkpoint: str):
+    """Keep ``state`` current with a stream: a batch writes its own sums only, and no state store is needed."""
+    return _run(stream, checkpoint, "append", lambda batch, batch_id: state.add(batch_id, batch))
+
+
 def distinct_events(stream: DataFrame, id_col: str, event_time: str, delay: str) -> DataFrame:
-    """Drop repeated deliveries of an id within the watermark."""
+    """Drop repeated deliveries of an id within the watermark, and rows that come later than the watermark allows."""
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([id_col])
 
 
+def late_rows(q) -> int:
+    """Rows that a finished stream dropped because they came after the watermark had passed them."""
+    return sum(int(s["numRowsDroppedByWatermark"]) for p in q.recentProgress for s in p["stateOperators"])
+
+
 def stock_stream(ledger: DataFrame) -> DataFrame:
     """Current stock per item; run in update mode, a batch emits the items it changed."""
     return ledger.filter(F.col("item").isNotNull()).groupBy("item").agg(F.sum(signed_units()).alias("stock"), F.count("*").alias("version"))
@@ -100,8 +115,15 @@ def request_handler(lines: DataFrame, catalog: DataFrame, inventory: DataFrame,
     return work
 
 
+def ledger_state(opening: DataFrame, path: str, every: int = 16) -> Balances:
+    """The ledger as sums per item, kind and day: all that stock and cash as of a day need, and no longer than those."""
+    state = Balances(opening.sparkSession, path, opening.schema, ["item", "txn_type", "txn_date"], ["units", "price"], every)
+    state.open_with(opening)
+    return state
+
+
 def ledger_before(opening: DataFrame, path: str, schema) -> Callable[[int], DataFrame]:
-    """Opening ledger plus the rows written by batches before the given one."""
+    """Opening ledger plus the rows written by batches before the given one; for few batches, ``ledger_state`` for many."""
     spark = opening.sparkSession
 
     def at(batch_id: int) -> DataFrame:
