@@ -11,7 +11,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from agentlake.core import spread, stable
@@ -108,25 +108,49 @@ def _carried(docs: DataFrame, asked: list, threshold: float, strict: bool, schem
     return docs.mapInArrow(score, schema)
 
 
+def candidates(docs: DataFrame, asked: DataFrame, threshold: float) -> DataFrame:
+    """(query_id, id): the pairs that may reach the threshold, by a prefix filter. ``asked``: query_id, term, w.
+
+    A query's words are ordered by how many documents have them. Its most frequent words, as long as together they cannot
+    reach the threshold in any document (their weights times the largest weights there are, or their length, as vectors of
+    documents have length one), make no pair by themselves: only the rarer ones are looked up. What these add up to, and
+    what the others can add at most, must reach the threshold too.
+    """
+    least = threshold - 2 * 10.0**-DIGITS
+    flat = docs.select("id", F.explode("ws").alias("x")).select("id", F.col("x.term").alias("term"), F.col("x.w").alias("dw"))
+    tops = flat.groupBy("term").agg(F.count("*").alias("n"), F.max("dw").alias("top"))
+    common = Window.partitionBy("query_id").orderBy(F.desc("n"), "term").rowsBetween(Window.unboundedPreceding, 0)
+    reach = F.least(F.sum(F.col("w") * F.col("top")).over(common), F.sqrt(F.sum(F.col("w") * F.col("w")).over(common)))
+    placed = asked.join(tops, "term").withColumn("reach", reach)
+    left_out = F.max(F.when(F.col("reach") < least, F.col("reach"))).over(Window.partitionBy("query_id"))
+    rare = placed.withColumn("more", F.coalesce(left_out, F.lit(0.0))).filter(F.col("reach") >= least).select("query_id", "term", "w", "more")
+    sums = flat.join(rare, "term").groupBy("query_id", "id").agg(F.sum(F.col("dw") * F.col("w")).alias("s"), F.first("more").alias("more"))
+    return sums.filter(F.col("s") + F.col("more") >= least).select("query_id", "id")
+
+
 def match(docs: DataFrame, queries: DataFrame, threshold: float, strict: bool = False, max_postings: int = MAX_POSTINGS) -> DataFrame:
     """(query_id, id, score) at or above the threshold (above it when ``strict``). Both sides come from ``transform``.
 
     Query postings within the bounds, in rows and in bytes, are carried to the documents and only hits are emitted; beyond
-    them the two sides meet by an equi-join on the term and partial dot products are summed per pair.
+    them the pairs that may reach the threshold are found first, and the scores of those alone are added up.
     """
     asked = queries.select(F.col("id").alias("query_id"), F.explode("ws").alias("x")).select("query_id", "x.term", "x.w")
     kinds = [queries.schema["id"].dataType.simpleString(), docs.schema["id"].dataType.simpleString()]
     n, size = asked.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term") + 16), F.lit(0))).first()
     if n <= max_postings and size <= MAX_POSTING_BYTES:
         return _carried(docs, asked.collect(), threshold, strict, f"query_id {kinds[0]}, id {kinds[1]}, score double")
-    flat = docs.select("id", F.explode("ws").alias("x")).select("id", F.col("x.term").alias("term"), F.col("x.w").alias("dw"))
-    sums = flat.join(asked, "term").groupBy("query_id", "id").agg(F.bround(F.sum(F.col("dw") * F.col("w")), DIGITS).alias("score"))  # half to even, as in the tasks
+    docs, asked = stable(docs), stable(asked)
+    found = candidates(docs, asked, threshold).select(F.col("query_id").alias("__q"), F.col("id").alias("__d"))
+    words = asked.groupBy("query_id").agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("words"))
+    both = found.join(docs.select("id", "ws"), F.col("__d").eqNullSafe(F.col("id"))).join(words, F.col("__q").eqNullSafe(F.col("query_id")))
+    dot = F.aggregate("ws", F.lit(0.0), lambda s, x: s + x["w"] * F.coalesce(F.try_element_at("words", x["term"]), F.lit(0.0)))
+    sums = both.select("query_id", "id", F.bround(dot, DIGITS).alias("score"))  # half to even, as in the tasks
     return sums.filter((F.col("score") > threshold) if strict else (F.col("score") >= threshold) & (F.col("score") > 0))
 
 
 def search(
     docs: DataFrame, queries: DataFrame, threshold: float = 0.15, fit_on: str = "docs", strict: bool = False,
-    id_col: str = "id", text: str = "text", query_id: str = "query_id", query_text: str = "text",
+    id_col: str = "id", text: str = "text", query_id: str = "query_id", query_text: str = "text", max_postings: int = MAX_POSTINGS,
 ) -> DataFrame:
     """Fit on the documents (or on the queries), then match every query with every document above the threshold.
 
@@ -137,7 +161,7 @@ def search(
     idf = stable(fit(docs, id_col, text, counts) if fit_on == "docs" else fit(queries, query_id, query_text))
     asked = stable(transform(queries, query_id, query_text, idf))
     wanted = asked.select(F.explode("ws.term").alias("term")).distinct()
-    return match(transform(docs, id_col, text, idf, wanted, counts), asked, threshold, strict)
+    return match(transform(docs, id_col, text, idf, wanted, counts), asked, threshold, strict, max_postings)
 
 
 def boosted(

@@ -185,21 +185,28 @@ def tfidf_sql(docs: str, queries: str, fit: str) -> str:
              FROM dw JOIN qw USING (term) JOIN dn ON dn.id = dw.id JOIN qn ON qn.id = qw.id GROUP BY 1, 2)"""
 
 
-def kb_hits(spark, sf):
+def kb_hits(spark, sf, **kw):
     docs, asked = derive.text_claims(spark, sf), derive.patterns(spark, sf)
-    return tfidf.search(docs.select("id", "text"), asked.select("query_id", "text"), threshold=0.15)
+    return tfidf.search(docs.select("id", "text"), asked.select("query_id", "text"), threshold=0.15, **kw)
 
 
-@query(
-    "v5_tfidf_search",
-    f"""WITH {TEXT_CLAIMS_SQL}, {PATTERNS_SQL}, {tfidf_sql('text_claims', 'patterns', 'docs')}
-    SELECT query_id, id, score FROM sims JOIN text_claims USING (id) WHERE score >= 0.15 AND {allowed_sql("'agent'", 'privacy_level')}""",
-)
+SEARCH_SQL = f"""WITH {TEXT_CLAIMS_SQL}, {PATTERNS_SQL}, {tfidf_sql('text_claims', 'patterns', 'docs')}
+    SELECT query_id, id, score FROM sims JOIN text_claims USING (id) WHERE score >= 0.15 AND {allowed_sql("'agent'", 'privacy_level')}"""
+
+
+@query("v5_tfidf_search", SEARCH_SQL)
 def tfidf_search(spark, sf):
     levels = derive.text_claims(spark, sf).select("id", "privacy_level")
     return kb_hits(spark, sf).join(acc.readable(levels, "agent"), "id").select("query_id", "id", "score")
 
 
+@query("v5_tfidf_search_many", SEARCH_SQL)
+def tfidf_search_many(spark, sf):
+    """As if the patterns had more words than can be carried: prefix filter."""
+    levels = derive.text_claims(spark, sf).select("id", "privacy_level")
+    return kb_hits(spark, sf, max_postings=100).join(acc.readable(levels, "agent"), "id").select("query_id", "id", "score")
+
+
 @query(
     "v6_hybrid_claim_search",
     f"""WITH {TEXT_CLAIMS_SQL}, {PATTERNS_SQL}, {tfidf_sql('text_claims', 'patterns', 'docs')}

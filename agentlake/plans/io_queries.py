@@ -211,8 +211,8 @@ def streaming_balances(spark, sf):
 
 @query(
     "t1_streaming_dedup",
-    """WITH e AS (SELECT event_id, ts, epoch_us(ts) AS at, min(epoch_us(ts)) OVER () AS lo, max(epoch_us(ts)) OVER () AS hi FROM events)
-    SELECT event_id, ts, (SELECT count(*) FROM e WHERE at < lo + (hi - lo) // 4 - (hi - lo) // 32) AS late FROM e""",
+    """WITH e AS (SELECT event_id, ts, epoch_us(ts) AS us, min(epoch_us(ts)) OVER () AS lo, max(epoch_us(ts)) OVER () AS hi FROM events)
+    SELECT event_id, ts, (SELECT count(*) FROM e WHERE us < lo + (hi - lo) // 4 - (hi - lo) // 32) AS late FROM e""",
 )
 def streaming_dedup(spark, sf):
     """Deliveries in three files: half of the time; the rest up to three quarters and some of the first again; the last quarter
