@@ -46,14 +46,22 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ARTICLE = frozenset(["article", "main"])
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar form".split())
-#: Parts of class names and ids that mark what is not the article; the second set only where no part marks content.
+#: Words that mark what is not the article, where a class name or id says nothing else; the second set only where no part of
+#: any marks content. An article element is put out by a class name that is one of ``OTHERS`` alone.
 MARKS = frozenset(
     """ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr notice notices popup
-    modal overlay newsletter subscribe signup comment comments commentlist disqus reply replies respond discussion share sharing
+    modal overlay newsletter subscribe signup comment comments commentlist disqus reply replies respond share sharing
     social related recommended recommendations breadcrumb breadcrumbs pagination pager paywall alert""".split()
 )
 LAYOUT = frozenset("nav navbar navigation menu sidebar side footer header masthead topbar toolbar widget widgets banner copyright legal login search".split())
 CONTENT = frozenset("content article main post entry story body text".split())
+OTHERS = frozenset("ad advert advertisement comment comments promo reply sponsored".split())
+#: Words beside a mark that leave it one: names of places, parts and looks.
+NEUTRAL = frozenset(
+    """area bar block body bottom box button buttons center col column container element field fixed form global group heading hidden holder
+    icon icons inner item items js left link links list main mobile module outer page pane panel primary region right row secondary
+    section site slot sticky text thread title top unit wrap wrapper zone""".split()
+)
 #: An end tag is implied for an open element by the start of one of these.
 CLOSES = {"p": BLOCKS - {"title"}, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]),
           "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"]), "head": frozenset(["body"])}
@@ -90,17 +98,21 @@ class _Blocks(HTMLParser):
             return True
         if tag in ("html", "body"):
             return False
-        parts: set[str] = set()
+        names: list[set[str]] = []
         for name, value in attrs:
             if name in ("class", "id"):
-                parts.update(x.lower() for x in _PART.findall(value or ""))
+                names += [{x.lower() for x in _PART.findall(token) if len(x) > 1} for token in (value or "").split()]
             elif name == "role" and (value or "").lower() in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
                 return True
             elif name == "style" and _HIDDEN.search(value or ""):
                 return True
-        if parts & MARKS:
+        # a name is a mark where all its words are marks or say no more than where or what an element is
+        content = any(parts & CONTENT for parts in names)
+        if tag in ARTICLE:
+            return tag != "main" and not content and any(len(parts) == 1 and parts <= OTHERS for parts in names)
+        if any(parts & MARKS and parts <= MARKS | LAYOUT | CONTENT | NEUTRAL for parts in names):
             return True
-        return tag not in ARTICLE and bool(parts & LAYOUT) and not parts & CONTENT and not (self.region and parts & {"header"})
+        return not content and any(parts & LAYOUT and parts <= LAYOUT | NEUTRAL and not (self.region and "header" in parts) for parts in names)
 
     def _pop(self, to: int):
         while len(self.stack) > to:
@@ -177,9 +189,15 @@ def _listed(blocks: list[list]) -> bool:
     return stop >= FEW * n
 
 
-def _decide(text: str, linked: int, region: int, listed: bool = True) -> bool | None:
-    """In, out, or open; ``listed`` says whether few stop words are evidence on this page."""
-    if _is_links(text, linked):
+def _decide(text: str, linked: int, heading: bool, region: int, listed: bool = True) -> bool | None:
+    """In, out, or open; ``listed`` says whether few stop words are evidence on this page.
+
+    Inside an article a sentence may hold a link of any length, and a heading may be one; what is links alone is out.
+    """
+    if region:
+        if not heading and linked >= len(text.replace(" ", "")):
+            return False
+    elif _is_links(text, linked):
         return False
     found = _WORD.findall(text.lower())
     if not found:
@@ -187,8 +205,10 @@ def _decide(text: str, linked: int, region: int, listed: bool = True) -> bool |
     density = sum(w in STOP_WORDS for w in found) / len(found)
     if len(text) >= SHORT and density >= MANY or len(text) >= (SHORT if region else LONG) and density >= FEW:
         return True
-    if len(text) >= LONG and density < FEW and not region:
-        return not listed or _other(found)
+    if len(text) >= LONG and density < FEW and not region and (not listed or _other(found)):
+        return True
+    if len(text) >= LONG and density < FEW / 2 and not region:
+        return False
     return None
 
 
@@ -201,11 +221,10 @@ def main_text(html: str) -> str:
     blocks = parser.blocks
     regions = any(region for *_, region in blocks)
     listed = regions or _listed(blocks)
-    label = [_decide(t, linked, region, listed) for t, linked, _, region in blocks]
+    label = [_decide(t, linked, heading, region, listed) for t, linked, heading, region in blocks]
     if not regions and not any(x is not None and not _is_links(t, linked) for x, (t, linked, *_) in zip(label, blocks)):
-        # no words decide anything: the open blocks are judged as one, and only a few words stay out
-        rest = [t for x, (t, *_) in zip(label, blocks) if x is None]
-        return "\n\n".join(rest) if sum(map(len, rest)) >= SHORT else ""
+        # no words decide anything: the open blocks are the text
+        return "\n\n".join(t for x, (t, *_) in zip(label, blocks) if x is None)
     # where there is an article element, what stands outside of all is not the article
     if regions:
         label = [x if region else False for x, (*_, region) in zip(label, blocks)]
