@@ -27,13 +27,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructType
 
-from agentlake.llm.rows import texts
+from agentlake.llm.rows import held, texts
 
 #: Words whose ids a worker remembers, in two generations: when the young one is full it becomes the old one.
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 #: Prefixes shorter than this keep their state; so many of them, and so many tested arcs, at most.
-KNOWN, PREFIXES, ARCS = 7, 150_000, 300_000
+KNOWN, PREFIXES, ARCS = 7, 100_000, 200_000
 
 
 def _byte_letters() -> list[str]:
@@ -247,17 +248,12 @@ class _Remembered(dict):
         self.clear()
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def _encoder(shared, path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(shared.value)
-    return _ENCODERS[path]
+    return held(path, lambda: Encoder(shared.value))
 
 
 class Codec:
-    """Column functions ``encode`` (text to ids as binary) and ``decode`` (ids to text).
+    """Column functions ``encode`` (text to ids as binary), ``decode`` (ids to text) and ``both`` (text to ids and decoded).
 
     The automaton is compiled once on the driver and sent to the tasks: its size is that of the vocabulary, whatever the
     data. Null texts give no ids, null ids give an empty text.
@@ -278,7 +274,15 @@ class Codec:
             for batch in batches:
                 yield pa.array([run.decode(t.as_py()) if t.is_valid else "" for t in batch], pa.string())
 
-        self._encode, self._decode = encode, decode
+        @F.arrow_udf(StructType().add("ids", BinaryType()).add("decoded", StringType()))
+        def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            run = _encoder(shared, path)
+            for batch in batches:
+                ids = [run(t.as_py()) if t.is_valid else b"" for t in batch]
+                yield pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(map(run.decode, ids), pa.string())], ["ids", "decoded"])
+
+        # both fields come from one evaluation
+        self._encode, self._decode, self._both = encode, decode, both.asNondeterministic()
 
     def encode(self, text: Column) -> Column:
         return self._encode(text)
@@ -286,6 +290,9 @@ class Codec:
     def decode(self, ids: Column) -> Column:
         return self._decode(ids)
 
+    def both(self, text: Column) -> Column:
+        return self._both(text)
+
 
 def encode_documents(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """``keep``, ``ids`` (binary, little-endian unsigned 32-bit) and ``n_tokens`` of every row; no shuffle.
@@ -301,5 +308,6 @@ def encode_documents(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_i
 def round_trip(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """``keep``, ``ids``, ``n_tokens`` and ``decoded``, the text that the ids give back."""
     codec = Codec(docs.sparkSession, path)
-    out = texts(docs, *keep, text=text).select(*keep, codec.encode(F.col("text")).alias("ids"))
-    return out.select(*keep, "ids", F.expr("cast(length(ids) div 4 as bigint)").alias("n_tokens"), codec.decode(F.col("ids")).alias("decoded"))
+    rows = texts(docs.select(F.struct(*keep).alias("row"), F.col(text).alias("text")), "row")
+    out = rows.select("row", codec.both(F.col("text")).alias("x")).select("row", "x.ids", "x.decoded")
+    return out.select("row.*", "ids", F.expr("cast(length(ids) div 4 as bigint)").alias("n_tokens"), "decoded")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
 from agentlake.core import fits, stable
-from agentlake.llm.rows import small_batches, texts
+from agentlake.llm.rows import held, small_batches, texts
 from agentlake.operators.scans import first_k
 
 #: Labelled documents per language that are learned from, at most; the ones with the smallest hashes of their ids.
@@ -34,8 +34,10 @@ ROUNDS, SMOOTHING = 2, 500.0
 #: Probability of a letter that is no piece; alike in all languages, so it tells nothing.
 UNKNOWN = 1e-8
 
-#: Words whose probabilities a worker remembers.
-REMEMBERED = 400_000
+#: Words whose probabilities a worker remembers, and their letters in all.
+REMEMBERED, LETTERS = 300_000, 4_000_000
+#: Letters of a run that are learned from at once; a longer run is learned from in consecutive parts.
+PART = 200
 #: Prefixes shorter than this keep their sums; so many of them at most.
 KNOWN, PREFIXES = 7, 100_000
 
@@ -111,7 +113,12 @@ class Model:
 
 def _expected(word: str, count: float, probability: dict[str, float], ends: set[str], into: dict[str, float]) -> None:
     """Adds the expected uses of each piece in a word of one language."""
-    s = "▁" + word[:200]  # a run of letters longer than any word adds nothing to what is learned
+    s = "▁" + word
+    for begin in range(0, len(s), PART):
+        _expected_part(s[begin : begin + PART], count, probability, ends, into)
+
+
+def _expected_part(s: str, count: float, probability: dict[str, float], ends: set[str], into: dict[str, float]) -> None:
     n = len(s)
     arcs: list[list[tuple[int, float | None]]] = []
     for j in range(1, n + 1):
@@ -209,8 +216,9 @@ class Scorer:
             return UNDETERMINED, 0.0
         total, letters = 0.0, False
         for begin in range(0, len(found), 50_000):
-            if len(self.known) > REMEMBERED - 50_000:
+            if len(self.known) > REMEMBERED - 50_000 or self.known.letters > LETTERS:
                 self.known.clear()
+                self.known.letters = 0
             some = found[begin : begin + 50_000]
             at = np.fromiter(map(self.known.__getitem__, some), dtype=np.int64, count=len(some))
             letters = letters or bool(at.any())
@@ -224,7 +232,7 @@ class Scorer:
 class _Rows(dict):
     def __init__(self, scorer: Scorer):
         super().__init__()
-        self.s = scorer
+        self.s, self.letters = scorer, 0
 
     def __missing__(self, word):
         if any(map(str.isalpha, word)):
@@ -233,12 +241,10 @@ class _Rows(dict):
         else:
             at = 0
         self[word] = at
+        self.letters += len(word)
         return at
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
 def predictor(spark, model: Model):
     """A column function from a text to ``struct(lang, score)``.
 
@@ -248,10 +254,7 @@ def predictor(spark, model: Model):
 
     @F.arrow_udf(StructType().add("lang", StringType()).add("score", DoubleType()))
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        if name not in _SCORERS:  # one model at a time, with the words its worker remembers
-            _SCORERS.clear()
-            _SCORERS[name] = Scorer(shared.value)
-        run = _SCORERS[name]
+        run = held(name, lambda: Scorer(shared.value))
         for batch in batches:
             out = [run(t.as_py()) for t in batch]
             yield pa.StructArray.from_arrays(
@@ -276,8 +279,13 @@ def identify(docs: DataFrame, path: str, *keep: str, key: str = "doc_id", text:
 
 
 def kept_languages(docs: DataFrame, path: str, least: float = 0.5, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """``docs`` without the rows whose language is undetermined or less than ``least`` likely; ``lang`` becomes the prediction."""
+    """``docs`` without the rows whose language is undetermined or less than ``least`` likely; ``lang`` becomes the prediction.
+
+    All columns come back, whatever their names; null ids and repeated rows keep their rows.
+    """
     model = train(docs.where(may_learn(key)), path, key, text, lang)
-    found = docs.withColumn("_r", predictor(docs.sparkSession, model)(F.col(text)))
-    found = found.where((F.col("_r.lang") != UNDETERMINED) & (F.col("_r.score") >= least))
-    return found.withColumn(lang, F.col("_r.lang")).select(*docs.columns)
+    # not deterministic to the planner, so that the filter stays above it and a text is scored once
+    predict = predictor(docs.sparkSession, model).asNondeterministic()
+    found = docs.select(F.struct(*docs.columns).alias("row"), predict(F.col(text)).alias("found"))
+    found = found.where((F.col("found.lang") != UNDETERMINED) & (F.col("found.score") >= least))
+    return found.select(*[F.col("found.lang").alias(c) if c == lang else F.col("row")[c].alias(c) for c in docs.columns])

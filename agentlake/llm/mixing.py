@@ -13,11 +13,12 @@ from __future__ import annotations
 import random
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from agentlake.core import fits, stable
+from agentlake.operators.scans import numbered
 
 #: Weights by the order of the sources, the total as a multiple of all sizes, the most a source or document is taken. Fixed.
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
@@ -168,7 +169,7 @@ def repeat(docs: DataFrame, doc_key: str = "doc_id", source: str = "source", tex
     """The mix itself: the rows of ``docs``, each as often as it is taken.
 
     The rows of one id, source and size are interchangeable for the balance; how often they are taken is dealt to them in
-    the order of their texts' hashes.
+    the order of their hashes. All columns come back, whatever their names.
     """
     taken = mix(docs, doc_key, source, text)
     times = taken.groupBy(
@@ -176,14 +177,20 @@ def repeat(docs: DataFrame, doc_key: str = "doc_id", source: str = "source", tex
     ).agg(F.sum("times").alias("_all"), F.count(F.lit(1)).alias("_rows"))
     size = F.coalesce(F.size(F.regexp_extract_all(F.col(text), F.lit(WORDS), F.lit(1))), F.lit(0))
     size = F.when(F.col(text).isNull(), 0).otherwise(size).cast("long")
-    both = docs.withColumn("_size", size).join(
-        times, F.col(doc_key).eqNullSafe(F.col("_k")) & F.col(source).eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_n"))
+    times = stable(times)
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"), F.col(doc_key).alias("key"), F.col(source).alias("source"), size.alias("size"),
+        F.xxhash64(*docs.columns).alias("_h"),
     )
+    same = F.col("key").eqNullSafe(F.col("_k")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_n"))
     # nearly every row is the only one of its kind and needs no number; the others are numbered within their kind
-    one = both.where("_rows = 1").withColumn("_times", F.col("_all"))
-    order = Window.partitionBy("_k", "_s", "_n").orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]))
-    many = both.where("_rows > 1").withColumn("_at", F.row_number().over(order) - 1)
-    share = F.floor(F.col("_all") / F.col("_rows"))
-    many = many.withColumn("_times", share + F.when(F.col("_at") < F.col("_all") - share * F.col("_rows"), 1).otherwise(0)).drop("_at")
-    out = one.unionByName(many).where("_times > 0")
-    return out.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))).alias("_copy")).drop("_copy")
+    out = rows.join(times.where("_rows = 1"), same).select("row", F.col("_all").alias("_times"))
+    several = times.where("_rows > 1")
+    if not several.isEmpty():
+        many = rows.join(several, same).select("row", "_k", "_s", "_n", "_h", "_all", "_rows")
+        many = numbered(many, ["_k", "_s", "_n"], ["_h"], F.shiftright("_h", 48), "_at")
+        share = F.floor(F.col("_all") / F.col("_rows"))
+        more = F.when(F.col("_at") <= F.col("_all") - share * F.col("_rows"), 1).otherwise(0)
+        out = out.unionByName(many.select("row", (share + more).alias("_times")))
+    out = out.where("_times > 0")
+    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))).alias("_copy")).select("row.*")

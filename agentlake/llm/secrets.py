@@ -98,6 +98,10 @@ def _parts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         )
 
 
+#: Not deterministic to the planner, so that a filter on the parts stays above them and a text is scanned once.
+_parts = _parts.asNondeterministic()
+
+
 def _base(parts: Column) -> Column:
     return F.filter(parts, lambda p: p["kind"].isin(*KINDS))
 
@@ -199,7 +203,7 @@ def _redact(texts_: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
 def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", scope: int = SCOPE) -> DataFrame:
     """``docs`` with every reported span of the text replaced by its kind in brackets; overlapping spans become one.
 
-    Every row stays; a text without a span stays as it is, a null one too.
+    Every row and column stays, whatever its name; a text without a span stays as it is, a null one too.
     """
     held = texts(docs.select(F.col(key).alias("doc_key"), F.col(text).alias("text")), "doc_key")
     scanned = stable(held.select(*_key(held, "doc_key", "text"), _parts("text").alias("parts")).where(F.size("parts") > 0))
@@ -208,5 +212,7 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", scope: int
     if fits(small, 50_000):
         small = F.broadcast(small)
     mine, hashed = _key(docs, key, text)
-    out = docs.withColumn("_text_key", hashed).join(small, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_text_key") == F.col("_t")), "left")
-    return out.withColumn(text, _redact(F.col(text), F.col("spans"))).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("doc_key"), hashed.alias("text_key"))
+    out = rows.join(small, F.col("doc_key").eqNullSafe(F.col("_k")) & (F.col("text_key") == F.col("_t")), "left")
+    clean = _redact(F.col("row")[text], F.col("spans"))
+    return out.select(*[clean.alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])

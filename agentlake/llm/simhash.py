@@ -244,14 +244,21 @@ def _labelled(marked: DataFrame, per: DataFrame, distance: int) -> DataFrame:
 def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", distance: int = DISTANCE) -> DataFrame:
     """The rows of ``docs`` that stay when one of each group of near-duplicates does: the one with the smallest key.
 
-    Where the smallest key has several texts in the group, the smallest hash of a text decides; of equal rows one stays.
+    Where the smallest key has several texts in the group, the smallest hash of a text decides; of rows with that key and
+    text one stays. All columns come back, whatever their names.
     """
     text_key = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     held = docs.select(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("k"), text_key.alias("t")).alias("doc_key"), F.col(text).alias("text"))
     marked = stable(fingerprints(held, "doc_key"))
     per = stable(marked.groupBy("fp").agg(F.min("doc_key").alias("low")))
     first = stable(_labelled(per.select("fp", "low"), per, distance).select("component_id.*").distinct())
-    rows = docs.withColumn("_t", text_key)
-    few = F.broadcast(first) if fits(first, 100_000) else first
-    kept = rows.join(few, rows[key].eqNullSafe(few["k"]) & (rows["_t"] == few["t"]), "left_semi")
-    return kept.dropDuplicates([key, "_t"]).select(*docs.columns)
+    # what stays grows with the rows, so it is joined by a shuffle at every size
+    same = F.col("key").eqNullSafe(F.col("k")) & (F.col("text_key") == F.col("t"))
+    ids = marked.select(F.col("doc_key.k").alias("key"), F.col("doc_key.t").alias("text_key"))
+    times = stable(ids.join(first, same).groupBy("k", "t").agg((F.count(F.lit(1)) > 1).alias("often")))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("key"), text_key.alias("text_key"))
+    once, often = times.where("NOT often"), times.where("often")
+    kept = rows.join(once, same, "left_semi")
+    if not often.isEmpty():
+        kept = kept.unionByName(rows.join(often, same, "left_semi").dropDuplicates(["key", "text_key"]))
+    return kept.select("row.*")
