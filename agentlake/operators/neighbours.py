@@ -306,3 +306,75 @@ def nearest_approximate(
     full = found.groupBy("query_id").agg(F.count("*").alias("__n")).filter(F.col("__n") >= k).select("query_id")
     short = stable(queries.select("query_id", "vec").join(full, "query_id", "left_anti"))
     return found.join(full, "query_id", "left_semi").unionByName(nearest(corpus, short, k))
+
+
+def _folder(bucket, folder_bits: int):
+    """Folder of a bucket: its table, and the last bits of its signature."""
+    return (F.shiftright(bucket, 32) * (1 << folder_bits) + bucket.bitwiseAND((1 << folder_bits) - 1)).cast("int")
+
+
+def _probes(vec_col: str, tables: int, bits: int, dim: int, seed: int, probes: int):
+    """Buckets to look into: per table the vector's own one, and those across the ``probes`` planes it is nearest to."""
+    normals = planes(dim, tables, bits, seed).reshape(tables * bits, dim)
+    weights = 1 << np.arange(bits)
+    near = min(probes, bits)
+
+    @F.pandas_udf("array<long>")
+    def sign(vec: pd.Series) -> pd.Series:
+        margin = (_stack(vec.to_list(), dim) @ normals.T).reshape(len(vec), tables, bits)
+        own = ((margin > 0) * weights).sum(axis=2) + (np.arange(tables) << 32)
+        across = np.argsort(np.abs(margin), axis=2, kind="stable")[:, :, :near]
+        all_of = np.concatenate([own[:, :, None], own[:, :, None] ^ weights[across]], axis=2)
+        return pd.Series(list(all_of.reshape(len(vec), tables * (1 + near))))
+
+    return sign(vec_col)
+
+
+def write_index(corpus: DataFrame, path: str, dim: int, bits: int, tables: int = 16, seed: int = 7, folder_bits: int = 3) -> None:
+    """A saved bucket index of ``corpus`` (``id, vec``): signed once, one folder per table and last bits of the signature.
+
+    ``bits`` is the caller's choice, as in ``nearest_approximate``; so is ``folder_bits``, which decides how little a search
+    reads. Folders are balanced as they are written: one with a large share of the rows becomes several files.
+    """
+    spark = corpus.sparkSession
+    schema = "dim int, bits int, tables int, seed long, folder_bits int"
+    spark.createDataFrame([(dim, bits, tables, seed, folder_bits)], schema).coalesce(1).write.parquet(f"{path}/settings")
+    append_index(corpus, path)
+
+
+def append_index(corpus: DataFrame, path: str) -> None:
+    """Adds rows to a saved index. Rows that are added twice, as by a repeated job, are found once."""
+    at = corpus.sparkSession.read.parquet(f"{path}/settings").first()
+    signed = corpus.select("id", "vec", F.explode(_signatures("vec", at["tables"], at["bits"], at["dim"], at["seed"])).alias("bucket"))
+    rows = signed.withColumn("folder", _folder(F.col("bucket"), at["folder_bits"]))
+    rows.hint("rebalance", F.col("folder")).write.mode("append").partitionBy("folder").parquet(f"{path}/rows")
+
+
+def index_rows(spark, path: str, folders: list[int] | None = None) -> DataFrame:
+    """Rows ``id, vec, bucket, folder`` of a saved index; only the given folders are read."""
+    rows = spark.read.parquet(f"{path}/rows")
+    return rows if folders is None else rows.filter(F.col("folder").isin(folders))
+
+
+def search_index(queries: DataFrame, path: str, k: int = 3, probes: int = 1) -> DataFrame:
+    """Approximate top ``k`` by cosine of ``queries`` (``query_id, vec``) from a saved index.
+
+    The corpus is not signed again, and only folders with a probed bucket are read; their list is bounded by the layout.
+    Each query looks into its own bucket and, per table, ``probes`` neighbouring ones. A query whose buckets hold fewer than
+    ``k`` rows is answered exactly from the first table, which holds every row once.
+    """
+    spark = queries.sparkSession
+    at = spark.read.parquet(f"{path}/settings").first()
+    buckets = _probes("vec", at["tables"], at["bits"], at["dim"], at["seed"], probes)
+    q = stable(queries.select("query_id", "vec", F.explode(buckets).alias("bucket")))
+    folders = [r[0] for r in q.select(_folder(F.col("bucket"), at["folder_bits"])).distinct().collect()]
+    rows = index_rows(spark, path, folders).select("id", "vec", "bucket")
+    schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, id {rows.schema['id'].dataType.simpleString()}, score double"
+    local = _tiles(rows, q, k, "cosine", schema, "bucket")
+    found = stable(_merge(local.groupBy("query_id", "id").agg(F.max("score").alias("score")), k, "cosine"))
+    full = found.groupBy("query_id").agg(F.count("*").alias("__n")).filter(F.col("__n") >= k).select("query_id")
+    short = stable(queries.select("query_id", "vec").join(full, "query_id", "left_anti"))
+    if short.isEmpty():
+        return found
+    once = index_rows(spark, path).filter(F.col("folder") < 1 << at["folder_bits"]).select("id", "vec").dropDuplicates(["id"])
+    return found.join(full, "query_id", "left_semi").unionByName(nearest(once, short, k))

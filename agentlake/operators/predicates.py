@@ -229,17 +229,30 @@ def match_substring(
 ) -> DataFrame:
     """Value of the first profile (by ``order``) whose name contains the row's name, in any case; else the default.
 
-    Each distinct name is looked up once. Containment becomes an equi-join: a profile offers every gram of its name, a
-    name asks with its first gram, and candidates are verified. Names shorter than a gram ask with all they have.
+    Each distinct name is looked up once, and containment becomes an equi-join on grams of the profiles' names. What a name
+    of at most ``gram`` characters asks for is known per gram before any join: the first profile that holds it. A longer name
+    asks with the one of its grams that the fewest profiles hold, and its candidates are verified. Profiles without an order
+    are never first; of profiles with one order the smaller value is taken.
     """
     asked = df.select(F.lower(name).alias("__asked")).filter(F.length("__asked") > 0).distinct()
-    low = F.lower(F.col(profile_name))
-    sizes = F.sequence(F.lit(1), F.lit(gram))
-    grams = F.array_distinct(F.flatten(F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length(low), F.lit(1))), lambda i: F.transform(sizes, lambda n: F.substr(low, i, n))
+    place = F.struct(F.col(order).alias("__order"), F.col(value).alias("__value"))
+    held = profiles.filter(F.col(order).isNotNull()).groupBy(F.lower(profile_name).alias("__low")).agg(F.min(place).alias("__place"))
+    starts = F.sequence(F.lit(1), F.greatest(F.length("__low"), F.lit(1)))
+    cuts = lambda sizes: F.array_distinct(F.flatten(F.transform(
+        starts, lambda i: F.transform(sizes, lambda n: F.substr(F.col("__low"), i, n))
     )))
-    offers = profiles.select(low.alias("__low"), F.col(order).alias("__order"), F.col(value).alias("__value"), F.explode(grams).alias("__gram"))
-    hits = asked.withColumn("__gram", F.substring("__asked", 1, gram)).join(offers, "__gram").filter(F.contains("__low", "__asked"))
-    first = hits.groupBy("__asked").agg(F.min_by("__value", "__order").alias("__v"))
+    offers = held.select("__low", "__place", F.explode(cuts(F.sequence(F.lit(1), F.lit(gram)))).alias("__gram"))
+    # summed before the shuffle, so a gram that nearly every profile holds is a few rows
+    known = offers.groupBy("__gram").agg(F.min("__place").alias("__place"), F.count("*").alias("__n"))
+    short = asked.filter(F.length("__asked") <= gram).join(known, F.col("__asked") == F.col("__gram")).select("__asked", "__place")
+    inner = F.sequence(F.lit(1), F.length("__asked") - (gram - 1))
+    pieces = F.array_distinct(F.transform(inner, lambda i: F.substr(F.col("__asked"), i, F.lit(gram))))
+    asks = asked.filter(F.length("__asked") > gram).select("__asked", F.explode(pieces).alias("__gram"))
+    asks = asks.join(known.select("__gram", "__n"), "__gram", "left")
+    rarest = asks.groupBy("__asked").agg(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), F.col("__gram"))).alias("__rare"))
+    whole = offers.filter(F.length("__gram") == gram)
+    hits = rarest.select("__asked", F.col("__rare.__gram").alias("__gram")).join(whole, "__gram").filter(F.contains("__low", "__asked"))
+    found = short.unionByName(hits.select("__asked", "__place"))
+    first = found.groupBy("__asked").agg(F.min("__place").alias("__p")).select("__asked", F.col("__p.__value").alias("__v"))
     out = df.join(first, F.lower(df[name]) == first["__asked"], "left")
     return out.withColumn(value, F.coalesce("__v", F.lit(default))).drop("__v", "__asked")

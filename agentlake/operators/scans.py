@@ -4,10 +4,12 @@ A plain ``sum().over(partitionBy(key))`` sends all rows of a key to one task. Ke
 combined aggregate over the key columns); where no key is heavy the plain window is the best plan and is used. The rows
 of a heavy key are cut into slices that follow the order (a day, a block of ids): slice totals are aggregated map-side,
 their running offsets are computed over one small row per slice, and the row-level window only sees one (key, slice).
+A slice that is still heavy, such as one day with most of the rows, is cut again by sampled splitters of the whole order.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -49,6 +51,25 @@ def _is_heavy(df: DataFrame, keys: Sequence[str], hot_rows: int) -> Column | Non
     return reduce(lambda a, b: a | b, same)
 
 
+def _cut_again(cut: DataFrame, keys: Sequence[str], order: Sequence[Column | str], hot_rows: int) -> DataFrame:
+    """Add ``__part``, which never decreases along ``order`` within a (key, slice): 0, but for the rows of slices with more
+    than ``hot_rows`` rows, which get the number of their piece of a range partitioning by the whole order.
+
+    Splitters are sampled, so pieces are of about equal size, a quarter of ``hot_rows`` at most on average. Rows that are
+    equal in the order may part by a hash of the row, since their order is open; only rows equal in everything stay together.
+    """
+    over = _is_heavy(cut.filter("__hot"), [*keys, "__slice"], hot_rows)
+    if over is None:
+        return cut.withColumn("__part", F.lit(0))
+    hot = cut.filter(F.col("__hot") & over)
+    pieces = max(cut.sparkSession.sparkContext.defaultParallelism, -(-4 * hot.count() // hot_rows))
+    plain = [f.name for f in cut.schema.fields if not re.search("map<|variant|interval", f.dataType.simpleString())]
+    placed = hot.repartitionByRange(pieces, *keys, "__slice", *order, F.xxhash64(*plain))
+    # frozen: totals and rows must see the same pieces
+    placed = stable(placed.withColumn("__part", F.spark_partition_id()))
+    return cut.filter(~(F.col("__hot") & over)).withColumn("__part", F.lit(0)).unionByName(placed)
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -60,7 +81,8 @@ def running(
 ) -> DataFrame:
     """Add one running sum per entry of ``sums``; ``slice_by`` must never decrease along ``order``.
 
-    With ``inclusive=False`` the current row is left out (the sum over prior rows).
+    With ``inclusive=False`` the current row is left out (the sum over prior rows). A null slice stands where the order puts
+    its nulls. No task gets more than about ``hot_rows`` rows of a key, however the rows lie in the slices.
     """
     keys, last = list(keys), 0 if inclusive else -1
     heavy = _is_heavy(df, keys, hot_rows)
@@ -70,21 +92,22 @@ def running(
     if heavy is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
         return df.withColumns({n: F.coalesce(F.sum(c).over(w), F.lit(0)).cast(kinds[n]) for n, c in sums.items()})
-    cut = df.withColumns({"__slice": F.when(heavy, slice_by), **{vals[n]: c for n, c in sums.items()}})
-    by_slice = (
-        cut.filter(F.col("__slice").isNotNull())
-        .groupBy(*keys, "__slice")
-        .agg(*[F.sum(vals[n]).alias(f"__t_{n}") for n in sums])
-    )
-    before = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    cut = df.withColumns({"__hot": heavy, "__slice": F.when(heavy, slice_by), **{vals[n]: c for n, c in sums.items()}})
+    cut = _cut_again(cut, keys, order, hot_rows)
+    by_slice = cut.filter("__hot").groupBy(*keys, "__slice", "__part").agg(*[F.sum(vals[n]).alias(f"__t_{n}") for n in sums])
+    nulls_last = not isinstance(order[0], str) and "NULLS LAST" in str(order[0])
+    slices = F.asc_nulls_last("__slice") if nulls_last else F.asc("__slice")
+    before = Window.partitionBy(*keys).orderBy(slices, "__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = by_slice.select(
         *[F.col(k).alias(f"__k_{k}") for k in keys],
         F.col("__slice").alias("__k_slice"),
+        F.col("__part").alias("__k_part"),
         *[F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)).alias(f"__o_{n}") for n in sums],
     )
-    match = [F.col("__slice") == F.col("__k_slice")] + [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]
+    match = [F.col("__slice").eqNullSafe(F.col("__k_slice")), F.col("__part") == F.col("__k_part")]
+    match += [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]
     joined = cut.join(offsets, reduce(lambda a, b: a & b, match), "left")
-    inside = Window.partitionBy(*keys, "__slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
+    inside = Window.partitionBy(*keys, "__slice", "__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
     return joined.select(
         *[F.col(c) for c in df.columns],
         *[
