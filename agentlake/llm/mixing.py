@@ -4,14 +4,16 @@ A source's target divided by its size is the number of times each of its documen
 certain; the rest is an inclusion probability. The cube method moves these probabilities along directions that change
 neither the expected number of documents nor the expected number of words, until each is 0 or 1. Documents are dealt by a
 hash to groups of bounded size, so a source of any size is worked on in parallel; each group leaves at most two undecided
-documents, which meet in the next, far smaller round. The last two of a source are settled by landing: first the words alone
-are balanced, then a draw decides. Large documents are moved first, so what lands is small.
+documents, which meet in the next, far smaller round. In falling order of size each document is moved until it is settled,
+and all others of its group make up for it a little each, so what is left at the end is small. The last few of a source are
+settled by landing: of all ways to take them, one of those nearest to their words is drawn; balance goes before chance there.
 """
 
 from __future__ import annotations
 
 import random
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,8 +25,9 @@ from agentlake.operators.scans import numbered
 #: Weights by the order of the sources, the total as a multiple of all sizes, the most a source or document is taken. Fixed.
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
 
-#: Documents of one group at most, on average.
-GROUP = 4096
+#: Documents of one group at most, on average; undecided ones of a source that are landed, and the share of the
+#: ways to take those among which one is drawn.
+GROUP, LANDED, NEAREST = 4096, 12, 256
 
 #: Below this many sources their targets are sent to the tasks; beyond it they are joined by a shuffle.
 FEW_SOURCES = 20_000
@@ -65,16 +68,68 @@ def targets(sized: DataFrame) -> DataFrame:
     return per.select("source", "n_docs", "source_size", target.alias("target"))
 
 
-def _flight(units: list[list], rng: random.Random) -> list[list]:
-    """Moves ``[size, p]`` in place until at most two are undecided; returns those.
+def _walk(units: list[list], rng: random.Random, stop: int, answer) -> list[list]:
+    """Moves ``[size, p]``, which come in falling order of size, in place until at most ``stop`` are undecided; returns those.
 
-    Of three undecided units there is one direction that keeps both sums: it is followed to the nearest wall on one side
-    or the other, with chances that leave every probability as it was on average.
+    The first undecided unit is moved, and ``answer(sizes, room)`` gives how much every other moves for that, or None where
+    none can answer; room is p (1 - p), and 0 for the first. The way ends at the nearest wall on one side or the other, with
+    chances that leave every probability as it was on average.
     """
+    undecided = [u for u in units if 0.0 < u[1] < 1.0]
+    size = np.array([u[0] for u in undecided], dtype=np.float64)
+    p = np.array([u[1] for u in undecided], dtype=np.float64)
+    alive = np.arange(len(p))
+    while len(alive) > stop:
+        q = p[alive]
+        room = q * (1.0 - q)
+        room[0] = 0.0
+        step = answer(size[alive], room)
+        if step is None:
+            break
+        step[0] = 1.0
+        rise, fall = step > 0, step < 0
+        up = min(((1.0 - q[rise]) / step[rise]).min(), (q[fall] / -step[fall]).min(initial=np.inf))
+        down = min((q[rise] / step[rise]).min(), ((1.0 - q[fall]) / -step[fall]).min(initial=np.inf))
+        q = q + (up if rng.random() * (up + down) < down else -down) * step
+        q[q < 1e-9] = 0.0
+        q[q > 1.0 - 1e-9] = 1.0
+        p[alive] = q
+        alive = alive[(q > 0.0) & (q < 1.0)]
+    for u, v in zip(undecided, p.tolist()):
+        u[1] = v
+    return [undecided[i] for i in alive]
+
+
+def _both(size: np.ndarray, room: np.ndarray) -> np.ndarray | None:
+    """The others' number of documents falls by one and their words by the first one's size: a line in the size, by room."""
+    rest = size - size[0]
+    w0, w1, w2 = room.sum(), (room * rest).sum(), (room * rest * rest).sum()
+    spread = w0 * w2 - w1 * w1
+    if spread > 1e-9 * w0 * w2:
+        return -room * (w2 - w1 * rest) / spread
+    # one size among the others: they can answer if it is that of the first
+    return None if rest.any() else -room / w0
+
+
+def _words(size: np.ndarray, room: np.ndarray) -> np.ndarray | None:
+    """The others' words fall by the first one's size; one without words needs no answer."""
+    if size[0] == 0:
+        return np.zeros(len(size))
+    square = (room * size * size).sum()
+    return -room * size * size[0] / square if square > 0 else None
+
+
+def _flight(units: list[list], rng: random.Random, stop: int = 2) -> list[list]:
+    """Moves that keep the documents and the words; where the others of a group are too alike to answer, three at a time."""
+    left = _walk(units, rng, stop, _both)
+    return left if len(left) <= stop else _by_three(left, rng)
+
+
+def _by_three(units: list[list], rng: random.Random) -> list[list]:
+    """Of three undecided units there is one direction that keeps both sums: it is followed until at most two are left."""
     active: list[list] = []
     for unit in units:
-        if 0.0 < unit[1] < 1.0:
-            active.append(unit)
+        active.append(unit)
         if len(active) == 3:
             a, b, c = (u[0] for u in active)
             step = (float(b - c), float(c - a), float(a - b))
@@ -99,12 +154,21 @@ def _move(active: list[list], step: tuple, rng: random.Random) -> list[list]:
     return [u for u in active if 0.0 < u[1] < 1.0]
 
 
-def _land(active: list[list], rng: random.Random) -> None:
-    if len(active) == 2:
-        a, b = active[0][0], active[1][0]
-        active = _move(active, (float(b), -float(a)) if a and b else (1.0, -1.0), rng)
-    for u in active:
-        u[1] = 1.0 if rng.random() < u[1] else 0.0
+def _land(units: list[list], rng: random.Random) -> None:
+    """The last ones of a source. Those without words are drawn by themselves; of the ways to take the others, the nearest to
+    their words are found, and one of these is drawn by its probability."""
+    left = _walk(_walk(units, rng, LANDED, _both), rng, LANDED, _words)
+    for u in left:
+        if u[0] == 0:
+            u[1] = 1.0 if rng.random() < u[1] else 0.0
+    left = [u for u in left if u[0]]
+    size, p = np.array([u[0] for u in left], dtype=np.float64), np.array([u[1] for u in left], dtype=np.float64)
+    ways = (np.arange(1 << len(left))[:, None] >> np.arange(len(left))) & 1
+    off = np.abs((ways * size).sum(axis=1) - (size * p).sum()).round(6)
+    near = np.argsort(off, kind="stable")[: max(1, len(ways) // NEAREST)]
+    chance = np.where(ways[near] == 1, p, 1.0 - p).prod(axis=1)
+    for u, taken in zip(left, ways[rng.choices(near.tolist(), chance.tolist())[0]].tolist()):
+        u[1] = float(taken)
 
 
 def _round(undecided: DataFrame, last: bool, seed: int) -> DataFrame:
@@ -116,9 +180,7 @@ def _round(undecided: DataFrame, last: bool, seed: int) -> DataFrame:
         pdf = pdf.sort_values(["size", "_h", "doc_key", "_copy"], ascending=[False, True, True, True], kind="stable", na_position="last")
         rng = random.Random(f"{seed}:{pdf['_h'].iloc[0]}:{len(pdf)}:{last}")
         units = [list(u) for u in zip(pdf["size"].tolist(), pdf["p"].tolist())]
-        left = _flight(units, rng)
-        if last:
-            _land(left, rng)
+        (_land if last else _flight)(units, rng)
         pdf["p"] = [u[1] for u in units]
         return pdf[key]
 

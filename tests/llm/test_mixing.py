@@ -70,3 +70,32 @@ def test_nulls_repeats_empty(spark):
     assert sum(r.size * r.times for r in out) == 12
     assert mixing.repeat(docs).where("source = 's'").count() == 6
     assert mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_large_documents_are_settled_first(spark):
+    """Few documents of very different sizes: what is left to the draw is small."""
+    rng = random.Random(12)
+    texts = {i: ("w " * n, s) for i, (n, s) in enumerate((int(10 ** rng.uniform(0.3, 3.6)), s) for s in "abcdefgh" for _ in range(45))}
+    docs = spark.createDataFrame([(k, t, s) for k, (t, s) in texts.items()], "doc_id long, text string, source string")
+    misses = []
+    for seed in range(3):
+        taken, want = {}, {}
+        for r in mixing.mix(docs, seed=seed).collect():
+            taken[r.source] = taken.get(r.source, 0) + r.size * r.times
+            want[r.source] = r.target
+        misses += [abs(taken[s] - want[s]) / want[s] for s in want]
+    assert max(misses) < 0.02, misses
+
+
+def test_flight_keeps_sums_and_chances():
+    for sizes in ([900, 40, 30, 30, 9, 5, 5, 2, 1, 0], [7] * 6, [9, 4, 4, 4], [5, 5, 1, 1], [3], []):
+        for start in (0.3, 0.5, 0.85):
+            mean = [0.0] * len(sizes)
+            for seed in range(600):
+                units = [[s, start] for s in sizes]
+                left = mixing._flight(units, random.Random(f"{seed}"))
+                assert len(left) <= 2
+                assert sum(u[1] for u in units) == pytest.approx(start * len(sizes), abs=1e-6)
+                assert sum(s * u[1] for s, u in zip(sizes, units)) == pytest.approx(start * sum(sizes), abs=1e-4)
+                mean = [m + u[1] / 600 for m, u in zip(mean, units)]
+            assert all(abs(m - start) < 0.08 for m in mean), (sizes, start, mean)
