@@ -102,21 +102,31 @@ def op5_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
       SELECT doc_id, source, len(words)::BIGINT AS n_words,
              coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
              (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
-             (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+             (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines
       FROM w LEFT JOIN cov USING (r)
     ), f AS (
-      SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM c
+      SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, n_symbols > n_words AS symbols,
+             100 * n_dup_lines > 30 * n_lines AS dup, word_chars < 2 * n_words OR word_chars > 100 * n_words AS odd FROM c
+    ), fails AS (
+      SELECT source AS s, 0 AS rule, base_failed AS failed FROM f UNION ALL SELECT source, 1, symbols FROM f
+      UNION ALL SELECT source, 2, dup FROM f UNION ALL SELECT source, 3, odd FROM f
     ), h AS (
-      SELECT source AS s, count(*) AS n, sum(base_failed::INT) AS k FROM f WHERE source IS NOT NULL GROUP BY source
+      SELECT s, rule, count(*) AS n, sum(failed::INT) AS k FROM fails WHERE s IS NOT NULL GROUP BY s, rule
     ), m AS (
-      SELECT count(*) AS hosts, sum(k) / sum(n) AS m, avg(n) AS size, var_samp(k / n) - sum(k) / sum(n) * (1 - sum(k) / sum(n)) * avg(1 / n) AS beyond
-      FROM h
+      SELECT rule, count(*) AS hosts, sum(k) / sum(n) AS m, avg(n) AS size,
+             var_samp(k / n) - sum(k) / sum(n) * (1 - sum(k) / sum(n)) * avg(1 / n) AS beyond
+      FROM h GROUP BY rule
     ), p AS (
-      SELECT m, CASE WHEN hosts > 2 AND beyond > 0 AND m * (1 - m) / beyond - 1 > 0 THEN m * (1 - m) / beyond - 1 ELSE size END AS wt FROM m
+      SELECT rule, m, CASE WHEN hosts > 2 AND beyond > 0 AND m * (1 - m) / beyond - 1 > 0 THEN m * (1 - m) / beyond - 1 ELSE size END AS wt FROM m
+    ), v AS (
+      SELECT s, max(rate) > 0.6 AS refused, max(CASE WHEN rule = 1 THEN rate END) > 0.3 AS s1, max(CASE WHEN rule = 2 THEN rate END) > 0.3 AS s2,
+             max(CASE WHEN rule = 3 THEN rate END) > 0.3 AS s3
+      FROM (SELECT s, rule, (k + m * wt) / (n + wt) AS rate FROM h JOIN p USING (rule)) GROUP BY s
     )
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-           NOT base_failed AND coalesce((k + m * wt) / (n + wt) <= 0.6, true) AS kept
-    FROM f LEFT JOIN h ON s = source CROSS JOIN p
+           NOT (base_failed OR coalesce(refused, false) OR (symbols AND coalesce(s1, false)) OR (dup AND coalesce(s2, false))
+                OR (odd AND coalesce(s3, false))) AS kept
+    FROM f LEFT JOIN v ON s = source
     """,
 )
 def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,3 +59,32 @@ def test_hosts_are_shrunk_and_refused(spark):
     assert quality.judge(docs.limit(0), "doc_id").count() == 0
     one = quality.judge(docs.where("source = 'fine'"), "doc_id").collect()
     assert all(r.shrunk_rate == pytest.approx(0.1) for r in one)
+
+
+def test_weaker_rules_count_by_host(spark, tmp_path):
+    """The verdict of hosts by every rule, in the operator and in SQL over the same rows."""
+    prose = "one two three four five six seven eight nine ten {}"
+    marks = "a### b$$$ c%% d&& e** f|| g<> h## i$# j%% {}"
+    lines = "one two three {0}\nsame line\nfour five six {0}\nsame line\nten\nten\nten\nseven eight nine {0}"
+    apart = "a b c d e f g h i j k l {}"
+    rng = random.Random(6)
+    rows = []
+    for host, text, share in [("prose", prose, 0), ("tables", marks, 0.45), ("lists", lines, 0.45), ("letters", apart, 0.45), ("dump", marks, 0.9), ("tidy", marks, 0.05)]:
+        rows += [(text if rng.random() < share else prose).format(i % 7) for i in range(400)]
+        rows[-400:] = [(len(rows) - 400 + i, host, t) for i, t in enumerate(rows[-400:])]
+    rows += [(9001, None, marks.format(1)), (9002, "prose", marks.format(1)), (9003, "tables", "short"), (9004, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    kept = {r.doc_id: r.kept for r in quality.judge(docs, "doc_id").collect()}
+    for k, host, t in rows[:2400]:
+        odd = t[:10] != prose[:10] or "\n" in t
+        assert kept[k] == (host != "dump" and not (odd and host in ("tables", "lists", "letters"))), (host, t)
+    assert [kept[k] for k in (9001, 9002, 9003, 9004)] == [True, True, False, False]
+
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    name = "op6_host_rules"
+    ok, message, _ = compare(spark, con, str(tmp_path), name, entries.QUERIES[name], entries.ORACLE[name])
+    assert ok, message
