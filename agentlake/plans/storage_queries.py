@@ -118,6 +118,6 @@ def saved_index(spark, sf):
     """The index is written from one half of the vectors, the other half is appended, and all vectors are asked."""
     path = files.scratch_path(spark, "index")
     v = derive.vectors(spark, sf)
-    nn.write_index(v.filter(F.col("id") % 2 == 0), path, dim=64, bits=6, folder_bits=2)
+    nn.write_index(v.filter(F.col("id") % 2 == 0), path, dim=64, bits=4, folder_bits=2)
     nn.append_index(v.filter(F.col("id") % 2 != 0), path)
-    return _recalled(v, nn.search_index(v.select(F.col("id").alias("query_id"), "vec"), path, k=3, probes=3))
+    return _recalled(v, nn.search_index(v.select(F.col("id").alias("query_id"), "vec"), path, k=3, probes=1))
