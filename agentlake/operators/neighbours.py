@@ -19,10 +19,11 @@ from agentlake.core import stable
 from agentlake.operators.predicates import compile_where, compile_where_document
 
 MAX_CARRIED = 2048  # queries carried to every task: 2,048 x 64 floats are half a megabyte
-CORPUS_BLOCK, QUERY_BLOCK = 32_768, 2048
-QUERIES_A_TILE = 65_536
-ROWS_A_CELL, MOST_CELLS = 512, 1024
+CORPUS_BLOCK, QUERY_BLOCK = 32_768, 32_768
+QUERIES_A_TILE = 32_768
+ROWS_A_CELL, MOST_CELLS = 16_384, 1024  # a tile is cheap to score: few large cells move fewer rows than many small ones
 CELLS = 1 << 21  # scores held at once in a task
+FIRST_ROWS, SCREEN_ROWS, SCREEN_QUERIES = 512, 4096, 1024  # single-precision products held at once
 DIGITS = 9  # scores are compared after rounding, so equal vectors tie and the smaller id wins
 
 
@@ -52,7 +53,33 @@ def _keep(q: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int):
 
 
 def _best(vecs: np.ndarray, ids: np.ndarray, queries: np.ndarray, k: int, metric: str):
-    """(query position, id, score) of the k best rows per query, scored in chunks of bounded memory."""
+    """(query position, id, score) of the k best rows per query, in bounded memory."""
+    if len(vecs) <= FIRST_ROWS or not len(queries):
+        return _best_of_all(vecs, ids, queries, k, metric)
+    size, asked = np.linalg.norm(vecs, axis=1), np.linalg.norm(queries, axis=1)
+    if metric == "l2":
+        known, sound, odd = ~np.isnan(size), ~np.isnan(asked), np.isinf(size).any() or np.isinf(asked).any()
+    else:
+        known, sound = size > 0, asked > 0
+        odd = any((np.isinf(n) | ((n == 0) & (x != 0).any(axis=1))).any() for n, x in ((size, vecs), (asked, queries)))
+    if odd:
+        return _best_of_all(vecs, ids, queries, k, metric)
+    # rows without a score come last, the smaller id first: k of them are enough
+    blank = np.flatnonzero(~known)
+    blank = blank[np.argsort(ids[blank], kind="stable")[:k]]
+    first = np.argsort(ids, kind="stable")[:k]
+    at, rest = np.flatnonzero(sound), np.flatnonzero(~sound)
+    found = _screened(vecs[known], ids[known], queries[at], k, metric)
+    parts = [(at[found[0]], found[1], found[2])]
+    for some, rows in ((at, blank), (rest, first)):
+        if len(some) and len(rows):
+            q = np.repeat(some, len(rows))
+            parts.append((q, np.tile(ids[rows], len(some)), np.full(len(q), np.nan)))
+    return _keep(*[np.concatenate(x) for x in zip(*parts)], k)
+
+
+def _best_of_all(vecs: np.ndarray, ids: np.ndarray, queries: np.ndarray, k: int, metric: str):
+    """As ``_best``, every row scored in double precision."""
     step = max(k, CELLS // max(1, len(queries)))
     found = []
     for low in range(0, len(vecs), step):
@@ -67,6 +94,70 @@ def _best(vecs: np.ndarray, ids: np.ndarray, queries: np.ndarray, k: int, metric
     return _keep(*[np.concatenate(x) for x in zip(*found)], k)
 
 
+def _few_copies(vecs: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the rows without those of which k equal ones with smaller ids are there: they are never among the k best."""
+    rows = np.ascontiguousarray(vecs).view(np.dtype((np.void, vecs.itemsize * vecs.shape[1]))).ravel()
+    same = np.unique(rows, return_inverse=True)[1].ravel()
+    order = np.lexsort((np.argsort(np.argsort(ids, kind="stable")), same))
+    kind = same[order]
+    return np.sort(order[np.arange(len(kind)) - np.searchsorted(kind, kind) < k])
+
+
+def _screened(vecs: np.ndarray, ids: np.ndarray, queries: np.ndarray, k: int, metric: str):
+    """As ``_best`` for rows and queries with a score: products in single precision rule out all rows but those that may be
+    among the k best within the error of such a product, and these are scored in double precision."""
+    kept = _few_copies(vecs, ids, k) if len(vecs) else np.arange(0)
+    c, ids, q = vecs[kept].astype(np.float64), ids[kept], queries.astype(np.float64)
+    n, dim = c.shape
+    none = np.zeros(0, np.int64)
+    if not n or not len(q):
+        return none, ids[:0], np.zeros(0)
+    cc, qq = (c * c).sum(axis=1), (q * q).sum(axis=1)
+    if metric == "l2":  # order by 2cq - cc
+        left, right = np.hstack([2 * c, -cc[:, None]]), np.hstack([q, np.ones((len(q), 1))])
+    else:
+        left, right = c / np.sqrt(cc)[:, None], q / np.sqrt(qq)[:, None]
+    slack = (dim + 10) * 2.0**-22 * np.linalg.norm(left, axis=1).max() * np.linalg.norm(right, axis=1) + 4 * 10.0**-DIGITS
+    with np.errstate(over="ignore"):
+        left, right = left.astype(np.float32), right.astype(np.float32)
+    if not (np.isfinite(left).all() and np.isfinite(right).all()):
+        return _best_of_all(c, ids, q, k, metric)
+    found = []
+    for low in range(0, len(q), SCREEN_QUERIES):
+        some, room = right[low : low + SCREEN_QUERIES], slack[low : low + SCREEN_QUERIES]
+        floor = np.full(len(some), -np.inf)
+        at_q, at_row, at_s = none, none, np.zeros(0, np.float32)
+        start, width = 0, max(FIRST_ROWS, k)
+        while start < n and len(at_q) <= CELLS:
+            s = some @ left[start : start + width].T
+            wide = s.shape[1]
+            if not start and wide > k:
+                floor = np.partition(s, wide - k, axis=1)[:, wide - k].astype(np.float64)
+            # never above the bound that the rows are held against below
+            hit = np.flatnonzero(s >= np.nextafter((floor - room).astype(np.float32), np.float32(-np.inf))[:, None])
+            at_q, at_row = np.concatenate([at_q, hit // wide]), np.concatenate([at_row, start + hit % wide])
+            at_s = np.concatenate([at_s, s.ravel()[hit]])
+            order = np.lexsort((-at_s, at_q))
+            at_q, at_row, at_s = at_q[order], at_row[order], at_s[order]
+            kth = np.flatnonzero(np.arange(len(at_q)) - np.searchsorted(at_q, at_q) == k - 1)
+            floor[at_q[kth]] = at_s[kth]
+            may = at_s >= (floor - room)[at_q]
+            at_q, at_row, at_s = at_q[may], at_row[may], at_s[may]
+            start, width = start + width, SCREEN_ROWS
+        if start < n:  # too many rows are as near as another: no ruling out
+            col, near, score = _best_of_all(c, ids, q[low : low + SCREEN_QUERIES], k, metric)
+            found.append((low + col, near, score))
+            continue
+        score = np.empty(len(at_q))
+        for part in range(0, len(at_q), 1 << 16):
+            i, j = at_row[part : part + (1 << 16)], low + at_q[part : part + (1 << 16)]
+            dot = np.einsum("ij,ij->i", c[i], q[j])
+            exact = -np.round(cc[i] - 2 * dot + qq[j], DIGITS) if metric == "l2" else np.round(dot / (np.sqrt(cc[i]) * np.sqrt(qq[j])), DIGITS)
+            score[part : part + (1 << 16)] = exact
+        found.append(_keep(low + at_q, ids[at_row], score, k))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 def _merge(local: DataFrame, k: int, metric: str) -> DataFrame:
     score = F.col("score")
     shown = F.when(F.isnan(score), None).otherwise(-score if metric == "l2" else score)

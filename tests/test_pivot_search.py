@@ -64,3 +64,33 @@ def test_cells_are_ruled_out(spark):
     away = np.sqrt(((x[:, None, :] - centre[None]) ** 2).sum(2))
     must = (away - 1.0 <= 1.0) & (np.arange(40)[None, :] != home[:, None])
     assert all(set(np.flatnonzero(m)) <= set(s) for m, s in zip(must, seen))
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_screened_tiles_score_as_all_rows(metric):
+    rng = np.random.default_rng(0)
+    c = rng.standard_normal((3000, 8))
+    c[100:700], c[800], c[801], c[802:900] = c[5], np.nan, 0, c[7] * 2  # copies, no score, scaled copies
+    c[1000:1500] = c[9] + rng.standard_normal((500, 8)) * 1e-6  # closer than single precision tells apart
+    q, ids = np.vstack([c[:1200:3], c[800:802]]), rng.permutation(3000)
+    for got, want in zip(nn._best(c, ids, q, 3, metric), nn._best_of_all(c, ids, q, 3, metric)):
+        assert np.array_equal(got, want, equal_nan=got.dtype.kind == "f")
+    if metric == "cosine":
+        got = nn._best(c * 1e200, ids, q * 1e200, 3, metric)  # lengths that are not finite
+        assert all(np.array_equal(a, b, equal_nan=a.dtype.kind == "f") for a, b in zip(got, nn._best_of_all(c * 1e200, ids, q * 1e200, 3, metric)))
+
+
+
+def test_few_products_are_scored_in_double(monkeypatch):
+    rng = np.random.default_rng(1)
+    c = rng.standard_normal((8000, 16))
+    seen = []
+    scored = nn._scores
+    monkeypatch.setattr(nn, "_scores", lambda a, b, m: seen.append(len(a) * len(b)) or scored(a, b, m))
+    nn._best(c, np.arange(8000), c[:500], 3, "cosine")
+    assert sum(seen) < 8000 * 500 / 10
+
+
+def test_many_queries_move_few_rows():
+    """A query goes to a few large cells, not to hundreds of small ones."""
+    assert nn.ROWS_A_CELL >= 8192 and nn.QUERY_BLOCK >= 8192
