@@ -5,10 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Mapping, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+ROWS_AT_ONCE, CHARS_AT_ONCE = 256, 1 << 21  # texts and characters of chunks that a task holds as Python objects
+
 
 def collapse_spaces(text: Column) -> Column:
     """Runs of spaces and tabs to one space; outer white space removed."""
@@ -121,25 +123,37 @@ def chunk_text(
     kind = docs.schema[id_col].dataType.simpleString()
 
     def cut(batches):
-        for pdf in batches:
-            ids, numbers, texts = [], [], []
-            for key, body in zip(pdf[id_col], pdf["__text"]):
-                if body is None:
-                    continue
-                n = 0
-                for a, b in cut_points(body, size, overlap, min_cut):
-                    piece = body[a:b].strip() if strip else body[a:b]
-                    if strip and not piece:
+        for batch in batches:
+            for low in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(low, ROWS_AT_ONCE)
+                ids, numbers, texts, held = [], [], [], 0
+                for at, body in enumerate(part.column("__text")):
+                    body = body.as_py()
+                    if body is None:
                         continue
-                    if max_chunks is not None and n >= max_chunks:
-                        break
-                    ids.append(key)
-                    numbers.append(n)
-                    texts.append(piece)
-                    n += 1
-            yield pd.DataFrame({id_col: ids, "chunk_id": numbers, "text": texts, "chunk_size": [len(t) for t in texts]})
-
-    return clean.mapInPandas(cut, f"{id_col} {kind}, chunk_id long, text string, chunk_size long")
+                    n = 0
+                    for a, b in cut_points(body, size, overlap, min_cut):
+                        piece = body[a:b].strip() if strip else body[a:b]
+                        if strip and not piece:
+                            continue
+                        if max_chunks is not None and n >= max_chunks:
+                            break
+                        ids.append(at)
+                        numbers.append(n)
+                        texts.append(piece)
+                        n += 1
+                        held += len(piece)
+                        if held >= CHARS_AT_ONCE:
+                            yield made(part, ids, numbers, texts)
+                            ids, numbers, texts, held = [], [], [], 0
+                if ids:
+                    yield made(part, ids, numbers, texts)
+
+    def made(part, ids, numbers, texts):
+        columns = [part.column(id_col).take(pa.array(ids, pa.int64())), pa.array(numbers, pa.int64()), pa.array(texts, pa.string())]
+        return pa.RecordBatch.from_arrays([*columns, pa.array([len(t) for t in texts], pa.int64())], [id_col, "chunk_id", "text", "chunk_size"])
+
+    return clean.mapInArrow(cut, f"{id_col} {kind}, chunk_id long, text string, chunk_size long")
 
 
 def chunk_counts(
