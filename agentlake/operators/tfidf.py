@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from agentlake.core import spread, stable
+from agentlake.core import fits, spread, stable
 
 WORD = r"[\p{L}\p{N}_]{2,}"
 # stop words, our own short list
@@ -27,7 +27,8 @@ STOP_WORDS = (
 ).split()
 MAX_POSTINGS, MAX_POSTING_BYTES = 400_000, 32 << 20
 DIGITS = 6
-CELLS = 1 << 22  # document x query sums held at once in a task
+CELLS = 1 << 18  # document x query sums, and products of a word's weights, held at once in a task
+BROADCAST_WORDS = 200_000  # a smaller (term, idf) table travels to the word counts
 
 
 def term_counts(docs: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -58,9 +59,10 @@ def transform(
     """
     known = idf if wanted is None else idf.join(wanted.select("term", F.lit(True).alias("want")), "term", "left")
     keep = F.lit(True) if wanted is None else F.col("want")
-    # the planner sizes exploded words like the text they come from and would broadcast them: ask for a merge join,
-    # whose skew splitting also takes care of words that are in most documents
-    counts = (term_counts(docs, id_col, text) if counts is None else counts).join(known.hint("merge"), "term")
+    # the planner sizes exploded words like the text they come from and would broadcast them: beyond a checked bound ask for
+    # a merge join, whose skew splitting also takes care of words that are in most documents
+    way = "broadcast" if fits(idf, BROADCAST_WORDS) else "merge"
+    counts = (term_counts(docs, id_col, text) if counts is None else counts).join(known.hint(way), "term")
     weighted = counts.select("id", "term", (F.col("tf") * F.col("idf")).alias("w"), keep.alias("keep"))
     per_doc = weighted.groupBy("id").agg(
         F.collect_list(F.when(F.col("keep"), F.struct("term", "w"))).alias("ws"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")
@@ -86,24 +88,35 @@ def _carried(docs: DataFrame, asked: list, threshold: float, strict: bool, schem
     def score(batches):
         known = pa.array(vocab, pa.string())
         for batch in batches:
-            for low in range(0, batch.num_rows, step):
-                part = batch.slice(low, step)
-                lists = part.column("ws")
-                doc = np.repeat(np.arange(part.num_rows), pc.list_value_length(lists).fill_null(0).to_numpy())
-                flat = lists.flatten()
-                term = pc.index_in(flat.field("term"), value_set=known).fill_null(-1).to_numpy()
-                used = np.flatnonzero(term >= 0)
-                if not len(used):
-                    continue
-                term, weight = term[used], flat.field("w").to_numpy()[used]
-                size = start[term + 1] - start[term]
-                pos = np.repeat(start[term] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-                cell = np.repeat(doc[used], size) * width + q_of[pos]
-                s = np.round(np.bincount(cell, np.repeat(weight, size) * w_of[pos], minlength=part.num_rows * width), DIGITS)
-                hit = np.flatnonzero((s > threshold) if strict else (s >= threshold) & (s > 0))
-                ids = part.column("id").take(pa.array(hit // width))
-                asked_ids = pa.array([names[h] for h in hit % width])
-                yield pa.RecordBatch.from_arrays([asked_ids, ids, pa.array(s[hit])], ["query_id", "id", "score"])
+            lists = batch.column("ws")
+            size = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).fill_null(0).to_numpy())])
+            flat = lists.flatten()
+            term = pc.index_in(flat.field("term"), value_set=known).fill_null(-1).to_numpy()
+            weights = flat.field("w").to_numpy()
+            # products of all documents up to each one
+            work = np.concatenate([[0], np.cumsum(np.where(term >= 0, start[term + 1] - start[term], 0))])[size]
+            low = 0
+            while low < batch.num_rows:
+                high = min(low + step, int(np.searchsorted(work, work[low] + CELLS, side="right")) - 1)
+                high = min(max(high, low + 1), batch.num_rows)
+                cut = slice(size[low], size[high])
+                yield from hits(batch.slice(low, high - low).column("id"), np.diff(size[low : high + 1]), term[cut], weights[cut])
+                low = high
+
+    def hits(doc_ids, size, term, weight):
+        rows = len(size)
+        doc = np.repeat(np.arange(rows), size)
+        used = np.flatnonzero(term >= 0)
+        if not len(used):
+            return
+        term, weight = term[used], weight[used]
+        many = start[term + 1] - start[term]
+        pos = np.repeat(start[term] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        cell = np.repeat(doc[used], many) * width + q_of[pos]
+        s = np.round(np.bincount(cell, np.repeat(weight, many) * w_of[pos], minlength=rows * width), DIGITS)
+        hit = np.flatnonzero((s > threshold) if strict else (s >= threshold) & (s > 0))
+        asked_ids = pa.array(names).take(pa.array(hit % width))
+        yield pa.RecordBatch.from_arrays([asked_ids, doc_ids.take(pa.array(hit // width)), pa.array(s[hit])], ["query_id", "id", "score"])
 
     return docs.mapInArrow(score, schema)
 
