@@ -13,12 +13,17 @@ from agentlake.plans.derive import LEDGER_SQL, PLANS_SQL, ITEMS_SQL
 from agentlake.plans.registry import query
 from agentlake.sources import files
 
+FILE_BYTES = 32 << 20  # text of a file that is read whole, about
+
 
 @query("s2_file_order_ids", """SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) AS row_id FROM documents""")
 def file_order_ids(spark, sf):
     path = files.scratch_path(spark, "ordered")
     rows = table(spark, sf, "documents").select("doc_id", "lang", "text")
-    files.write_csv(rows.repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id"), path)
+    # a file with texts over several lines is read by one task: more text makes more files
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    pieces = max(5, -(-size // FILE_BYTES))
+    files.write_csv(rows.repartitionByRange(pieces, "doc_id").sortWithinPartitions("doc_id"), path)
     return files.read_requests(spark, path, rows.schema, row_id="row_id").select("doc_id", "lang", "row_id")
 
 
