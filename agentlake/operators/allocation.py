@@ -111,7 +111,8 @@ def allocate(
 
     ``lines``: key, seq (integer, unique order number within the key), item, quantity; ``stock``: key, item, amount, of which
     several rows add up. Amounts are compared exactly, as integers or decimals. An order with a null or negative quantity is
-    never accepted. ``rounds``, if given, takes the lines that each round of the large keys began with.
+    never accepted. ``rounds``, if given, takes the lines that each round of the large keys began with. ``hot_rows`` is the most
+    rows of a key in a task of a running sum; where it is not given, ``hot_lines``, but ``HOT_LINES`` at least.
     """
     whole = all(isinstance(df.schema[c].dataType, IntegralType) for df, c in ((lines, "quantity"), (stock, "amount")))
     kind = "bigint" if whole else "decimal(28,9)"
@@ -127,6 +128,7 @@ def allocate(
     if not known:
         return _fold(lines, stock, key, seq, schema)
     heavy = stable(heavy)
-    hot = hot_rows if hot_rows is not None else hot_lines
+    # running sums need no fold: with few lines to a fold, keys are still not cut into ever more pieces, each sampled by the driver
+    hot = hot_rows if hot_rows is not None else max(hot_lines, HOT_LINES)
     big = _rounds(lines.join(heavy, key, "left_semi"), stock.join(heavy, key, "left_semi"), key, seq, block, hot, hot_lines, rounds)
     return _fold(lines.join(heavy, key, "left_anti"), stock.join(heavy, key, "left_anti"), key, seq, schema).unionByName(big)

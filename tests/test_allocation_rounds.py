@@ -46,3 +46,16 @@ def test_halves_and_limits(spark):
     lines = [(0, 1, 0, big), (0, 2, 0, 3), (0, 3, 0, big - 4), (0, 4, 0, 1), (0, 5, 0, 1), (0, 6, 1, 0), (0, 7, 2, 1)]
     check(spark, lines, {(0, 0): big, (0, 1): 0}, most=7, hot_lines=1)
     check(spark, lines, {(0, 0): (1 << 63) - 1, (0, 1): 0}, most=7, hot_lines=1)
+
+
+def test_short_folds_do_not_cut_keys_into_many_pieces(spark, monkeypatch):
+    # 100 folds fit into either site; the range partitioner samples some 300 rows of each piece on the driver
+    lines = [(seq % 2, seq, 0, 1 + seq * 7919 % 97) for seq in range(4000)]
+    asked, cut = [], type(spark.range(1)).repartitionByRange
+    monkeypatch.setattr(type(spark.range(1)), "repartitionByRange", lambda self, n, *cols: asked.append(n) or cut(self, n, *cols))
+    df = spark.createDataFrame(lines, "site long, seq long, item long, quantity long")
+    stock = {(0, 0): 9000, (1, 0): 9001}
+    st = spark.createDataFrame([(s, i, a) for (s, i), a in stock.items()], "site long, item long, amount long")
+    got = allocation.allocate(df, st, hot_lines=20)
+    assert {(r["site"], r["seq"]): r["accepted"] for r in got.collect()} == loop_allocate(lines, stock)
+    assert all(n <= spark.sparkContext.defaultParallelism for n in asked)
