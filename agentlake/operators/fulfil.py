@@ -10,16 +10,20 @@ from agentlake.functions import scalars as fn
 from agentlake.operators.ledger import as_of_stock
 from agentlake.operators.predicates import validate_lines
 
+# what tells the line a ledger row was written for
+WRITTEN = ("request_id", "line_no", "item", "ship_date")
+
 
 def quote_lines(lines: DataFrame, requests: DataFrame, catalog: DataFrame, ledger: DataFrame) -> DataFrame:
     """Per line: validity, stock as of the request date, shortage, price, delivery, status and reason.
 
     ``lines``: request_id, item, quantity and any other columns; ``requests``: request_id, request_date, intent,
-    requested_by. All expressions; two equi-joins (requests, catalog) and the as-of lookup.
+    requested_by. All expressions; two equi-joins (requests, catalog) and the as-of lookup, which weighs items by ``lines``
+    as they come in.
     """
     wide = lines.join(requests.select("request_id", "request_date", "intent", "requested_by"), "request_id")
     checked = validate_lines(wide, catalog).withColumnRenamed("reason", "invalid_reason")
-    stocked = as_of_stock(checked, ledger)
+    stocked = as_of_stock(checked, ledger, weigh=lines)
     ok = F.col("valid")
     short = fn.shortage(F.col("quantity"), F.col("available"))
     delivery = F.when(F.col("shortage") > 0, fn.delivery_date(F.col("request_date"), F.col("shortage"))).otherwise(
@@ -66,12 +70,17 @@ def overall_status(quoted: DataFrame, requests: DataFrame) -> DataFrame:
 def place_orders(
     lines: DataFrame, requests: DataFrame, catalog: DataFrame, inventory: DataFrame, ledger: DataFrame
 ) -> DataFrame:
-    """Quote the lines and emit the ledger rows of the fulfilled orders.
+    """Quote the lines of the orders and emit the ledger rows of the fulfilled ones.
 
-    The quoted lines are read twice (for the status of the request and for its rows), so they are written once.
+    The quoted lines are read twice (for the status of the request and for its rows), so what is read of them is written
+    once. Lines of requests for a quote alone write nothing and decide on no order, so they are left out before all lookups;
+    a request id that stands for both keeps all its rows.
     """
-    quoted = stable(quote_lines(lines, requests, catalog, ledger))
-    return ledger_writes(quoted, overall_status(quoted, requests), inventory, ledger)
+    orders = requests.join(requests.filter(F.col("intent") == "ORDER").select("request_id"), "request_id", "left_semi")
+    quoted = quote_lines(lines, orders, catalog, ledger)
+    read = [c for c in (*WRITTEN, "quantity", "shortage", "delivery_date", "total_price", "status") if c in quoted.columns]
+    quoted = stable(quoted.select(*read))
+    return ledger_writes(quoted, overall_status(quoted, orders), inventory, ledger)
 
 
 def ledger_writes(quoted: DataFrame, overall: DataFrame, inventory: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -83,10 +92,10 @@ def ledger_writes(quoted: DataFrame, overall: DataFrame, inventory: DataFrame, l
     placed = overall.filter((F.col("intent") == "ORDER") & (F.col("overall_status") == "FULFILLED")).select("request_id")
     base = (
         quoted.join(placed, "request_id", "left_semi")
-        .drop("unit_price", "available")
+        .drop("unit_price", "available", "status")
         .join(inventory.select("item", "unit_price", "min_stock_level"), "item")
     )
-    at_delivery = as_of_stock(base, ledger, day="delivery_date")
+    at_delivery = as_of_stock(base, ledger, day="delivery_date", weigh=quoted)
     after = F.col("available") + F.col("shortage") - F.col("quantity")
     reorder = fn.reorder_quantity(after, F.col("min_stock_level"), F.col("quantity"))
 
@@ -106,7 +115,7 @@ def ledger_writes(quoted: DataFrame, overall: DataFrame, inventory: DataFrame, l
                   fn.delivery_date(F.col("delivery_date"), F.col("reorder")), 3),
         ),
     )
-    keep = [c for c in ("request_id", "line_no", "item", "ship_date") if c in base.columns]
+    keep = [c for c in WRITTEN if c in base.columns]
     return (
         at_delivery.withColumn("reorder", reorder)
         .select(*keep, F.explode(F.array_compact(rows)).alias("t"))

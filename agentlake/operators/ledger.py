@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agentlake.operators.scans import running
+from agentlake.operators.scans import HOT_ROWS, is_heavy, running
 
 # fixed values: the two accepted transaction types
 TXN_TYPES = ("stock_orders", "sales")
@@ -99,20 +99,42 @@ def financial_report(inventory: DataFrame, ledger: DataFrame, day: str, top: int
     )
 
 
-def as_of_stock(lines: DataFrame, ledger: DataFrame, item: str = "item", day: str = "request_date") -> DataFrame:
+def as_of_stock(
+    lines: DataFrame, ledger: DataFrame, item: str = "item", day: str = "request_date", weigh: DataFrame | None = None, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Stock of each line's item on the line's date (same-day rows included).
 
-    Ledger rows and zero-change probe rows are summed per (item, day) in one map-side combined aggregate, then one
-    running sum per item over its days: the window sees one row per day, however many rows the item has, and no range
-    join is needed.
+    Lines and ledger rows are moved once, to their item, where one running sum in the order of the days passes the ledger rows
+    of a day before its lines. An item with more than ``hot_rows`` rows is not gathered like this (``_hot_as_of_stock``).
+    ``weigh`` has the rows by which the lines of an item are counted; give it where ``lines`` are costly to compute, such as the
+    lines before a join that adds none.
     """
-    changes = ledger.filter(F.col("item").isNotNull()).select("item", F.col("txn_date").alias("__day"), signed_units().alias("__net"))
-    probes = lines.select(F.col(item).alias("item"), F.col(day).alias("__day"), F.lit(0).cast("long").alias("__net"))
-    per_day = changes.unionByName(probes).groupBy("item", "__day").agg(F.sum("__net").alias("__net"))
-    w = Window.partitionBy("item").orderBy("__day").rowsBetween(Window.unboundedPreceding, 0)
-    stock = per_day.select(
-        F.col("item").alias("__item"), F.col("__day"), F.sum("__net").over(w).alias("available")
+    changes = ledger.filter(F.col("item").isNotNull()).select(
+        F.col("item").alias("__item"), F.col("txn_date").alias("__day"), signed_units().alias("__net")
     )
+    counted = (lines if weigh is None else weigh).select(F.col(item).alias("__item"))
+    heavy = is_heavy(changes.select("__item").unionByName(counted), ["__item"], hot_rows)
+    marked = lines.withColumns({"__item": F.col(item), "__day": F.col(day), "__net": F.lit(0).cast("long"), "__line": F.lit(True)})
+    if heavy is None:
+        return _merged_stock(marked, changes, lines.columns)
+    hot = _hot_as_of_stock(marked.filter(heavy).select(*lines.columns), changes.filter(heavy), item, day)
+    return _merged_stock(marked.filter(~heavy), changes.filter(~heavy), lines.columns).unionByName(hot)
+
+
+def _merged_stock(marked: DataFrame, changes: DataFrame, columns: list[str]) -> DataFrame:
+    both = marked.unionByName(changes.withColumn("__line", F.lit(False)), allowMissingColumns=True)
+    w = Window.partitionBy("__item").orderBy("__day", "__line").rowsBetween(Window.unboundedPreceding, 0)
+    stock = both.withColumn("available", F.coalesce(F.sum("__net").over(w), F.lit(0)))
+    return stock.filter("__line").select(*columns, "available")
+
+
+def _hot_as_of_stock(lines: DataFrame, changes: DataFrame, item: str, day: str) -> DataFrame:
+    """The same for items with very many rows: the rows and zero-change probe rows are summed per (item, day) in one map-side
+    combined aggregate, so the window sees one row per day, however many rows the item has. No range join is needed."""
+    probes = lines.select(F.col(item).alias("__item"), F.col(day).alias("__day"), F.lit(0).cast("long").alias("__net"))
+    per_day = changes.unionByName(probes).groupBy("__item", "__day").agg(F.sum("__net").alias("__net"))
+    w = Window.partitionBy("__item").orderBy("__day").rowsBetween(Window.unboundedPreceding, 0)
+    stock = per_day.select("__item", "__day", F.sum("__net").over(w).alias("available"))
     hit = lines[item].eqNullSafe(stock["__item"]) & lines[day].eqNullSafe(stock["__day"])
     return lines.join(stock, hit, "left").drop("__item", "__day").withColumn(
         "available", F.coalesce("available", F.lit(0))
