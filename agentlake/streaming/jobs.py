@@ -108,9 +108,8 @@ def request_handler(lines: DataFrame, catalog: DataFrame, inventory: DataFrame,
     """
 
     def work(requests: DataFrame, batch_id: int) -> DataFrame:
-        now = ledger(batch_id)
-        mine = lines.join(requests.select("request_id"), "request_id", "left_semi")
-        return fulfil.place_orders(mine, requests, catalog, inventory, now)
+        # quoting keeps the lines of the batch's requests only, and joins them once
+        return fulfil.place_orders(lines, requests, catalog, inventory, ledger(batch_id))
 
     return work
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from agentlake.operators import fulfil, ledger
+from agentlake.streaming import jobs
 
 DAY = date(2024, 1, 1)
 LEDGER = "txn_id long, item long, txn_type string, units long, price decimal(18,2), txn_date date"
@@ -71,3 +72,11 @@ def test_only_what_may_be_ordered_is_written_down(spark, monkeypatch):
     ]
     assert {r["request_id"] for r in kept[0].collect()} == {1, 3}
     assert "reason" not in kept[0].columns and "available" not in kept[0].columns
+
+
+def test_a_batch_moves_the_lines_once(spark, monkeypatch):
+    lines, requests, catalog, inventory, opening = orders(spark)
+    given = []
+    monkeypatch.setattr(fulfil, "place_orders", lambda mine, *rest: given.append(mine))
+    jobs.request_handler(lines, catalog, inventory, lambda batch_id: opening)(requests, 0)
+    assert "Join" not in given[0]._jdf.queryExecution().sparkPlan().toString()
