@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from agentlake.core import fits, spread, stable
+from agentlake.operators.scans import numbered_in_file_order
 
 WORD = r"[\p{L}\p{N}_]{2,}"
 # stop words, our own short list
@@ -28,47 +29,138 @@ STOP_WORDS = (
 MAX_POSTINGS, MAX_POSTING_BYTES = 400_000, 32 << 20
 DIGITS = 6
 CELLS = 1 << 18  # document x query sums, and products of a word's weights, held at once in a task
-BROADCAST_WORDS = 200_000  # a smaller (term, idf) table travels to the word counts
+BROADCAST_WORDS = 200_000  # a smaller (term, idf) table, and no more postings of queries, travel to the other side of a join
+CARRIED_WORDS, CARRIED_CHARS = 1 << 19, 64  # the most frequent words, up to a length, that tasks hold
+WORDS_AT_ONCE = 1 << 19  # words of documents that a task counts at once (one document, if that alone has more)
+
+
+def parted(docs: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame | None]:
+    """The rows with an id of their own, and those whose ids have several rows (None: there are none)."""
+    several = stable(docs.groupBy(F.col(id_col).alias("__id")).agg(F.count("*").alias("n")).filter("n > 1").select("__id"))
+    if several.isEmpty():
+        return docs, None
+    several = several.hint("broadcast" if fits(several, BROADCAST_WORDS) else "merge")
+    same = F.col(id_col).eqNullSafe(F.col("__id"))
+    return docs.join(several, same, "left_anti"), docs.join(several, same, "left_semi")
+
+
+def word_lists(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(id, words): the words of each row, stop words and repeats included."""
+    found = F.regexp_extract_all(F.lower(F.col(text)), F.lit(f"({WORD})"), F.lit(1))
+    return spread(docs.select(id_col, text)).select(F.col(id_col).alias("id"), found.alias("words"))
 
 
 def term_counts(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     """(id, term, tf); counts are combined in the task that holds the document before they move."""
-    found = F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(f"({WORD})"), F.lit(1)))
     return (
-        spread(docs.select(id_col, text)).select(F.col(id_col).alias("id"), found.alias("term"))
+        word_lists(docs, id_col, text).select("id", F.explode("words").alias("term"))
         .filter(~F.col("term").isin(STOP_WORDS))
         .groupBy("id", "term")
         .agg(F.count("*").alias("tf"))
     )
 
 
-def fit(docs: DataFrame, id_col: str, text: str, counts: DataFrame | None = None) -> DataFrame:
-    """(term, idf) of a corpus; the document count includes documents without words. ``counts``: its ``term_counts``, if known."""
+def fit(docs: DataFrame, id_col: str, text: str, parts: tuple[DataFrame, DataFrame | None] | None = None) -> DataFrame:
+    """(term, idf) of a corpus; the document count includes documents without words. ``parts``: its ``parted`` rows, if known.
+
+    Words of a row with an id of its own are made distinct in the row; only those of ids with several rows move with their ids.
+    """
     n = docs.agg(F.count("*").alias("n")).scalar()
-    counts = term_counts(docs, id_col, text) if counts is None else counts
-    df = counts.groupBy("term").agg(F.count("*").alias("df"))
+    lone, several = parted(docs, id_col) if parts is None else parts
+    terms = word_lists(lone, id_col, text).select(F.explode(F.array_distinct("words")).alias("term")).filter(~F.col("term").isin(STOP_WORDS))
+    if several is not None:
+        terms = terms.unionByName(term_counts(several, id_col, text).select("term"))
+    df = terms.groupBy("term").agg(F.count("*").alias("df"))
     return df.select("term", (F.log((1 + n) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
 def transform(
-    docs: DataFrame, id_col: str, text: str, idf: DataFrame, wanted: DataFrame | None = None, counts: DataFrame | None = None
+    docs: DataFrame, id_col: str, text: str, idf: DataFrame, wanted: DataFrame | None = None,
+    parts: tuple[DataFrame, DataFrame | None] | None = None,
 ) -> DataFrame:
     """One row per document: its (term, weight) list of unit length. A document's list is as long as its words.
 
-    With ``wanted`` (a table of terms) the other terms count for the length only and are not gathered.
+    With ``wanted`` (term, number) the lists hold the numbers of the wanted terms; the others count for the length only.
+    Words are counted and weighed in the task that holds the document, which knows the most frequent words (smallest idf).
+    Only the other words, and all of ids with several rows, are joined with ``idf``. ``parts``: the ``parted`` rows, if known.
     """
-    known = idf if wanted is None else idf.join(wanted.select("term", F.lit(True).alias("want")), "term", "left")
-    keep = F.lit(True) if wanted is None else F.col("want")
+    known = idf.withColumn("at", F.col("term")) if wanted is None else idf.join(wanted.select("term", F.col("number").alias("at")), "term", "left")
+    known = stable(known.filter(F.col("idf").isNotNull()))
+    short, held, least = F.length("term") <= CARRIED_CHARS, 0, None
+    for r in sorted(known.groupBy("idf").agg(F.count_if(short).alias("n")).collect()):
+        held += r["n"]
+        if held > CARRIED_WORDS:
+            break
+        least = r["idf"]
+    carried = known.filter(short & (F.col("idf") <= F.lit(least))).toArrow().combine_chunks()
+    lone, several = parted(docs, id_col) if parts is None else parts
+    more = carried.num_rows < known.count()
+    kind, at = docs.schema[id_col].dataType.simpleString(), known.schema["at"].dataType.simpleString()
+    main = word_lists(lone, id_col, text).mapInArrow(
+        _weigher(carried, more), f"id {kind}, term array<{at}>, w array<double>, square double, rest array<struct<term: string, tf: long>>"
+    )
+    unit = F.transform("w", lambda x: x / F.sqrt("square")).alias("w")
+    if not more and several is None:
+        return main.select("id", "term", unit).select("id", F.arrays_zip("term", "w").alias("ws"))
+    main = stable(main)
+    rest = main.select("id", F.explode("rest").alias("x")).select("id", "x.term", "x.tf")
+    if several is not None:
+        rest = rest.unionByName(term_counts(several, id_col, text))
     # the planner sizes exploded words like the text they come from and would broadcast them: beyond a checked bound ask for
     # a merge join, whose skew splitting also takes care of words that are in most documents
-    way = "broadcast" if fits(idf, BROADCAST_WORDS) else "merge"
-    counts = (term_counts(docs, id_col, text) if counts is None else counts).join(known.hint(way), "term")
-    weighted = counts.select("id", "term", (F.col("tf") * F.col("idf")).alias("w"), keep.alias("keep"))
-    per_doc = weighted.groupBy("id").agg(
-        F.collect_list(F.when(F.col("keep"), F.struct("term", "w"))).alias("ws"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")
+    weighted = rest.join(known.hint("broadcast" if fits(known, BROADCAST_WORDS) else "merge"), "term")
+    weighted = weighted.select(F.col("id").alias("__id"), "at", (F.col("tf") * F.col("idf")).alias("w"))
+    per_doc = weighted.groupBy("__id").agg(
+        F.collect_list(F.when(F.col("at").isNotNull(), F.struct("at", "w"))).alias("ws"), F.sum(F.col("w") * F.col("w")).alias("__square"),
+        F.lit(True).alias("__has"),
+    )
+    both = main.join(per_doc.hint("merge"), F.col("id").eqNullSafe(F.col("__id")), "full")
+    both = both.filter(F.col("__has") | (F.col("square") > 0))
+    both = both.select(
+        F.when(F.col("square").isNull(), F.col("__id")).otherwise(F.col("id")).alias("id"),
+        *[F.concat(*[F.coalesce(x, F.array().cast(f"array<{k}>")) for x in (name, f"ws.{also}")]).alias(name) for name, also, k in (("term", "at", at), ("w", "w", "double"))],
+        (F.coalesce("square", F.lit(0.0)) + F.coalesce("__square", F.lit(0.0))).alias("square"),
     )
-    unit = lambda x: F.struct(x["term"].alias("term"), (x["w"] / F.col("norm")).alias("w"))
-    return per_doc.select("id", F.transform("ws", unit).alias("ws"))
+    return both.select("id", "term", unit).select("id", F.arrays_zip("term", "w").alias("ws"))
+
+
+def _weigher(carried: pa.Table, more: bool):
+    """The batch function of ``transform``: weights of the carried words, not yet of unit length, the sum of their squares, and
+    the counts of the other words if there are ``more`` that have an idf."""
+    terms, idf, at = (carried.column(c).combine_chunks() for c in ("term", "idf", "at"))
+    idf, asked = idf.to_numpy(), at.is_valid().to_numpy(False)
+
+    def weigh(batches):
+        for batch in batches:
+            size = np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column("words")).fill_null(0).to_numpy())])
+            low = 0
+            while low < batch.num_rows:
+                high = min(batch.num_rows, max(low + 1, int(np.searchsorted(size, size[low] + WORDS_AT_ONCE, side="right")) - 1))
+                if size[high] > size[low]:
+                    yield counted(batch.slice(low, high - low), np.diff(size[low : high + 1]))
+                low = high
+
+    def lists(doc, rows, values):
+        return pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(rows + 1)), pa.int32()), values)
+
+    def counted(part, many):
+        words = part.column("words").flatten().dictionary_encode()
+        unique = words.dictionary
+        plain = ~pc.is_in(unique, value_set=pa.array(STOP_WORDS, unique.type)).to_numpy(False)
+        place = pc.index_in(unique, value_set=terms.cast(unique.type)).fill_null(-1).to_numpy()
+        cell, tf = np.unique(np.repeat(np.arange(len(many)), many) * len(unique) + words.indices.to_numpy(), return_counts=True)
+        doc, word = np.divmod(cell, len(unique))
+        held, other = (np.flatnonzero(plain[word] & x) for x in (place[word] >= 0, place[word] < 0))
+        d, v = doc[held], place[word[held]]
+        w = tf[held] * idf[v]
+        square, use = np.bincount(d, w * w, minlength=len(many)).astype(np.float64), asked[v]  # of no words it has integers
+        other = other if more else other[:0]
+        rest = pa.StructArray.from_arrays([unique.take(pa.array(word[other])), pa.array(tf[other], pa.int64())], ["term", "tf"])
+        columns = [part.column("id"), lists(d[use], len(many), at.take(pa.array(v[use]))), lists(d[use], len(many), pa.array(w[use])), pa.array(square)]
+        out = pa.RecordBatch.from_arrays([*columns, lists(doc[other], len(many), rest)], ["id", "term", "w", "square", "rest"])
+        return out.filter(pa.array((square > 0) | (np.bincount(doc[other], minlength=len(many)) > 0)))
+
+    return weigh
 
 
 def _carried(docs: DataFrame, asked: list, threshold: float, strict: bool, schema: str) -> DataFrame:
@@ -86,9 +178,9 @@ def _carried(docs: DataFrame, asked: list, threshold: float, strict: bool, schem
     step = max(1, CELLS // width)
 
     def score(batches):
-        known = pa.array(vocab, pa.string())
         for batch in batches:
             lists = batch.column("ws")
+            known = pa.array(vocab, lists.type.value_type.field("term").type)
             size = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).fill_null(0).to_numpy())])
             flat = lists.flatten()
             term = pc.index_in(flat.field("term"), value_set=known).fill_null(-1).to_numpy()
@@ -127,7 +219,7 @@ def candidates(docs: DataFrame, asked: DataFrame, threshold: float) -> DataFrame
     A query's words are ordered by how many documents have them. Its most frequent words, as long as together they cannot
     reach the threshold in any document (their weights times the largest weights there are, or their length, as vectors of
     documents have length one), make no pair by themselves: only the rarer ones are looked up. What these add up to, and
-    what the others can add at most, must reach the threshold too.
+    what the others can add at most, must reach the threshold too. Rarer ones up to a bound travel to the documents.
     """
     least = threshold - 2 * 10.0**-DIGITS
     flat = docs.select("id", F.explode("ws").alias("x")).select("id", F.col("x.term").alias("term"), F.col("x.w").alias("dw"))
@@ -137,6 +229,8 @@ def candidates(docs: DataFrame, asked: DataFrame, threshold: float) -> DataFrame
     placed = asked.join(tops, "term").withColumn("reach", reach)
     left_out = F.max(F.when(F.col("reach") < least, F.col("reach"))).over(Window.partitionBy("query_id"))
     rare = placed.withColumn("more", F.coalesce(left_out, F.lit(0.0))).filter(F.col("reach") >= least).select("query_id", "term", "w", "more")
+    rare = stable(rare)
+    rare = rare.hint("broadcast" if fits(rare, BROADCAST_WORDS) else "merge")
     sums = flat.join(rare, "term").groupBy("query_id", "id").agg(F.sum(F.col("dw") * F.col("w")).alias("s"), F.first("more").alias("more"))
     return sums.filter(F.col("s") + F.col("more") >= least).select("query_id", "id")
 
@@ -147,15 +241,27 @@ def match(docs: DataFrame, queries: DataFrame, threshold: float, strict: bool =
     Query postings within the bounds, in rows and in bytes, are carried to the documents and only hits are emitted; beyond
     them the pairs that may reach the threshold are found first, and the scores of those alone are added up.
     """
-    asked = queries.select(F.col("id").alias("query_id"), F.explode("ws").alias("x")).select("query_id", "x.term", "x.w")
-    kinds = [queries.schema["id"].dataType.simpleString(), docs.schema["id"].dataType.simpleString()]
-    n, size = asked.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term") + 16), F.lit(0))).first()
+    return _matched(docs, postings(queries), threshold, strict, max_postings)
+
+
+def postings(queries: DataFrame) -> DataFrame:
+    return queries.select(F.col("id").alias("query_id"), F.explode("ws").alias("x")).select("query_id", "x.term", "x.w")
+
+
+def _matched(docs: DataFrame, asked: DataFrame, threshold: float, strict: bool, max_postings: int) -> DataFrame:
+    """``match`` of documents with the postings (query_id, term, w)."""
+    kinds = [asked.schema["query_id"].dataType.simpleString(), docs.schema["id"].dataType.simpleString()]
+    n, size = asked.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(F.col("term").cast("string")) + 16), F.lit(0))).first()
     if n <= max_postings and size <= MAX_POSTING_BYTES:
         return _carried(docs, asked.collect(), threshold, strict, f"query_id {kinds[0]}, id {kinds[1]}, score double")
-    docs, asked = stable(docs), stable(asked)
-    found = candidates(docs, asked, threshold).select(F.col("query_id").alias("__q"), F.col("id").alias("__d"))
+    # two arrays are kept in place of one of structs: 12 bytes a number and its weight
+    docs, asked = stable(docs.select("id", F.col("ws.term").alias("term"), F.col("ws.w").alias("w"))), stable(asked)
+    docs = docs.select("id", F.arrays_zip("term", "w").alias("ws"))
+    found = stable(candidates(docs, asked, threshold).select(F.col("query_id").alias("__q"), F.col("id").alias("__d")))
+    found = found.hint("broadcast" if fits(found, BROADCAST_WORDS) else "merge")
     words = asked.groupBy("query_id").agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("words"))
-    both = found.join(docs.select("id", "ws"), F.col("__d").eqNullSafe(F.col("id"))).join(words, F.col("__q").eqNullSafe(F.col("query_id")))
+    words = words.hint("broadcast" if n <= MAX_POSTINGS and size <= MAX_POSTING_BYTES else "merge")
+    both = docs.join(found, F.col("__d").eqNullSafe(F.col("id"))).join(words, F.col("__q").eqNullSafe(F.col("query_id")))
     dot = F.aggregate("ws", F.lit(0.0), lambda s, x: s + x["w"] * F.coalesce(F.try_element_at("words", x["term"]), F.lit(0.0)))
     sums = both.select("query_id", "id", F.bround(dot, DIGITS).alias("score"))  # half to even, as in the tasks
     return sums.filter((F.col("score") > threshold) if strict else (F.col("score") >= threshold) & (F.col("score") > 0))
@@ -167,14 +273,16 @@ def search(
 ) -> DataFrame:
     """Fit on the documents (or on the queries), then match every query with every document above the threshold.
 
-    The word counts of the documents, the (term, idf) table and the asked vectors are written once, since they are read more
-    than once: the texts are read and cut into words once, and of their words only those asked for are gathered.
+    The texts are read and cut into words twice, to fit and to weigh, rather than written as words; of their words only the
+    numbers of those asked for are gathered. The (term, idf) table and the asked postings are written once.
     """
-    counts = stable(term_counts(docs, id_col, text))
-    idf = stable(fit(docs, id_col, text, counts) if fit_on == "docs" else fit(queries, query_id, query_text))
-    asked = stable(transform(queries, query_id, query_text, idf))
-    wanted = asked.select(F.explode("ws.term").alias("term")).distinct()
-    return match(transform(docs, id_col, text, idf, wanted, counts), asked, threshold, strict, max_postings)
+    parts = parted(docs, id_col)
+    idf = stable(fit(docs, id_col, text, parts) if fit_on == "docs" else fit(queries, query_id, query_text))
+    asked = stable(postings(transform(queries, query_id, query_text, idf)))
+    wanted = numbered_in_file_order(asked.select("term").distinct(), "number").withColumn("number", F.col("number").cast("int"))
+    wanted = stable(wanted)
+    asked = asked.join(wanted, "term").select("query_id", F.col("number").alias("term"), "w")
+    return _matched(transform(docs, id_col, text, idf, wanted, parts), stable(asked), threshold, strict, max_postings)
 
 
 def boosted(
