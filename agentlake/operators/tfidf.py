@@ -256,15 +256,49 @@ def _matched(docs: DataFrame, asked: DataFrame, threshold: float, strict: bool,
         return _carried(docs, asked.collect(), threshold, strict, f"query_id {kinds[0]}, id {kinds[1]}, score double")
     # two arrays are kept in place of one of structs: 12 bytes a number and its weight
     docs, asked = stable(docs.select("id", F.col("ws.term").alias("term"), F.col("ws.w").alias("w"))), stable(asked)
-    docs = docs.select("id", F.arrays_zip("term", "w").alias("ws"))
-    found = stable(candidates(docs, asked, threshold).select(F.col("query_id").alias("__q"), F.col("id").alias("__d")))
+    found = candidates(docs.select("id", F.arrays_zip("term", "w").alias("ws")), asked, threshold)
+    found = stable(found.select(F.col("query_id").alias("__q"), F.col("id").alias("__d")))
     found = found.hint("broadcast" if fits(found, BROADCAST_WORDS) else "merge")
-    words = asked.groupBy("query_id").agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("words"))
+    words = asked.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("term", "w"))).alias("words"))
+    words = words.select("query_id", F.col("words.term").alias("asked"), F.col("words.w").alias("asked_w"))
     words = words.hint("broadcast" if n <= MAX_POSTINGS and size <= MAX_POSTING_BYTES else "merge")
     both = docs.join(found, F.col("__d").eqNullSafe(F.col("id"))).join(words, F.col("__q").eqNullSafe(F.col("query_id")))
-    dot = F.aggregate("ws", F.lit(0.0), lambda s, x: s + x["w"] * F.coalesce(F.try_element_at("words", x["term"]), F.lit(0.0)))
-    sums = both.select("query_id", "id", F.bround(dot, DIGITS).alias("score"))  # half to even, as in the tasks
-    return sums.filter((F.col("score") > threshold) if strict else (F.col("score") >= threshold) & (F.col("score") > 0))
+    both = both.select("query_id", "id", "term", "w", "asked", "asked_w")
+    return both.mapInArrow(_scorer(threshold, strict), f"query_id {kinds[0]}, id {kinds[1]}, score double")
+
+
+def _scorer(threshold: float, strict: bool):
+    """The batch function that adds up the score of each pair of a document's and a query's words, and hands on the hits."""
+    def score(batches):
+        for batch in batches:
+            many = [pc.list_value_length(batch.column(c)).to_numpy() for c in ("term", "asked")]
+            work = np.concatenate([[0], np.cumsum(many[0] + many[1])])
+            low = 0
+            while low < batch.num_rows:
+                high = min(batch.num_rows, max(low + 1, int(np.searchsorted(work, work[low] + CELLS, side="right")) - 1))
+                yield from hits(batch.slice(low, high - low), [np.repeat(np.arange(high - low), x[low:high]) for x in many])
+                low = high
+
+    def hits(part, pair):
+        terms = [part.column(c).flatten() for c in ("term", "asked")]
+        if pa.types.is_integer(terms[0].type):
+            terms = [x.to_numpy() for x in terms]
+        else:
+            terms = np.split(pa.concat_arrays(terms).dictionary_encode().indices.to_numpy(), [len(terms[0])])
+        span = int(max(x.max(initial=0) for x in terms)) + 1
+        mine, asked = (at * span + x for at, x in zip(pair, terms))
+        order = np.argsort(asked, kind="stable")
+        asked = np.append(asked[order], -1)
+        place = np.searchsorted(asked[:-1], mine)
+        both = np.flatnonzero(asked[place] == mine)
+        w, asked_w = (part.column(c).flatten().to_numpy() for c in ("w", "asked_w"))
+        sums = np.bincount(pair[0][both], w[both] * asked_w[order][place[both]], minlength=part.num_rows)
+        s = np.round(sums.astype(np.float64), DIGITS)
+        hit = pa.array(np.flatnonzero((s > threshold) if strict else (s >= threshold) & (s > 0)))
+        if len(hit):
+            yield pa.RecordBatch.from_arrays([*[part.column(c).take(hit) for c in ("query_id", "id")], pa.array(s).take(hit)], ["query_id", "id", "score"])
+
+    return score
 
 
 def search(
